@@ -69,7 +69,7 @@ def conversation_changes(spark: SparkSession, sf_dir: str, mode: str = "mixed")
                    F.col("text"))
     if mode == "clear":
         # percentile_disc(0.5): the smallest seq whose cumulative share is >= 1/2.
-        middle = log.agg(F.percentile_disc(F.col("seq"), F.lit(0.5)).alias("m")).scalar()
+        middle = log.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY seq)").alias("m")).scalar()
         log = log.withColumn("op", F.when(F.col("seq") == middle, F.lit(CLEAR)).otherwise(F.col("op")))
     return log
 
