@@ -55,29 +55,52 @@ def effective(log: DataFrame) -> Column:
         (F.col("op") == REMOVE) | (F.col("op").isin(ADD, REINDEX) & F.col("text").isNotNull()))
 
 
+# Integer codes of the ops inside the neighbour computation (fixed-width
+# aggregation buffers); 0 is "no row".
+_CODES = {ADD: 1, REINDEX: 2, REMOVE: 3}
+
+
+def _code(c: Column) -> Column:
+    out = F.lit(0)
+    expr = None
+    for name, code in _CODES.items():
+        expr = (F.when(c == name, F.lit(code)) if expr is None else expr.when(c == name, F.lit(code)))
+    return expr.otherwise(out)
+
+
+def _name(c: Column) -> Column:
+    expr = None
+    for name, code in _CODES.items():
+        expr = (F.when(c == code, F.lit(name)) if expr is None else expr.when(c == code, F.lit(name)))
+    return expr
+
+
 def neighbours(rows: DataFrame, keys: list[str], width: int) -> DataFrame:
     """Add ``prev_op``, ``next_op`` (the op of the previous / next row of the
     same ``keys`` group by seq) and ``last_remove`` (the group's last REMOVE)."""
     blk = F.expr(f"seq div {width}")
-    rows = rows.withColumn("_blk", blk)
+    rows = rows.withColumn("_blk", blk).withColumn("_c", _code(F.col("op")))
     inside = Window.partitionBy(*keys, "_blk").orderBy("seq")
-    rows = rows.withColumn("_next_in", F.lead("op").over(inside)) \
-        .withColumn("_prev_in", F.lag("op").over(inside))
+    rows = rows.withColumn("_next_in", F.lead("_c").over(inside)) \
+        .withColumn("_prev_in", F.lag("_c").over(inside))
+    # One row per block. Catalyst prunes the window and the token arrays out
+    # of this branch, so it reads and shuffles only narrow (key, seq, op)
+    # rows; texts are tokenised once, on the row side.
     blocks = rows.groupBy(*keys, "_blk").agg(
-        F.min_by("op", "seq").alias("_first_op"),
-        F.max_by("op", "seq").alias("_last_op"),
-        F.max(F.when(F.col("op") == REMOVE, F.col("seq"))).alias("_blk_rm"))
+        F.min_by("_c", "seq").alias("_first"),
+        F.max_by("_c", "seq").alias("_last"),
+        F.max(F.when(F.col("_c") == _CODES[REMOVE], F.col("seq"))).alias("_blk_rm"))
     by_block = Window.partitionBy(*keys).orderBy("_blk")
     whole = Window.partitionBy(*keys)
     blocks = blocks.select(
         *keys, "_blk",
-        F.lead("_first_op").over(by_block).alias("_next_blk"),
-        F.lag("_last_op").over(by_block).alias("_prev_blk"),
+        F.lead("_first").over(by_block).alias("_next_blk"),
+        F.lag("_last").over(by_block).alias("_prev_blk"),
         F.max("_blk_rm").over(whole).alias("last_remove"))
     out = rows.join(blocks, [*keys, "_blk"], "inner")
-    return out.withColumn("next_op", F.coalesce("_next_in", "_next_blk")) \
-        .withColumn("prev_op", F.coalesce("_prev_in", "_prev_blk")) \
-        .drop("_blk", "_next_in", "_prev_in", "_next_blk", "_prev_blk")
+    return out.withColumn("next_op", _name(F.coalesce("_next_in", "_next_blk"))) \
+        .withColumn("prev_op", _name(F.coalesce("_prev_in", "_prev_blk"))) \
+        .drop("_blk", "_c", "_next_in", "_prev_in", "_next_blk", "_prev_blk")
 
 
 def _current(log: DataFrame, with_words: bool) -> DataFrame:

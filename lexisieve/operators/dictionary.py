@@ -19,13 +19,17 @@ def first_sightings(corpus: DataFrame) -> DataFrame:
 
     ``array_distinct`` keeps first occurrences in order, so the position in
     the deduplicated array orders a document's new words exactly like the
-    token position does, with fewer rows. ``min`` is aggregated partially in
+    token position does, with fewer rows. The aggregate runs partially in
     every task before the shuffle, so a frequent word costs one row per task.
+    Requires ``seq`` to be unique per corpus row (the add order).
     """
     rows = corpus.where(F.col("text").isNotNull()) \
         .select("seq", F.posexplode(distinct_tokens("text")).alias("pos", "word"))
-    return rows.groupBy("word").agg(F.min(F.struct("seq", "pos")).alias("first")) \
-        .select("word", F.col("first.seq").alias("seq"), F.col("first.pos").cast("bigint").alias("pos"))
+    # A word occurs once per row of the deduplicated array and seq is unique
+    # per row, so the position at the smallest seq is the first sighting.
+    # Both buffers are fixed-width longs: a hash aggregate, not a sort.
+    return rows.groupBy("word").agg(F.min("seq").alias("seq"),
+                                    F.min_by("pos", "seq").cast("bigint").alias("pos"))
 
 
 def word_table(corpus: DataFrame, start: int | Column = 1) -> DataFrame:

@@ -4,9 +4,9 @@
 rows are range-partitioned by the (unique) order key, which balances the
 partitions whatever the key skew, then numbered inside each partition; a
 table with one row per partition (bounded by the partition count) supplies
-the offsets. The sorted, tagged rows are checkpointed to the shared folder,
-so the partition assignment is fixed before it is counted and re-reads after
-a lost executor see the same numbering.
+the offsets. The sorted, tagged rows are written once to the shared
+checkpoint folder, so the partition assignment is fixed before it is
+counted, and a lost executor re-reads the same numbering.
 """
 
 from __future__ import annotations
@@ -14,16 +14,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexisieve.session import checkpoint_dir
+from lexisieve.session import materialize
 
 _MID, _PID, _LOCAL = "_mid", "_pid", "_local"
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id: partition id << 33 | row index
 
 
 def _tagged(df: DataFrame, order_cols: list[str]) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
     tagged = df.orderBy(*order_cols).withColumn(_MID, F.monotonically_increasing_id())
-    tagged = tagged.checkpoint(eager=True)
+    tagged = materialize(tagged, "ordinal")
     return (tagged.withColumn(_PID, F.shiftrightunsigned(F.col(_MID), 33))
             .withColumn(_LOCAL, F.col(_MID).bitwiseAND(F.lit(_LOW_BITS))))
 

@@ -105,8 +105,9 @@ def batch_search(postings: DataFrame, queries: DataFrame, buckets: int = DEFAULT
     """
     valid = queries.where(F.col("error").isNull() & (F.size("words") > 0))
     qwords = valid.select(
-        "req_id", "cmd",
-        F.size(F.array_distinct("words")).alias("n_words"),
+        "req_id",
+        (F.col("cmd") == SEARCH_ANY).alias("any"),
+        F.size(F.array_distinct("words")).cast("bigint").alias("n_words"),
         F.explode(F.array_distinct("words")).alias("word"),
     )
     if "bucket" in postings.columns:
@@ -115,7 +116,8 @@ def batch_search(postings: DataFrame, queries: DataFrame, buckets: int = DEFAULT
     else:
         keys = ["word"]
     matched = postings.select(*keys, "path").join(broadcast_if_small(qwords), keys, "inner")
-    counted = matched.groupBy("req_id", "path").agg(
-        F.count(F.lit(1)).alias("_n"), F.first("cmd").alias("_cmd"), F.first("n_words").alias("_need"))
-    keep = (F.col("_cmd") == SEARCH_ANY) | (F.col("_n") == F.col("_need"))
+    # ``any`` and ``n_words`` depend on req_id only: as grouping keys they do
+    # not change the groups and keep the aggregate a fixed-width hash one.
+    counted = matched.groupBy("req_id", "path", "any", "n_words").agg(F.count(F.lit(1)).alias("_n"))
+    keep = F.col("any") | (F.col("_n") == F.col("n_words"))
     return counted.where(keep).select("req_id", "path")

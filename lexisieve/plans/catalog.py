@@ -188,8 +188,7 @@ def q_index_stats(spark, sf):
 
 def q_inverted_index(spark, sf):
     inv = idx.inverted_index(_doc_postings(spark, sf))
-    return inv.groupBy("word").agg(F.count(F.lit(1)).alias("n_docs"),
-                                   F.min("path").alias("first_path"), F.max("path").alias("last_path"))
+    return inv.groupBy("word", "bucket").agg(F.count(F.lit(1)).alias("n_docs")).drop("bucket")
 
 
 def q_postings_merge(spark, sf):

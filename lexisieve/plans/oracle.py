@@ -139,7 +139,7 @@ F AS (SELECT resp_id, bool_or(rn = 1 AND starts_with(line, 'OK')) AS ok,
 SELECT resp_id, ok, CAST(NULL AS VARCHAR) AS path FROM F
 UNION ALL
 SELECT R.resp_id, true, R.line FROM R JOIN F USING (resp_id)
-WHERE F.ok AND R.rn > 1 AND (F.end_rn IS NULL OR R.rn < F.end_rn)""".replace("WITH", "", 0),
+WHERE F.ok AND R.rn > 1 AND (F.end_rn IS NULL OR R.rn < F.end_rn)""",
     # 2.2
     "lower_ascii": _w(D) + f"SELECT path, translate(text, '{UP}', '{LO}') AS text FROM D",
     "alnum_chars": _w(D) + ("SELECT path, CAST(length(regexp_replace(text, '[^A-Za-z0-9]', '', 'g')) AS BIGINT) "
@@ -173,8 +173,7 @@ FROM FP WHERE word NOT IN (SELECT word FROM WT)""",
     "index_stats": _w(D, DW) + ("SELECT (SELECT count(DISTINCT path) FROM D) AS n_documents, "
                                 "count(DISTINCT word) AS n_words, count(*) AS n_postings FROM DW"),
     # 2.5
-    "inverted_index": _w(D, DW) + ("SELECT word, count(*) AS n_docs, min(path) AS first_path, "
-                                   "max(path) AS last_path FROM DW GROUP BY word"),
+    "inverted_index": _w(D, DW) + "SELECT word, count(*) AS n_docs FROM DW GROUP BY word",
     "postings_merge": _w(D, P, DW, PW) + ("SELECT word, count(*) AS n_docs FROM "
                                           "(SELECT path, word FROM DW UNION SELECT path, word FROM PW) GROUP BY word"),
     "postings_lookup": _w(D, DW, REQ) + "SELECT DW.word, DW.path FROM DW WHERE DW.word IN (SELECT word FROM QV)",
@@ -200,7 +199,7 @@ SELECT x.seq, x.op, x.path,
        WHEN x.op = 'REMOVE' THEN COALESCE((SELECT arg_max(a.op, a.seq) FROM AC a WHERE a.path = x.path
                                            AND a.epoch = x.epoch AND a.seq < x.seq) IN ('ADD', 'REINDEX'), false)
   END AS outcome
-FROM EP x""".replace("WITH", "", 0),
+FROM EP x""",
     # 2.7
     "search_one": _w(D, DW) + "SELECT path FROM DW WHERE word = 'license'",
     "search_all": _w(D, DW) + ("SELECT path FROM DW WHERE word IN ('the', 'nicht', 'zu') GROUP BY path "

@@ -75,3 +75,28 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     """
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a narrow scan over the cluster before per-row heavy work.
+
+    A table stored as few large Parquet row groups scans as few tasks, and
+    tokenising whole texts would then run on few cores. When the scan has
+    fewer partitions than the default parallelism, rows are hash-partitioned
+    on ``keys`` (chosen unique, e.g. (path, seq), so a hot path cannot skew
+    it); a wide scan is left alone, costing no shuffle.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, *keys) if keys else df.repartition(want)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage by writing ``df`` once as Parquet to a fresh folder under
+    the shared checkpoint directory and reading it back. One job (an eager
+    ``checkpoint()`` computes its plan twice), columnar on disk, and a lost
+    executor later re-reads the files instead of recomputing the plan."""
+    location = scratch_path(df.sparkSession, name)
+    df.write.parquet(location)
+    return df.sparkSession.read.parquet(location)

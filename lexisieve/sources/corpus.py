@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexisieve.schemas import ADD, CLEAR, REINDEX, REMOVE
+from lexisieve.session import spread
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,13 +15,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def table_corpus(df: DataFrame, path: Column, seq: Column, text: Column) -> DataFrame:
     """Any table as a corpus. ``seq`` orders the adds (call order)."""
-    return df.select(path.alias("path"), seq.cast("bigint").alias("seq"), text.cast("string").alias("text"))
+    out = df.select(path.alias("path"), seq.cast("bigint").alias("seq"), text.cast("string").alias("text"))
+    return spread(out, "path", "seq")
 
 
 def document_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents``: path = source/doc_id, added in doc_id order."""
     d = read_table(spark, sf_dir, "documents")
-    return table_corpus(d, F.concat_ws("/", "source", F.col("doc_id").cast("string")),
+    return table_corpus(d, F.concat("source", F.lit("/"), F.col("doc_id").cast("string")),
                         F.col("doc_id"), F.col("text"))
 
 
@@ -67,10 +69,16 @@ def conversation_changes(spark: SparkSession, sf_dir: str, mode: str = "mixed")
     log = c.select(seq.alias("seq"), op.alias("op"),
                    F.concat(F.lit("conv/"), F.col("conv_id").cast("string")).alias("path"),
                    F.col("text"))
+    log = spread(log, "path", "seq")
     if mode == "clear":
-        # percentile_disc(0.5): the smallest seq whose cumulative share is >= 1/2.
-        middle = log.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY seq)").alias("m")).scalar()
-        log = log.withColumn("op", F.when(F.col("seq") == middle, F.lit(CLEAR)).otherwise(F.col("op")))
+        # The middle row: rank ceil(n / 2) by seq (percentile_disc(0.5)),
+        # found with a distributed ordinal instead of buffering every seq.
+        from lexisieve.operators.ordinal import dense_ordinal
+
+        n = log.agg(F.count(F.lit(1))).scalar()
+        ranked = dense_ordinal(log, ["seq"], "_rank")
+        log = ranked.withColumn("op", F.when(F.col("_rank") == F.ceil(n / 2), F.lit(CLEAR))
+                                .otherwise(F.col("op"))).drop("_rank")
     return log
 
 
