@@ -54,23 +54,23 @@ def document_frequency(postings: DataFrame) -> DataFrame:
     return postings.groupBy("word").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-def inverted_index(postings: DataFrame, buckets: int = DEFAULT_BUCKETS,
-                   partitions: int | None = None) -> DataFrame:
-    """Word-clustered layout: rows range-partitioned on (bucket, word, path)
-    and sorted, ready to be written. Range partitioning on a key that ends in
-    ``path`` spreads one hot word over several tasks and files."""
-    spark = postings.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+def inverted_index(postings: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Word-clustered layout: rows hash-distributed by bucket and sorted by
+    (bucket, word, path) inside each task, ready to be written.
+
+    The REBALANCE hint lets AQE size the write tasks from the real shuffle
+    sizes: small buckets are coalesced into one task, and a bucket holding a
+    hot word (say a third of all postings) is split over several tasks, each
+    writing its own sorted file into the same bucket folder.
+    """
     with_bucket = postings.withColumn("bucket", bucket_of("word", buckets))
-    return with_bucket.repartitionByRange(n, "bucket", "word", "path") \
-        .sortWithinPartitions("bucket", "word", "path")
+    return with_bucket.hint("rebalance", "bucket").sortWithinPartitions("bucket", "word", "path")
 
 
-def write_postings(postings: DataFrame, location: str, buckets: int = DEFAULT_BUCKETS,
-                   partitions: int | None = None) -> None:
+def write_postings(postings: DataFrame, location: str, buckets: int = DEFAULT_BUCKETS) -> None:
     """Store postings partitioned by bucket. Write each snapshot to a new
     location: Spark cannot safely overwrite a table it is reading."""
-    (inverted_index(postings, buckets, partitions)
+    (inverted_index(postings, buckets)
      .write.mode("errorifexists").partitionBy("bucket").parquet(location))
 
 

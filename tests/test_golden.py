@@ -176,7 +176,7 @@ def test_binary_files_as_corpus(spark, scratch):
 def test_bucketed_postings_prune(spark, scratch):
     post = idx.doc_words(corpus(spark, [("d1", "alpha beta"), ("d2", "beta gamma"), ("d3", "gamma")]))
     loc = scratch + "/postings"
-    idx.write_postings(post, loc, buckets=8, partitions=2)
+    idx.write_postings(post, loc, buckets=8)
     stored = idx.read_postings(spark, loc)
     q = srch.search_one(stored, "Gamma", buckets=8)
     assert paths(q) == ["d2", "d3"]
