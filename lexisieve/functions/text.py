@@ -61,5 +61,8 @@ def distinct_tokens(c: Column | str) -> Column:
 
 
 def query_tokens(c: Column | str) -> Column:
-    """White-space split of a request line, empty pieces dropped (raw case)."""
-    return F.filter(F.split(_col(c), QUERY_SPACE), lambda x: x != F.lit(""))
+    """White-space split of a request line, empty pieces dropped (raw case).
+
+    Lambda-free (``array_remove``), so it stays in codegen and identical
+    plans canonicalise equal, which lets Spark reuse their exchanges."""
+    return F.array_remove(F.split(_col(c), QUERY_SPACE), "")

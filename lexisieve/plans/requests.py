@@ -34,10 +34,12 @@ def parse_requests(requests: DataFrame, line_col: str = "request") -> DataFrame:
     """
     toks = query_tokens(line_col)
     cmd = F.get(toks, 0)
-    rest = F.slice(toks, 2, F.greatest(F.size(toks) - 1, F.lit(1)))
-    rest = F.when(F.size(toks) > 1, rest).otherwise(F.array().cast("array<string>"))
+    # Lower-casing A-Z never touches white space, so the lowered line splits
+    # into the same pieces; the command is taken from the raw line.
+    low = query_tokens(lower_ascii(line_col))
+    rest = F.slice(low, 2, F.greatest(F.size(low) - 1, F.lit(1)))
+    rest = F.when(F.size(low) > 1, rest).otherwise(F.array().cast("array<string>"))
     words = F.when(cmd == SEARCH_ONE, F.slice(rest, 1, 1)).otherwise(rest)
-    words = F.transform(words, lambda w: lower_ascii(w))
     known = cmd.isin(SEARCH_ONE, SEARCH_ALL, SEARCH_ANY)
     error = (F.when(~known | cmd.isNull(), F.lit(ERR_UNKNOWN))
              .when((cmd == SEARCH_ONE) & (F.size(rest) == 0), F.lit(ERR_MISSING_WORD))
@@ -47,7 +49,13 @@ def parse_requests(requests: DataFrame, line_col: str = "request") -> DataFrame:
 
 
 def render_responses(parsed: DataFrame, hits: DataFrame) -> DataFrame:
-    """Parsed requests + (req_id, path) hits -> response lines."""
+    """Parsed requests + (req_id, path) hits -> response lines.
+
+    ``hits`` feeds both the status counts and the path lines. The join on
+    req_id makes Catalyst infer ``req_id IS NOT NULL`` for the counts side;
+    stating it once for both keeps the two sub-plans identical, so the search
+    runs once and its exchange is reused (a request needs an id anyway)."""
+    hits = hits.where(F.col("req_id").isNotNull())
     counts = hits.groupBy("req_id").agg(F.count(F.lit(1)).alias("_n"))
     heads = parsed.join(counts, "req_id", "left").select(
         "req_id", F.lit(0).cast("bigint").alias("part"),
