@@ -67,11 +67,12 @@ def inverted_index(postings: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataF
     return with_bucket.hint("rebalance", "bucket").sortWithinPartitions("bucket", "word", "path")
 
 
-def write_postings(postings: DataFrame, location: str, buckets: int = DEFAULT_BUCKETS) -> None:
+def write_postings(postings: DataFrame, location: str, buckets: int = DEFAULT_BUCKETS,
+                   mode: str = "errorifexists") -> None:
     """Store postings partitioned by bucket. Write each snapshot to a new
     location: Spark cannot safely overwrite a table it is reading."""
-    (inverted_index(postings, buckets)
-     .write.mode("errorifexists").partitionBy("bucket").parquet(location))
+    (inverted_index(postings.select("path", "word"), buckets)
+     .write.mode(mode).partitionBy("bucket").parquet(location))
 
 
 def read_postings(spark, location: str) -> DataFrame:

@@ -28,7 +28,7 @@ from lexisieve.sources.corpus import (
     read_table,
 )
 from lexisieve.sources.requests import benchmark_requests
-from lexisieve.streaming.ingest import merge_producers, read_log, stream_changes, stream_ingest
+from lexisieve.streaming.ingest import latest_postings, merge_producers, read_log, stream_index, stream_ingest
 
 # Fixed query parameters.
 ONE_WORD = "License"
@@ -298,22 +298,35 @@ def q_merge_producers(spark, sf):
     return merge_producers(conv, docs).select("producer", "seq", "op", "path", "text")
 
 
-def q_stream_ingest(spark, sf):
-    """Stream the conversations table through the change-log transformation
-    into a fresh log folder (availableNow), then derive the live postings."""
+def _conversation_stream(spark, sf):
+    """The conversations table as a file stream of change rows."""
     conv_schema = read_table(spark, sf, "conversations").schema
     src = spark.readStream.schema(conv_schema).parquet(f"{sf.rstrip('/')}/conversations*.parquet")
     seq = (F.col("conv_id") * 1000 + F.col("turn")).cast("bigint")
     op = (F.when((F.col("conv_id") + F.col("turn")) % 5 == 4, F.lit(REMOVE))
           .when(F.col("role") == "assistant", F.lit("REINDEX")).otherwise(F.lit(ADD)))
-    changes = src.select(seq.alias("seq"), op.alias("op"),
-                         F.concat(F.lit("conv/"), F.col("conv_id").cast("string")).alias("path"), "text")
+    return src.select(seq.alias("seq"), op.alias("op"),
+                      F.concat(F.lit("conv/"), F.col("conv_id").cast("string")).alias("path"), "text")
+
+
+def q_stream_ingest(spark, sf):
+    """Stream the conversations change rows into a fresh log folder
+    (availableNow), then derive the live postings from the log."""
     base = scratch_path(spark, "stream-ingest")
-    q = stream_ingest(changes, f"{base}/log", f"{base}/checkpoint")
+    q = stream_ingest(_conversation_stream(spark, sf), f"{base}/log", f"{base}/checkpoint")
     q.awaitTermination()
     return chg.apply_changes(read_log(spark, f"{base}/log"))
 
 
+def q_stream_index(spark, sf):
+    """The streaming consumer keeps the bucketed postings itself; the query
+    reads its newest complete version."""
+    base = scratch_path(spark, "stream-index")
+    q = stream_index(_conversation_stream(spark, sf), base, f"{base}/checkpoint")
+    q.awaitTermination()
+    return latest_postings(spark, base).select("path", "word")
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

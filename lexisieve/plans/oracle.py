@@ -216,4 +216,5 @@ FROM EP x""",
     "merge_producers": _w(CONV, D) + ("SELECT CAST(1 AS BIGINT) AS producer, seq, op, path, text FROM M "
                                       "UNION ALL SELECT CAST(2 AS BIGINT), seq, 'ADD', path, text FROM D"),
     "stream_ingest": _w(conv_log("mixed"), APPLY),
+    "stream_index": _w(conv_log("mixed"), APPLY),
 }

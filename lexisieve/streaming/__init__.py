@@ -1,3 +1,10 @@
-from lexisieve.streaming.ingest import merge_producers, read_log, stream_changes, stream_ingest
+from lexisieve.streaming.ingest import (
+    latest_postings,
+    merge_producers,
+    read_log,
+    stream_changes,
+    stream_index,
+    stream_ingest,
+)
 
-__all__ = ["merge_producers", "read_log", "stream_changes", "stream_ingest"]
+__all__ = ["latest_postings", "merge_producers", "read_log", "stream_changes", "stream_index", "stream_ingest"]

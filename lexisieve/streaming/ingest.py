@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lexisieve.schemas import CHANGE_LOG
+from lexisieve.schemas import CHANGE_LOG, CLEAR
 
 
 def merge_producers(*producers: DataFrame) -> DataFrame:
@@ -64,3 +64,70 @@ def stream_ingest(changes: DataFrame, log_dir: str, checkpoint_location: str,
 def read_log(spark: SparkSession, log_dir: str) -> DataFrame:
     """The change log written by ``stream_ingest`` (all batches so far)."""
     return spark.read.schema(CHANGE_LOG).parquet(log_dir).select("seq", "op", "path", "text")
+
+
+def _version_path(base: str, batch_id: int) -> str:
+    return f"{base.rstrip('/')}/postings/v={batch_id}"
+
+
+def _index_batch(base: str, buckets: int):
+    from lexisieve.operators.changes import apply_changes
+    from lexisieve.operators.index import read_postings, write_postings
+
+    log_dir = f"{base.rstrip('/')}/log"
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        here = f"{log_dir}/batch_id={batch_id}"
+        batch.select("seq", "op", "path", "text").write.mode("overwrite").parquet(here)
+        rows = spark.read.parquet(here)  # read back: the batch is not recomputed
+        log = read_log(spark, log_dir)
+        previous = None
+        if batch_id > 0 and rows.where(F.col("op") == CLEAR).limit(1).count() == 0:
+            try:
+                previous = read_postings(spark, _version_path(base, batch_id - 1))
+            except Exception:  # no earlier version: rebuild from the log
+                previous = None
+        if previous is None:
+            postings = apply_changes(log)
+        else:
+            # Only the touched paths change; their whole history is re-applied,
+            # so a late row lands by its seq. CLEAR rows have no path and are
+            # kept, as they cut every history.
+            touched = rows.where(F.col("path").isNotNull()).select("path").distinct()
+            history = log.join(touched, "path", "left_semi").unionByName(log.where(F.col("op") == CLEAR))
+            kept = previous.select("path", "word").join(touched, "path", "left_anti")
+            postings = kept.unionByName(apply_changes(history))
+        write_postings(postings, _version_path(base, batch_id), buckets, mode="overwrite")
+        # The marker goes last: a listed version is always complete.
+        spark.createDataFrame([(batch_id,)], "version bigint").write.mode("overwrite") \
+            .parquet(f"{base.rstrip('/')}/versions/batch_id={batch_id}")
+
+    return apply
+
+
+def stream_index(changes: DataFrame, base: str, checkpoint_location: str, buckets: int = 64,
+                 available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+    """Keep the live postings current while change rows stream in.
+
+    Every micro-batch appends its rows to ``base/log`` and writes a new
+    postings version ``base/postings/v=<batch>`` (bucketed, ready for search).
+    A batch without CLEAR recomputes only the paths it touches and keeps the
+    rest of the previous version; a CLEAR, or a missing previous version,
+    rebuilds from the whole log. Folders are per batch id and overwritten on
+    a retry, so replays are idempotent.
+    """
+    writer = (changes.select("seq", "op", "path", "text").writeStream
+              .foreachBatch(_index_batch(base, buckets))
+              .option("checkpointLocation", checkpoint_location))
+    if processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    elif available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def latest_postings(spark: SparkSession, base: str) -> DataFrame:
+    """The newest complete postings version written by ``stream_index``."""
+    latest = spark.read.parquet(f"{base.rstrip('/')}/versions").agg(F.max("version")).first()[0]
+    return spark.read.parquet(_version_path(base, int(latest)))

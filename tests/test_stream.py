@@ -60,3 +60,20 @@ def test_merge_producers_keeps_every_row(spark):
     got = sorted((r["producer"], r["value"]) for r in m.collect())
     assert got == [(1, v) for v in range(50)] + [(2, v) for v in range(100, 150)]
     assert document_corpus(spark, SF_SMALL).count() > 0
+
+
+def test_incremental_index_equals_batch(spark, scratch):
+    from lexisieve.streaming import latest_postings, stream_index
+
+    for mode in ("mixed", "clear"):
+        log = conversation_changes(spark, SF_SMALL, mode)
+        expected = _pairs(apply_changes(log))
+        src = f"{scratch}/{mode}/src"
+        _write_parts(log, src, 3)  # rows of one path land in different, out-of-order batches
+        out = f"{scratch}/{mode}/out"
+        q = stream_index(stream_changes(spark, f"{src}/*", max_files_per_trigger=1), out, f"{out}/ckpt", buckets=8)
+        q.awaitTermination()
+        assert len(list(q.recentProgress)) >= 3
+        got = latest_postings(spark, out)
+        assert "bucket" in got.columns
+        assert _pairs(got) == expected
