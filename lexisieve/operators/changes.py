@@ -171,3 +171,10 @@ def change_outcomes(log: DataFrame) -> DataFrame:
         .when(F.col("op") == REMOVE, F.lit(False))
         .otherwise(F.lit(None).cast("boolean")).alias("outcome"))
     return removes.unionByName(others)
+
+
+def duplicate_seqs(log: DataFrame) -> DataFrame:
+    """Rows whose ``seq`` is not unique: the log's order would be ambiguous.
+    Empty for a valid log (partial aggregation; no row reaches the driver)."""
+    dup = log.groupBy("seq").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("seq")
+    return log.join(dup, "seq", "left_semi")

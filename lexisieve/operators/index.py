@@ -124,6 +124,8 @@ def has_word(probe: DataFrame, postings: DataFrame) -> DataFrame:
 def index_stats(postings: DataFrame, documents: DataFrame) -> DataFrame:
     """One row: live documents (empty ones count, R16), words holding at
     least one posting, and postings."""
+    if "text" in documents.columns:  # unreadable documents are never registered (R14)
+        documents = documents.where(F.col("text").isNotNull())
     n_docs = documents.agg(F.countDistinct("path")).scalar()
     return postings.agg(
         n_docs.cast("bigint").alias("n_documents"),

@@ -19,7 +19,7 @@ from lexisieve.operators import index as idx
 from lexisieve.operators import search as srch
 from lexisieve.plans import requests as rq
 from lexisieve.schemas import ADD, REMOVE
-from lexisieve.session import scratch_path
+from lexisieve.session import materialize, scratch_path
 from lexisieve.sources.corpus import (
     conversation_changes,
     corpus_changes,
@@ -80,7 +80,10 @@ def q_run_requests(spark, sf):
 
 
 def q_parse_responses(spark, sf):
-    return rq.parse_responses(q_run_requests(spark, sf))
+    """Responses are rendered once and stored (the sink), then read back by
+    the client-side parser, as a reader of a response stream would."""
+    stored = materialize(q_run_requests(spark, sf), "responses")
+    return rq.parse_responses(stored)
 
 
 # 2.2 text functions ---------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows above which a side is never broadcast, whatever its byte estimate.
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -23,12 +23,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    cores = os.cpu_count() or 8
-    parts = shuffle_partitions or int(os.environ.get("LEXISIEVE_SHUFFLE_PARTITIONS", cores))
+    if shuffle_partitions or (master or "").startswith("local"):
+        # Locally: one shuffle partition per core. On a cluster the submitter's
+        # setting stays (size it for the data; AQE coalesces small ones).
+        cores = os.cpu_count() or 8
+        parts = shuffle_partitions or int(os.environ.get("LEXISIEVE_SHUFFLE_PARTITIONS", cores))
+        builder = builder.config("spark.sql.shuffle.partitions", str(parts))
     builder = (
         builder.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

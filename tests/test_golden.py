@@ -187,3 +187,22 @@ def test_bucketed_postings_prune(spark, scratch):
     got = sorted((r["req_id"], r["path"]) for r in srch.batch_search(stored, parsed, buckets=8).collect())
     assert got == [(1, "d1"), (1, "d2"), (1, "d3"), (2, "d1")]
     assert F is not None
+
+
+def test_response_sink_writes_reference_text(spark, scratch):
+    post = idx.doc_words(corpus(spark, [("d2", "a b"), ("d1", "a")]))
+    lines = rq.run_requests(post, requests(spark, ["SEARCH_ANY a", "SEARCH_ALL b zzz", "SEARCH_ONE"]))
+    rq.write_responses(lines, scratch + "/out")
+    import glob
+
+    parts = sorted(glob.glob(scratch + "/out/part-*"))
+    text = "".join(open(p).read() for p in parts)
+    assert text == "OK 2\nd1\nd2\nEND\nOK 0\nEND\nERROR Missing word for SEARCH_ONE\n"
+
+
+def test_logs_have_unique_seq(spark):
+    from lexisieve.sources.corpus import conversation_changes
+
+    assert chg.duplicate_seqs(conversation_changes(spark, "/root/testdata/sf0.01")).count() == 0
+    dup = log(spark, [("ADD", "p", "a")]).unionByName(log(spark, [("ADD", "q", "b")]))
+    assert chg.duplicate_seqs(dup).count() == 2
