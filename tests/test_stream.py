@@ -77,3 +77,20 @@ def test_incremental_index_equals_batch(spark, scratch):
         got = latest_postings(spark, out)
         assert "bucket" in got.columns
         assert _pairs(got) == expected
+
+
+def test_merge_producers_as_streams(spark, scratch):
+    """Two producers' file streams, one consumer: the log holds every row of
+    both, each tagged with its producer."""
+    log = conversation_changes(spark, SF_SMALL)
+    docs = document_corpus(spark, SF_SMALL).select("seq", F.lit("ADD").alias("op"), "path", "text")
+    log.write.parquet(f"{scratch}/p1/a")
+    docs.write.parquet(f"{scratch}/p2/a")
+    merged = merge_producers(stream_changes(spark, f"{scratch}/p1/*"), stream_changes(spark, f"{scratch}/p2/*"))
+    q = (merged.writeStream.format("parquet").option("path", f"{scratch}/out")
+         .option("checkpointLocation", f"{scratch}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = spark.read.parquet(f"{scratch}/out")
+    got = sorted((r["producer"], r["seq"], r["path"]) for r in out.collect())
+    want = sorted([(1, r["seq"], r["path"]) for r in log.collect()] + [(2, r["seq"], r["path"]) for r in docs.collect()])
+    assert got == want
