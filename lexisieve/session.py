@@ -29,6 +29,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         cores = os.cpu_count() or 8
         parts = shuffle_partitions or int(os.environ.get("LEXISIEVE_SHUFFLE_PARTITIONS", cores))
         builder = builder.config("spark.sql.shuffle.partitions", str(parts))
+    if (master or "").startswith("local"):
+        # Small local inputs: split scans finer than the 128 MB default so
+        # every core gets work (a stored index is many small bucket files).
+        split = os.environ.get("LEXISIEVE_MAX_PARTITION_BYTES", str(4 * 1024 * 1024))
+        builder = builder.config("spark.sql.files.maxPartitionBytes", split)
     builder = (
         builder.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
