@@ -64,6 +64,22 @@ def q_scan_corpus(spark, sf):
     return document_corpus(spark, sf).unionByName(page_corpus(spark, sf))
 
 
+def q_scan_files(spark, sf):
+    """Files on disk as the corpus: every document is written as its own text
+    file (source=<s>/doc_id=<d>/part-*.txt) by Spark, then read back whole with
+    the binaryFile source (folders discovered in parallel) and indexed."""
+    from lexisieve.session import spread
+    from lexisieve.sources.corpus import binary_corpus
+
+    d = read_table(spark, sf, "documents").select("source", "doc_id", "text")
+    folder = scratch_path(spark, "files")
+    spread(d, "source", "doc_id").write.partitionBy("source", "doc_id").text(folder)
+    files = binary_corpus(spark, folder, glob="*.txt",
+                          path=F.concat("source", F.lit("/"), F.col("doc_id").cast("string")),
+                          seq=F.col("doc_id"))
+    return idx.doc_words(files, unique_paths=True)
+
+
 def q_parse_requests(spark, sf):
     p = rq.parse_requests(benchmark_requests(spark, sf))
     return p.select("req_id", "cmd", F.array_join("words", " ").alias("words"),

@@ -126,6 +126,7 @@ def _w(*ctes: str) -> str:
 SQL: dict[str, str] = {
     # 2.1
     "scan_corpus": _w(D, P) + "SELECT path, seq, text FROM D UNION ALL SELECT path, seq, text FROM P",
+    "scan_files": _w(D, DW) + "SELECT path, word FROM DW",
     "parse_requests": _w(REQ) + ("SELECT req_id, cmd, array_to_string(words, ' ') AS words, "
                                  "CAST(len(words) AS BIGINT) AS n_words, error FROM PR"),
     "render_responses": _w(P, PW, REQ, hits("H", "PW"), lines("LN", "H")) + "SELECT req_id, part, line FROM LN",

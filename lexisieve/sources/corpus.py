@@ -33,14 +33,17 @@ def page_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def binary_corpus(spark: SparkSession, location: str, recursive: bool = False,
-                  glob: str | None = None) -> DataFrame:
+                  glob: str | None = None, path: Column | None = None,
+                  seq: Column | None = None) -> DataFrame:
     """Whole files as documents (one row per file, like a whole-file read).
 
     Bytes are decoded as UTF-8; invalid bytes turn into U+FFFD and therefore
     separate words, as any non-ASCII byte does. Files that vanish between
     listing and reading are skipped when ``spark.sql.files.ignoreMissingFiles``
-    is set. ``seq`` is the rank of the path in byte order, via a distributed
-    ordinal, so adds have a stable call order.
+    is set. Without ``recursive``, partition-style folders (``key=value``)
+    are discovered in parallel and come back as columns usable in ``path`` /
+    ``seq`` expressions. Without ``seq``, files are numbered in path order by
+    a distributed ordinal over the paths alone (contents are not read for it).
     """
     from lexisieve.operators.ordinal import dense_ordinal
 
@@ -49,8 +52,17 @@ def binary_corpus(spark: SparkSession, location: str, recursive: bool = False,
         reader = reader.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(location).select("path", F.col("content").cast("string").alias("text"))
-    return dense_ordinal(files, ["path"], "seq").select("path", "seq", "text")
+    files = reader.load(location)
+    text = F.col("content").cast("string").alias("text")
+    if seq is not None:
+        out = files.select((path if path is not None else F.col("path")).alias("path"),
+                           seq.cast("bigint").alias("seq"), text)
+        return spread(out, "path", "seq")
+    numbered = dense_ordinal(files.select("path"), ["path"], "seq")
+    out = files.select("path", text).join(numbered, "path")
+    if path is not None:
+        out = out.withColumn("path", path)
+    return out.select("path", "seq", "text")
 
 
 def conversation_changes(spark: SparkSession, sf_dir: str, mode: str = "mixed") -> DataFrame:
