@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 # Rows above which a side is never broadcast, whatever its byte estimate.
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -74,15 +75,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast hint behind a measured size check.
 
-    Counts the rows (one cheap job over the small side) and hints a broadcast
-    only below ``max_rows``; otherwise the join stays a shuffle join, where AQE
-    can still demote it to a broadcast at run time or split skewed partitions.
+    One cheap job over the small side measures its rows and bytes (string
+    bytes plus 8 per other column, per row); the broadcast hint is given only
+    when both are under their bounds. Otherwise the join stays a shuffle join,
+    where AQE can still demote it to a broadcast from run-time sizes or split
+    skewed partitions.
     """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    from pyspark.sql import types as T
+
+    width = F.lit(0)
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+        else:
+            width = width + F.lit(8)
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    rows, size = r["n"], r["b"] or 0
+    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
