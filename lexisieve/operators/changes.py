@@ -178,3 +178,31 @@ def duplicate_seqs(log: DataFrame) -> DataFrame:
     Empty for a valid log (partial aggregation; no row reaches the driver)."""
     dup = log.groupBy("seq").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("seq")
     return log.join(dup, "seq", "left_semi")
+
+
+def compact_log(log: DataFrame) -> DataFrame:
+    """An equivalent, shorter log: for every live path, at most two ADD rows
+    that rebuild its live postings and its current word set.
+
+    - at the life's first seq: the live words that are not in the current
+      word set (left over from earlier ADDs, R11), space-separated;
+    - at the life's last seq: the text of the last row (the current set).
+
+    Any later log (seqs above this one's) applied after the compacted rows
+    gives the same postings as after the full log: a later REINDEX removes
+    exactly the current set, leaving the left-overs, as it would have. Dead
+    paths, CLEAR rows and no-op rows disappear. Dense ids (doc and word) are
+    not kept: store ``live_documents`` / ``log_word_table`` first if needed.
+    """
+    rows = log.where(after_last_clear(log) & effective(log)).select("path", "seq", "op", "text")
+    n = neighbours(rows.select("path", "seq", "op"), ["path"], block_width(rows))
+    life = n.where(_in_life() & (F.col("op") != REMOVE)).select("path", "seq")
+    ends = life.groupBy("path").agg(F.min("seq").alias("first_seq"), F.max("seq").alias("seq"))
+    last = rows.join(ends, ["path", "seq"], "inner").select("path", "first_seq", "seq", "text")
+    current = last.select("path", F.explode(distinct_tokens("text")).alias("word"))
+    leftover = apply_changes(log).join(current, ["path", "word"], "left_anti")
+    # One document's left-over words: bounded by that document's own postings.
+    left_rows = leftover.groupBy("path").agg(F.array_join(F.array_sort(F.collect_list("word")), " ").alias("text")) \
+        .join(ends, "path").select(F.col("first_seq").alias("seq"), F.lit(ADD).alias("op"), "path", "text")
+    last_rows = last.select("seq", F.lit(ADD).alias("op"), "path", "text")
+    return left_rows.unionByName(last_rows)

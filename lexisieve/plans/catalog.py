@@ -266,6 +266,10 @@ def q_apply_changes(spark, sf):
     return chg.apply_changes(conversation_changes(spark, sf))
 
 
+def q_compact_log(spark, sf):
+    return chg.compact_log(conversation_changes(spark, sf, "clear"))
+
+
 def q_live_documents(spark, sf):
     return chg.live_documents(conversation_changes(spark, sf))
 

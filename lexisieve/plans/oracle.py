@@ -105,12 +105,25 @@ EFFECTIVE = """E AS (SELECT * FROM L
 LR AS (SELECT path, max(seq) FILTER (WHERE op = 'REMOVE') AS lr FROM E GROUP BY path),
 LIFE AS (SELECT E.* FROM E JOIN LR USING (path) WHERE (lr IS NULL OR E.seq > lr) AND op <> 'REMOVE')"""
 
-APPLY = f"""{EFFECTIVE},
+LIVE_POSTINGS = f"""{EFFECTIVE},
 LW AS (SELECT DISTINCT path, seq, lower(w) AS word FROM LIFE, unnest(regexp_extract_all(LIFE.text, {WORD})) AS t(w)),
-LAST AS (SELECT path, word, max(seq) AS s FROM LW GROUP BY path, word)
-SELECT x.path, x.word FROM LAST x
-WHERE NOT EXISTS (SELECT 1 FROM LIFE r WHERE r.path = x.path AND r.op = 'REINDEX'
-                  AND r.seq = (SELECT min(r2.seq) FROM LIFE r2 WHERE r2.path = x.path AND r2.seq > x.s))"""
+LAST AS (SELECT path, word, max(seq) AS s FROM LW GROUP BY path, word),
+LP AS (SELECT x.path, x.word FROM LAST x
+  WHERE NOT EXISTS (SELECT 1 FROM LIFE r WHERE r.path = x.path AND r.op = 'REINDEX'
+                    AND r.seq = (SELECT min(r2.seq) FROM LIFE r2 WHERE r2.path = x.path AND r2.seq > x.s)))"""
+
+APPLY = LIVE_POSTINGS + "\nSELECT path, word FROM LP"
+
+COMPACT = LIVE_POSTINGS + f""",
+ENDS AS (SELECT path, min(seq) AS first_seq, max(seq) AS last_seq FROM LIFE GROUP BY path),
+LASTR AS (SELECT LIFE.path, ENDS.first_seq, LIFE.seq, LIFE.text FROM LIFE JOIN ENDS
+          ON LIFE.path = ENDS.path AND LIFE.seq = ENDS.last_seq),
+CUR AS (SELECT DISTINCT path, lower(w) AS word FROM LASTR, unnest(regexp_extract_all(LASTR.text, {WORD})) AS t(w)),
+LEFTOVER AS (SELECT LP.path, string_agg(LP.word, ' ' ORDER BY LP.word) AS text FROM LP
+             WHERE NOT EXISTS (SELECT 1 FROM CUR c WHERE c.path = LP.path AND c.word = LP.word) GROUP BY LP.path)
+SELECT ENDS.first_seq AS seq, 'ADD' AS op, LEFTOVER.path, LEFTOVER.text FROM LEFTOVER JOIN ENDS USING (path)
+UNION ALL
+SELECT seq, 'ADD', path, text FROM LASTR"""
 
 LIVE = f"""{EFFECTIVE},
 ST AS (SELECT e.path, e.seq FROM E e WHERE e.op <> 'REMOVE'
@@ -190,6 +203,7 @@ FROM FP WHERE word NOT IN (SELECT word FROM WT)""",
     "changes_remove": _w(ADD_REMOVE_LOG, APPLY),
     "changes_clear": _w(conv_log("clear"), APPLY),
     "apply_changes": _w(conv_log("mixed"), APPLY),
+    "compact_log": _w(conv_log("clear"), COMPACT),
     "live_documents": _w(conv_log("mixed"), LIVE) + "SELECT doc_id, path FROM LIVE",
     "change_outcomes": _w(conv_log("clear")) + """,
 EP AS (SELECT l.*, (SELECT count(*) FROM L c WHERE c.op = 'CLEAR' AND c.seq < l.seq) AS epoch FROM L l),

@@ -147,3 +147,41 @@ def test_small_blocks_bridge_block_borders(spark, monkeypatch):
     rows = _random_log(rng, 30, ["p", "q", "r"], True)
     lg, docs = _check(spark, [rows])
     assert {r["path"]: r["doc_id"] for r in chg.live_documents(lg).collect()} == docs[0]
+
+
+def test_compacted_log_is_equivalent(spark):
+    """apply(compact(L) + L') == apply(L + L') for random L and later L'."""
+    rng = random.Random(21)
+    logs, tails = [], []
+    for _ in range(25):
+        logs.append(_random_log(rng, rng.randint(1, 12), ["p", "q", "r"], False))
+        tails.append(_random_log(rng, rng.randint(0, 6), ["p", "q", "r"], False))
+    head_rows, tail_rows = [], []
+    for k, (rows, tail) in enumerate(zip(logs, tails)):
+        for i, (op, path, text) in enumerate(rows):
+            head_rows.append((k * 10_000 + i * 7 + 3, op, f"L{k}/{path}", text))
+        for i, (op, path, text) in enumerate(tail):
+            tail_rows.append((k * 10_000 + 5_000 + i * 7, op, f"L{k}/{path}", text))
+    head = spark.createDataFrame(head_rows, CHANGE_LOG)
+    tail = spark.createDataFrame(tail_rows, CHANGE_LOG)
+    compacted = chg.compact_log(head)
+    assert compacted.count() <= head.count()
+    want = {(r["path"], r["word"]) for r in chg.apply_changes(head.unionByName(tail)).collect()}
+    got = {(r["path"], r["word"]) for r in chg.apply_changes(compacted.unionByName(tail)).collect()}
+    assert got == want
+    # compacting alone keeps the live postings and the live documents
+    assert {(r["path"], r["word"]) for r in chg.apply_changes(compacted).collect()} == \
+        {(r["path"], r["word"]) for r in chg.apply_changes(head).collect()}
+    assert {r["path"] for r in chg.live_documents(compacted).collect()} == \
+        {r["path"] for r in chg.live_documents(head).collect()}
+
+
+def test_compacted_log_after_clear(spark):
+    rng = random.Random(4)
+    rows = _random_log(rng, 30, ["p", "q", "r", "s"], True)
+    tail = _random_log(rng, 8, ["p", "q", "r", "s"], False)
+    head = spark.createDataFrame([(10 * i + 10, op, p, t) for i, (op, p, t) in enumerate(rows)], CHANGE_LOG)
+    later = spark.createDataFrame([(1000 + 10 * i, op, p, t) for i, (op, p, t) in enumerate(tail)], CHANGE_LOG)
+    m, _ = _replay(rows + tail)
+    got = {(r["path"], r["word"]) for r in chg.apply_changes(chg.compact_log(head).unionByName(later)).collect()}
+    assert got == m.postings()
