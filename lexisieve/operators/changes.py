@@ -46,7 +46,8 @@ def block_width(log: DataFrame, rows_per_block: int = BLOCK_ROWS) -> int:
 
 def after_last_clear(log: DataFrame) -> Column:
     last_clear = log.where(F.col("op") == CLEAR).agg(F.max("seq")).scalar()
-    return last_clear.isNull() | (F.col("seq") > last_clear)
+    # One reference to the subquery: without a CLEAR the comparison is null.
+    return F.coalesce(F.col("seq") > last_clear, F.lit(True))
 
 
 def effective(log: DataFrame) -> Column:
@@ -116,15 +117,23 @@ def _in_life() -> Column:
     return F.col("last_remove").isNull() | (F.col("seq") > F.col("last_remove"))
 
 
-def apply_changes(log: DataFrame) -> DataFrame:
-    """Live postings (path, word) after the whole log."""
-    life = _current(log, with_words=True).where(_in_life() & (F.col("op") != REMOVE))
+def _life(log: DataFrame) -> DataFrame:
+    """Rows of the current lives: (path, seq, op, words, next_op)."""
+    return _current(log, with_words=True).where(_in_life() & (F.col("op") != REMOVE))
+
+
+def _live_postings(life: DataFrame) -> DataFrame:
     killed = F.coalesce(F.col("next_op") == REINDEX, F.lit(False))
     cand = life.select("path", "seq", killed.alias("killed"), F.explode("words").alias("word"))
     last = cand.groupBy("path", "word").agg(F.max_by("killed", "seq").alias("killed"))
     return last.where(~F.col("killed")).select("path", "word")
 
 
+def apply_changes(log: DataFrame) -> DataFrame:
+    """Live postings (path, word) after the whole log."""
+    return _live_postings(_life(log))
+
+
 def live_documents(log: DataFrame) -> DataFrame:
     """(doc_id, path) of live documents. A document id is the ordinal of its
     life start among all life starts after the last CLEAR, dead ones
@@ -194,15 +203,17 @@ def compact_log(log: DataFrame) -> DataFrame:
     paths, CLEAR rows and no-op rows disappear. Dense ids (doc and word) are
     not kept: store ``live_documents`` / ``log_word_table`` first if needed.
     """
-    rows = log.where(after_last_clear(log) & effective(log)).select("path", "seq", "op", "text")
-    n = neighbours(rows.select("path", "seq", "op"), ["path"], block_width(rows))
-    life = n.where(_in_life() & (F.col("op") != REMOVE)).select("path", "seq")
+    from lexisieve.session import materialize
+
+    # The life rows feed three consumers: written once, read three times.
+    life = materialize(_life(log).select("path", "seq", "words", "next_op"), "life")
     ends = life.groupBy("path").agg(F.min("seq").alias("first_seq"), F.max("seq").alias("seq"))
-    last = rows.join(ends, ["path", "seq"], "inner").select("path", "first_seq", "seq", "text")
-    current = last.select("path", F.explode(distinct_tokens("text")).alias("word"))
-    leftover = apply_changes(log).join(current, ["path", "word"], "left_anti")
+    last = life.join(ends, ["path", "seq"], "inner")
+    current = last.select("path", F.explode("words").alias("word"))
+    leftover = _live_postings(life).join(current, ["path", "word"], "left_anti")
     # One document's left-over words: bounded by that document's own postings.
     left_rows = leftover.groupBy("path").agg(F.array_join(F.array_sort(F.collect_list("word")), " ").alias("text")) \
         .join(ends, "path").select(F.col("first_seq").alias("seq"), F.lit(ADD).alias("op"), "path", "text")
-    last_rows = last.select("seq", F.lit(ADD).alias("op"), "path", "text")
+    texts = log.select("path", "seq", "text").join(last.select("path", "seq"), ["path", "seq"], "left_semi")
+    last_rows = texts.select("seq", F.lit(ADD).alias("op"), "path", "text")
     return left_rows.unionByName(last_rows)

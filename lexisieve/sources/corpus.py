@@ -87,9 +87,9 @@ def conversation_changes(spark: SparkSession, sf_dir: str, mode: str = "mixed")
         # found with a distributed ordinal instead of buffering every seq.
         from lexisieve.operators.ordinal import dense_ordinal
 
-        n = log.agg(F.count(F.lit(1))).scalar()
+        n = log.count()  # one scalar to the driver
         ranked = dense_ordinal(log, ["seq"], "_rank")
-        log = ranked.withColumn("op", F.when(F.col("_rank") == F.ceil(n / 2), F.lit(CLEAR))
+        log = ranked.withColumn("op", F.when(F.col("_rank") == (n + 1) // 2, F.lit(CLEAR))
                                 .otherwise(F.col("op"))).drop("_rank")
     return log
 
