@@ -16,6 +16,25 @@ from pyspark.sql import functions as F
 from lexisieve.functions.text import distinct_tokens, tokens
 
 DEFAULT_BUCKETS = 64
+# Field-metadata key under which stored postings record their bucket count
+# (kept in the Parquet footer), so a reader never needs to be told B.
+BUCKETS_KEY = "lexisieve.buckets"
+
+
+def suggest_buckets(postings_bytes: int, target_bytes: int = 256 * 1024 * 1024) -> int:
+    """Bucket count for an expected postings size: a power of two giving
+    buckets of about ``target_bytes``, so a one-word search opens about one
+    file of its bucket and reads only the row groups holding the word."""
+    need = max(1, -(-postings_bytes // target_bytes))
+    return max(16, 1 << (need - 1).bit_length())
+
+
+def stored_buckets(postings: DataFrame) -> int | None:
+    """Bucket count recorded by ``write_postings``; None when not stored."""
+    if "word" not in postings.columns:
+        return None
+    value = postings.schema["word"].metadata.get(BUCKETS_KEY)
+    return int(value) if value is not None else None
 
 
 def bucket_of(word: Column | str, buckets: int = DEFAULT_BUCKETS) -> Column:
@@ -71,7 +90,8 @@ def write_postings(postings: DataFrame, location: str, buckets: int = DEFAULT_BU
                    mode: str = "errorifexists") -> None:
     """Store postings partitioned by bucket. Write each snapshot to a new
     location: Spark cannot safely overwrite a table it is reading."""
-    (inverted_index(postings.select("path", "word"), buckets)
+    tagged = postings.select("path", F.col("word").alias("word", metadata={BUCKETS_KEY: buckets}))
+    (inverted_index(tagged, buckets)
      .write.mode(mode).partitionBy("bucket").parquet(location))
 
 

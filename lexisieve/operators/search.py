@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexisieve.functions.text import lower_ascii_py
-from lexisieve.operators.index import DEFAULT_BUCKETS, bucket_of
+from lexisieve.operators.index import DEFAULT_BUCKETS, bucket_of, stored_buckets
 from lexisieve.session import broadcast_if_small
 
 SEARCH_ONE, SEARCH_ALL, SEARCH_ANY = "SEARCH_ONE", "SEARCH_ALL", "SEARCH_ANY"
@@ -28,10 +28,17 @@ def _normalise(words: Iterable[str]) -> list[str]:
     return sorted({lower_ascii_py(w) for w in words if w and lower_ascii_py(w)})
 
 
+def _buckets(postings: DataFrame, buckets: int) -> int:
+    """The stored bucket count wins over the argument (a fallback for
+    postings written without it)."""
+    return stored_buckets(postings) or buckets
+
+
 def _word_filter(postings: DataFrame, words: list[str], buckets: int) -> DataFrame:
     cond = F.col("word").isin(words)
     if "bucket" in postings.columns:
-        cond = F.col("bucket").isin([bucket_of(F.lit(w), buckets) for w in words]) & cond
+        b = _buckets(postings, buckets)
+        cond = F.col("bucket").isin([bucket_of(F.lit(w), b) for w in words]) & cond
     return postings.where(cond)
 
 
@@ -111,7 +118,7 @@ def batch_search(postings: DataFrame, queries: DataFrame, buckets: int = DEFAULT
         F.explode(F.array_distinct("words")).alias("word"),
     )
     if "bucket" in postings.columns:
-        qwords = qwords.withColumn("bucket", bucket_of("word", buckets))
+        qwords = qwords.withColumn("bucket", bucket_of("word", _buckets(postings, buckets)))
         keys = ["bucket", "word"]
     else:
         keys = ["word"]

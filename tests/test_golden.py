@@ -183,6 +183,10 @@ def test_bucketed_postings_prune(spark, scratch):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(bucket" in plan or "bucket#" in plan
     assert paths(srch.search_all(stored, ["beta", "gamma"], buckets=8)) == ["d2"]
+    # the stored bucket count is used even when the caller passes another one
+    assert idx.stored_buckets(stored) == 8
+    assert paths(srch.search_one(stored, "alpha", buckets=64)) == ["d1"]
+    assert idx.suggest_buckets(10 * 1024 ** 4) == 65536 and idx.suggest_buckets(1) == 16
     parsed = rq.parse_requests(requests(spark, ["SEARCH_ANY alpha gamma", "SEARCH_ALL beta alpha"]))
     got = sorted((r["req_id"], r["path"]) for r in srch.batch_search(stored, parsed, buckets=8).collect())
     assert got == [(1, "d1"), (1, "d2"), (1, "d3"), (2, "d1")]
