@@ -41,7 +41,23 @@ def block_width(log: DataFrame, rows_per_block: int = BLOCK_ROWS) -> int:
     if not r or not r["n"]:
         return 1
     span = int(r["hi"]) - int(r["lo"]) + 1
-    return max(1, math.ceil(span * rows_per_block / int(r["n"])))
+    return min(1 << 62, max(1, math.ceil(span * rows_per_block / int(r["n"]))))
+
+
+def _with_blocks(rows: DataFrame, keys: list[str], width: int | None) -> DataFrame:
+    """Add ``_blk``. By seq value (``seq div width``) when the fullest
+    (keys, block) group stays within a few times the target; otherwise, for
+    seq values clustered so densely that one block would swell, by rank:
+    ``ordinal(seq) div BLOCK_ROWS``, which bounds every block exactly."""
+    if width is not None:
+        return rows.withColumn("_blk", F.expr(f"seq div {width}"))
+    width = block_width(rows)
+    by_value = rows.withColumn("_blk", F.expr(f"seq div {width}"))
+    fullest = by_value.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    if fullest is None or fullest <= 8 * BLOCK_ROWS:
+        return by_value
+    ranks = dense_ordinal(rows.select("seq"), ["seq"], "_rank")
+    return rows.join(ranks, "seq").withColumn("_blk", F.expr(f"_rank div {BLOCK_ROWS}")).drop("_rank")
 
 
 def after_last_clear(log: DataFrame) -> Column:
@@ -76,11 +92,12 @@ def _name(c: Column) -> Column:
     return expr
 
 
-def neighbours(rows: DataFrame, keys: list[str], width: int) -> DataFrame:
+def neighbours(rows: DataFrame, keys: list[str], width: int | None = None) -> DataFrame:
     """Add ``prev_op``, ``next_op`` (the op of the previous / next row of the
-    same ``keys`` group by seq) and ``last_remove`` (the group's last REMOVE)."""
-    blk = F.expr(f"seq div {width}")
-    rows = rows.withColumn("_blk", blk).withColumn("_c", _code(F.col("op")))
+    same ``keys`` group by seq) and ``last_remove`` (the group's last REMOVE).
+    ``width`` fixes the seq block width; by default it is chosen from the data
+    (see ``_with_blocks``). Blocks must only be monotone in seq."""
+    rows = _with_blocks(rows, keys, width).withColumn("_c", _code(F.col("op")))
     inside = Window.partitionBy(*keys, "_blk").orderBy("seq")
     rows = rows.withColumn("_next_in", F.lead("_c").over(inside)) \
         .withColumn("_prev_in", F.lag("_c").over(inside))
@@ -110,7 +127,7 @@ def _current(log: DataFrame, with_words: bool) -> DataFrame:
         rows = rows.select("path", "seq", "op", distinct_tokens("text").alias("words"))
     else:
         rows = rows.select("path", "seq", "op")
-    return neighbours(rows, ["path"], block_width(rows))
+    return neighbours(rows, ["path"])
 
 
 def _in_life() -> Column:
@@ -171,7 +188,7 @@ def change_outcomes(log: DataFrame) -> DataFrame:
     acting = F.col("path").isNotNull() & (
         (F.col("op") == REMOVE) | (F.col("op").isin(ADD, REINDEX) & F.col("has_text")))
     eff = narrow.where(acting)
-    n = neighbours(eff.select("path", "epoch", "seq", "op"), ["path", "epoch"], block_width(eff))
+    n = neighbours(eff.select("path", "epoch", "seq", "op"), ["path", "epoch"])
     removes = n.where(F.col("op") == REMOVE).select(
         "seq", "op", "path", F.coalesce(F.col("prev_op").isin(ADD, REINDEX), F.lit(False)).alias("outcome"))
     others = narrow.where(~(acting & (F.col("op") == REMOVE))).select(

@@ -137,6 +137,19 @@ def test_random_logs_with_clear_and_ids(spark):
         assert words == m.words
 
 
+def test_rank_blocks_for_clustered_seqs(spark, monkeypatch):
+    """A block swelling past the bound switches to rank blocks (forced here by
+    a tiny target), and the results stay exact."""
+    monkeypatch.setattr(chg, "BLOCK_ROWS", 1)
+    calls = []
+    real = chg.dense_ordinal
+    monkeypatch.setattr(chg, "dense_ordinal", lambda *a, **k: calls.append(a[1]) or real(*a, **k))
+    rng = random.Random(8)
+    logs = [_random_log(rng, rng.randint(10, 16), ["p"], False) for _ in range(12)]
+    _check(spark, logs)
+    assert ["seq"] in calls  # the rank blocks were used
+
+
 def test_small_blocks_bridge_block_borders(spark, monkeypatch):
     """Blocks narrower than the seq step: every row is alone in its block, so
     every neighbour is found through the block-level table."""
