@@ -34,14 +34,20 @@ from lexisieve.schemas import ADD, CLEAR, REINDEX, REMOVE
 BLOCK_ROWS = 1 << 17
 
 
-def block_width(log: DataFrame, rows_per_block: int = BLOCK_ROWS) -> int:
-    """Width of a seq block so that an average block holds ``rows_per_block``
-    rows. One small aggregate job (three scalars to the driver)."""
+def _seq_stats(log: DataFrame) -> tuple[int, int]:
+    """(span of seq, rows): one small aggregate job, scalars to the driver."""
     r = log.agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"), F.count("seq").alias("n")).first()
     if not r or not r["n"]:
-        return 1
-    span = int(r["hi"]) - int(r["lo"]) + 1
-    return min(1 << 62, max(1, math.ceil(span * rows_per_block / int(r["n"]))))
+        return 1, 0
+    return int(r["hi"]) - int(r["lo"]) + 1, int(r["n"])
+
+
+def block_width(log: DataFrame, rows_per_block: int | None = None) -> int:
+    """Width of a seq block so that an average block holds ``rows_per_block``
+    rows (default ``BLOCK_ROWS``)."""
+    span, n = _seq_stats(log)
+    per = rows_per_block or BLOCK_ROWS
+    return min(1 << 62, max(1, math.ceil(span * per / max(n, 1))))
 
 
 def _with_blocks(rows: DataFrame, keys: list[str], width: int | None) -> DataFrame:
@@ -51,8 +57,11 @@ def _with_blocks(rows: DataFrame, keys: list[str], width: int | None) -> DataFra
     ``ordinal(seq) div BLOCK_ROWS``, which bounds every block exactly."""
     if width is not None:
         return rows.withColumn("_blk", F.expr(f"seq div {width}"))
-    width = block_width(rows)
+    span, n = _seq_stats(rows)
+    width = min(1 << 62, max(1, math.ceil(span * BLOCK_ROWS / max(n, 1))))
     by_value = rows.withColumn("_blk", F.expr(f"seq div {width}"))
+    if n <= 8 * BLOCK_ROWS:  # no block can exceed the bound: skip the check
+        return by_value
     fullest = by_value.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
     if fullest is None or fullest <= 8 * BLOCK_ROWS:
         return by_value
