@@ -110,6 +110,15 @@ def forward_add(postings: DataFrame, more: DataFrame) -> DataFrame:
     return postings_merge(postings, more)
 
 
+def forward_replace(postings: DataFrame, new_postings: DataFrame, paths: DataFrame | None = None) -> DataFrame:
+    """Set the word sets of some documents: their old pairs are dropped and
+    the new ones added. ``paths`` names the documents being set (default: the
+    paths in ``new_postings``; pass it to set a document to an empty set)."""
+    target = (paths if paths is not None else new_postings).select("path").distinct()
+    kept = postings.select("path", "word").join(target, "path", "left_anti")
+    return kept.unionByName(new_postings.select("path", "word"))
+
+
 def forward_lookup(postings: DataFrame, paths: DataFrame) -> DataFrame:
     """Words of the given documents (paths: a one-column ``path`` table)."""
     return postings.join(paths.select("path").distinct(), "path", "left_semi")

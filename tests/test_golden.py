@@ -210,3 +210,11 @@ def test_logs_have_unique_seq(spark):
     assert chg.duplicate_seqs(conversation_changes(spark, "/root/testdata/sf0.01")).count() == 0
     dup = log(spark, [("ADD", "p", "a")]).unionByName(log(spark, [("ADD", "q", "b")]))
     assert chg.duplicate_seqs(dup).count() == 2
+
+
+def test_forward_replace_sets_word_sets(spark):
+    post = idx.doc_words(corpus(spark, [("p", "a b"), ("q", "b c")]))
+    new = idx.doc_words(corpus(spark, [("p", "d")]))
+    assert pairs(idx.forward_replace(post, new)) == [("p", "d"), ("q", "b"), ("q", "c")]
+    empty_q = spark.createDataFrame([("q",)], "path string")
+    assert pairs(idx.forward_replace(post, new.where("false"), empty_q)) == [("p", "a"), ("p", "b")]
