@@ -99,7 +99,7 @@ def q_parse_responses(spark, sf):
     """Responses are rendered once and stored (the sink), then read back by
     the client-side parser, as a reader of a response stream would."""
     stored = materialize(q_run_requests(spark, sf), "responses")
-    return rq.parse_responses(stored)
+    return rq.parse_responses(rq.number_lines(stored))
 
 
 # 2.2 text functions ---------------------------------------------------------

@@ -85,7 +85,15 @@ def _strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^{_PY_SPACE}+|{_PY_SPACE}+$", "")
 
 
-def parse_responses(lines: DataFrame, resp_col: str = "req_id", order_cols: tuple[str, ...] = ("part", "line"),
+def number_lines(lines: DataFrame) -> DataFrame:
+    """Line numbers of the response text as written: a distributed ordinal
+    over (req_id, part, line), i.e. the order ``write_responses`` writes."""
+    from lexisieve.operators.ordinal import dense_ordinal
+
+    return dense_ordinal(lines, ["req_id", "part", "line"], "line_no")
+
+
+def parse_responses(lines: DataFrame, resp_col: str = "req_id", order_col: str = "line_no",
                     line_col: str = "line") -> DataFrame:
     """Client-side reading of response lines -> (resp_id, ok, path).
 
@@ -94,22 +102,23 @@ def parse_responses(lines: DataFrame, resp_col: str = "req_id", order_cols: tupl
     first one up to the first ``END`` (or to the end). Each response gives
     one status row (path null) and one row per path.
 
-    The per-response facts (first line, first END) are aggregated with
-    partial aggregation, then joined back on the response id; AQE's skew
-    join splits a response that holds most of the lines.
+    ``order_col`` is a numeric line order (line numbers of the stream). The
+    per-response facts are fixed-width hash aggregates (first line number,
+    first END line number); the first line is fetched by an equi-join on the
+    unique (response, line number); the body join on the response id is left
+    to AQE's skew handling when one response holds most lines.
     """
-    order = F.struct(*[F.col(c) for c in order_cols])
-    rows = lines.select(F.col(resp_col).alias("resp_id"), order.alias("_ord"),
+    rows = lines.select(F.col(resp_col).alias("resp_id"), F.col(order_col).alias("_no"),
                         _strip(F.col(line_col)).alias("_line")).where(F.col("_line") != "")
     facts = rows.groupBy("resp_id").agg(
-        F.min(F.struct(F.col("_ord"), F.col("_line"))).alias("_first"),
-        F.min(F.when(F.col("_line") == END, F.col("_ord"))).alias("_end"))
-    facts = facts.select("resp_id", F.col("_first._ord").alias("_first_ord"),
-                         F.col("_first._line").startswith("OK").alias("ok"), "_end")
-    body = rows.join(facts.where("ok"), "resp_id", "inner").where(
-        (F.col("_ord") > F.col("_first_ord")) & (F.col("_end").isNull() | (F.col("_ord") < F.col("_end"))))
+        F.min("_no").alias("_first_no"),
+        F.min(F.when(F.col("_line") == END, F.col("_no"))).alias("_end"))
+    firsts = rows.join(facts.withColumnRenamed("_first_no", "_no"), ["resp_id", "_no"], "inner").select(
+        "resp_id", F.col("_no").alias("_first_no"), "_end", F.col("_line").startswith("OK").alias("ok"))
+    body = rows.join(firsts.where("ok"), "resp_id", "inner").where(
+        (F.col("_no") > F.col("_first_no")) & (F.col("_end").isNull() | (F.col("_no") < F.col("_end"))))
     paths = body.select("resp_id", F.lit(True).alias("ok"), F.col("_line").alias("path"))
-    status = facts.select("resp_id", "ok", F.lit(None).cast("string").alias("path"))
+    status = firsts.select("resp_id", "ok", F.lit(None).cast("string").alias("path"))
     return status.unionByName(paths)
 
 

@@ -149,7 +149,8 @@ def test_parse_responses_rows_and_text(spark):
     docs = [("d1", "a b"), ("d2", "a")]
     post = idx.doc_words(corpus(spark, docs))
     lines = rq.run_requests(post, requests(spark, ["SEARCH_ONE a", "SEARCH_ALL zzz", "NOPE"]))
-    got = sorted((r["resp_id"], r["ok"], r["path"] or "") for r in rq.parse_responses(lines).collect())
+    got = sorted((r["resp_id"], r["ok"], r["path"] or "")
+                 for r in rq.parse_responses(rq.number_lines(lines)).collect())
     assert got == [(1, True, ""), (1, True, "d1"), (1, True, "d2"), (2, True, ""), (3, False, "")]
     texts = spark.createDataFrame(
         [("OK 2\nx\n  y \nEND\nz\n",), ("\n\nOK\n",), ("ERROR Unknown command\n",), ("OK 1\r\nq",)], "t string")
@@ -218,3 +219,15 @@ def test_forward_replace_sets_word_sets(spark):
     assert pairs(idx.forward_replace(post, new)) == [("p", "d"), ("q", "b"), ("q", "c")]
     empty_q = spark.createDataFrame([("q",)], "path string")
     assert pairs(idx.forward_replace(post, new.where("false"), empty_q)) == [("p", "a"), ("p", "b")]
+
+
+def test_parse_response_lines_client_rules(spark):
+    """Blank lines, stripping, no END, a first line that is not OK."""
+    rows = [(1, 1, "  "), (1, 2, " OK 2 "), (1, 3, "x"), (1, 4, ""), (1, 5, "y "), (1, 6, "END"), (1, 7, "z"),
+            (2, 1, "OK"), (2, 2, "a"), (2, 3, "b"),
+            (3, 1, "ERROR Unknown command"), (3, 2, "p"),
+            (4, 1, "END"), (4, 2, "OK 1")]
+    df = spark.createDataFrame(rows, "req_id bigint, line_no bigint, line string")
+    got = sorted((r["resp_id"], r["ok"], r["path"] or "") for r in rq.parse_responses(df).collect())
+    assert got == [(1, True, ""), (1, True, "x"), (1, True, "y"), (2, True, ""), (2, True, "a"),
+                   (2, True, "b"), (3, False, ""), (4, False, "")]
