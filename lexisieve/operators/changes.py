@@ -87,18 +87,15 @@ _CODES = {ADD: 1, REINDEX: 2, REMOVE: 3}
 
 
 def _code(c: Column) -> Column:
-    out = F.lit(0)
-    expr = None
-    for name, code in _CODES.items():
-        expr = (F.when(c == name, F.lit(code)) if expr is None else expr.when(c == name, F.lit(code)))
-    return expr.otherwise(out)
+    """Op name -> code (0 for anything else)."""
+    return (F.when(c == ADD, F.lit(_CODES[ADD])).when(c == REINDEX, F.lit(_CODES[REINDEX]))
+            .when(c == REMOVE, F.lit(_CODES[REMOVE])).otherwise(F.lit(0)))
 
 
 def _name(c: Column) -> Column:
-    expr = None
-    for name, code in _CODES.items():
-        expr = (F.when(c == code, F.lit(name)) if expr is None else expr.when(c == code, F.lit(name)))
-    return expr
+    """Code -> op name (null for 0 / no row)."""
+    return (F.when(c == _CODES[ADD], F.lit(ADD)).when(c == _CODES[REINDEX], F.lit(REINDEX))
+            .when(c == _CODES[REMOVE], F.lit(REMOVE)))
 
 
 def neighbours(rows: DataFrame, keys: list[str], width: int | None = None) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from helpers import corpus, log, pairs, paths, requests, responses
 from lexisieve.functions.text import tokens
 from lexisieve.operators import changes as chg
@@ -191,7 +189,6 @@ def test_bucketed_postings_prune(spark, scratch):
     parsed = rq.parse_requests(requests(spark, ["SEARCH_ANY alpha gamma", "SEARCH_ALL beta alpha"]))
     got = sorted((r["req_id"], r["path"]) for r in srch.batch_search(stored, parsed, buckets=8).collect())
     assert got == [(1, "d1"), (1, "d2"), (1, "d3"), (2, "d1")]
-    assert F is not None
 
 
 def test_response_sink_writes_reference_text(spark, scratch):
