@@ -18,7 +18,11 @@ from pyspark.sql import functions as F
 
 from lexisieve.functions.text import lower_ascii_py
 from lexisieve.operators.index import DEFAULT_BUCKETS, bucket_of, stored_buckets
-from lexisieve.session import broadcast_if_small
+from lexisieve.session import BROADCAST_MAX_ROWS, broadcast_if_small
+
+# Size bounds (rows) for the two broadcast candidates of a batch search.
+REQUEST_WORDS_BROADCAST_ROWS = BROADCAST_MAX_ROWS
+VOCABULARY_BROADCAST_ROWS = BROADCAST_MAX_ROWS
 
 SEARCH_ONE, SEARCH_ALL, SEARCH_ANY = "SEARCH_ONE", "SEARCH_ALL", "SEARCH_ANY"
 
@@ -106,9 +110,12 @@ def batch_search(postings: DataFrame, queries: DataFrame, buckets: int = DEFAULT
 
     Plan: the request words are exploded (one row per distinct word per
     request) and joined to the postings scan; that side is broadcast after a
-    size check, so the postings are streamed, never shuffled. Matches are
-    counted per (req_id, path), partially in every task first, and kept when
-    the command is SEARCH_ANY or every distinct word matched.
+    size check, so the postings are streamed, never shuffled. Beyond the
+    bound, the distinct vocabulary prunes the postings first (a broadcast
+    semi join, itself size-checked), and only those postings are shuffled
+    to meet the request words. Matches are counted per (req_id, path),
+    partially in every task first, and kept when the command is SEARCH_ANY
+    or every distinct word matched.
     """
     valid = queries.where(F.col("error").isNull() & (F.size("words") > 0))
     qwords = valid.select(
@@ -122,7 +129,16 @@ def batch_search(postings: DataFrame, queries: DataFrame, buckets: int = DEFAULT
         keys = ["bucket", "word"]
     else:
         keys = ["word"]
-    matched = postings.select(*keys, "path").join(broadcast_if_small(qwords), keys, "inner")
+    probe = broadcast_if_small(qwords, REQUEST_WORDS_BROADCAST_ROWS)
+    if probe is not qwords:  # request words broadcast: postings are streamed once
+        matched = postings.select(*keys, "path").join(probe, keys, "inner")
+    else:
+        # Too many request words to broadcast: first prune the postings with
+        # the distinct query vocabulary (far smaller; broadcast after its own
+        # check), so only postings of asked-for words reach the shuffle join.
+        vocab = broadcast_if_small(qwords.select(*keys).distinct(), VOCABULARY_BROADCAST_ROWS)
+        relevant = postings.select(*keys, "path").join(vocab, keys, "left_semi")
+        matched = relevant.join(qwords, keys, "inner")
     # ``any`` and ``n_words`` depend on req_id only: as grouping keys they do
     # not change the groups and keep the aggregate a fixed-width hash one.
     counted = matched.groupBy("req_id", "path", "any", "n_words").agg(F.count(F.lit(1)).alias("_n"))

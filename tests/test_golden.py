@@ -228,3 +228,22 @@ def test_parse_response_lines_client_rules(spark):
     got = sorted((r["resp_id"], r["ok"], r["path"] or "") for r in rq.parse_responses(df).collect())
     assert got == [(1, True, ""), (1, True, "x"), (1, True, "y"), (2, True, ""), (2, True, "a"),
                    (2, True, "b"), (3, False, ""), (4, False, "")]
+
+
+def test_batch_search_large_request_tables(spark, monkeypatch):
+    """The same hits when the request words cannot be broadcast (vocabulary
+    semi join, then shuffle join) and when neither can (plain shuffle join)."""
+    docs = [("d1", "a b c"), ("d2", "b c"), ("d3", "c d"), ("d4", "")]
+    post = idx.doc_words(corpus(spark, docs))
+    lines = ["SEARCH_ALL b c", "SEARCH_ANY a d zzz", "SEARCH_ONE c a", "SEARCH_ALL c zzz", "NOPE x"]
+    parsed = rq.parse_requests(requests(spark, lines))
+
+    def hits():
+        return sorted((r["req_id"], r["path"]) for r in srch.batch_search(post, parsed).collect())
+
+    want = [(1, "d1"), (1, "d2"), (2, "d1"), (2, "d3"), (3, "d1"), (3, "d2"), (3, "d3")]
+    assert hits() == want
+    monkeypatch.setattr(srch, "REQUEST_WORDS_BROADCAST_ROWS", 0)
+    assert hits() == want
+    monkeypatch.setattr(srch, "VOCABULARY_BROADCAST_ROWS", 0)
+    assert hits() == want
