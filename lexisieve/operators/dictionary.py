@@ -39,7 +39,10 @@ def word_table(corpus: DataFrame, start: int | Column = 1) -> DataFrame:
 
 
 def doc_table(corpus: DataFrame) -> DataFrame:
-    """(doc_id, path), ids in add order (the first ``seq`` of each path)."""
+    """(doc_id, path), ids in add order (the first ``seq`` of each path).
+    Unreadable documents (null text) are never registered (R14)."""
+    if "text" in corpus.columns:
+        corpus = corpus.where(F.col("text").isNotNull())
     first = corpus.groupBy("path").agg(F.min("seq").alias("seq"))
     return dense_ordinal(first, ["seq", "path"], "doc_id").select("doc_id", "path")
 

@@ -247,3 +247,12 @@ def test_batch_search_large_request_tables(spark, monkeypatch):
     assert hits() == want
     monkeypatch.setattr(srch, "VOCABULARY_BROADCAST_ROWS", 0)
     assert hits() == want
+
+
+def test_doc_table_skips_unreadable_and_keeps_empty(spark):
+    from lexisieve.operators import dictionary as dic
+
+    c = corpus(spark, [("p", "a"), ("bad", None), ("e", ""), ("p", "b")])
+    assert sorted((r["doc_id"], r["path"]) for r in dic.doc_table(c).collect()) == [(1, "p"), (2, "e")]
+    stats = idx.index_stats(idx.doc_words(c), c).first()
+    assert (stats["n_documents"], stats["n_words"], stats["n_postings"]) == (2, 2, 2)
