@@ -36,11 +36,28 @@ def stream_changes(spark: SparkSession, location: str, schema=CHANGE_LOG, fmt: s
     return reader.load(location)
 
 
+# Path buckets of the stored log; rows without a path (CLEAR) go to -1.
+LOG_BUCKETS = 64
+
+
+def _path_bucket(buckets: int = LOG_BUCKETS):
+    return F.when(F.col("path").isNull(), F.lit(-1)) \
+        .otherwise(F.pmod(F.xxhash64("path"), F.lit(buckets))).cast("int")
+
+
+def _write_batch(batch: DataFrame, log_dir: str, batch_id: int) -> str:
+    """One folder per micro-batch, overwritten on retry (a replayed batch id
+    leaves exactly one copy), partitioned by path bucket so that the history
+    of a few paths, or the CLEAR rows, can be read without the whole log."""
+    here = f"{log_dir.rstrip('/')}/batch_id={batch_id}"
+    (batch.select("seq", "op", "path", "text").withColumn("pbucket", _path_bucket())
+     .write.mode("overwrite").partitionBy("pbucket").parquet(here))
+    return here
+
+
 def _append_batch(log_dir: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        # One folder per micro-batch, overwritten on retry: replays of the
-        # same batch id leave exactly one copy.
-        batch.write.mode("overwrite").parquet(f"{log_dir.rstrip('/')}/batch_id={batch_id}")
+        _write_batch(batch, log_dir, batch_id)
     return write
 
 
@@ -61,9 +78,12 @@ def stream_ingest(changes: DataFrame, log_dir: str, checkpoint_location: str,
     return writer.start()
 
 
-def read_log(spark: SparkSession, log_dir: str) -> DataFrame:
-    """The change log written by ``stream_ingest`` (all batches so far)."""
-    return spark.read.schema(CHANGE_LOG).parquet(log_dir).select("seq", "op", "path", "text")
+def read_log(spark: SparkSession, log_dir: str, with_buckets: bool = False) -> DataFrame:
+    """The change log written by ``stream_ingest`` / ``stream_index`` (all
+    batches so far); ``with_buckets`` keeps the ``pbucket`` partition column."""
+    log = spark.read.parquet(log_dir)
+    cols = ["seq", "op", "path", "text"] + (["pbucket"] if with_buckets else [])
+    return log.select(*cols)
 
 
 def _version_path(base: str, batch_id: int) -> str:
@@ -78,10 +98,9 @@ def _index_batch(base: str, buckets: int):
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        here = f"{log_dir}/batch_id={batch_id}"
-        batch.select("seq", "op", "path", "text").write.mode("overwrite").parquet(here)
+        here = _write_batch(batch, log_dir, batch_id)
         rows = spark.read.parquet(here)  # read back: the batch is not recomputed
-        log = read_log(spark, log_dir)
+        log = read_log(spark, log_dir, with_buckets=True)
         previous = None
         if batch_id > 0 and rows.where(F.col("op") == CLEAR).limit(1).count() == 0:
             try:
@@ -89,15 +108,17 @@ def _index_batch(base: str, buckets: int):
             except Exception:  # no earlier version: rebuild from the log
                 previous = None
         if previous is None:
-            postings = apply_changes(log)
+            postings = apply_changes(log.drop("pbucket"))
         else:
             # Only the touched paths change; their whole history is re-applied,
-            # so a late row lands by its seq. CLEAR rows have no path and are
-            # kept, as they cut every history.
-            touched = rows.where(F.col("path").isNotNull()).select("path").distinct()
-            history = log.join(touched, "path", "left_semi").unionByName(log.where(F.col("op") == CLEAR))
-            kept = previous.select("path", "word").join(touched, "path", "left_anti")
-            postings = kept.unionByName(apply_changes(history))
+            # so a late row lands by its seq. The semi join on (pbucket, path)
+            # lets Spark prune log partitions to the touched buckets; CLEAR
+            # rows (bucket -1) are kept, as they cut every history.
+            touched = rows.where(F.col("path").isNotNull()).select("pbucket", "path").distinct()
+            history = log.join(touched, ["pbucket", "path"], "left_semi") \
+                .unionByName(log.where((F.col("pbucket") == -1) & (F.col("op") == CLEAR)))
+            kept = previous.select("path", "word").join(touched.select("path"), "path", "left_anti")
+            postings = kept.unionByName(apply_changes(history.drop("pbucket")))
         write_postings(postings, _version_path(base, batch_id), buckets, mode="overwrite")
         # The marker goes last: a listed version is always complete.
         spark.createDataFrame([(batch_id,)], "version bigint").write.mode("overwrite") \
