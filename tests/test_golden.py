@@ -256,3 +256,24 @@ def test_doc_table_skips_unreadable_and_keeps_empty(spark):
     assert sorted((r["doc_id"], r["path"]) for r in dic.doc_table(c).collect()) == [(1, "p"), (2, "e")]
     stats = idx.index_stats(idx.doc_words(c), c).first()
     assert (stats["n_documents"], stats["n_words"], stats["n_postings"]) == (2, 2, 2)
+
+
+def test_empty_inputs(spark):
+    from lexisieve.operators import dictionary as dic
+    from lexisieve.schemas import CHANGE_LOG, CORPUS, REQUESTS
+
+    empty_corpus = spark.createDataFrame([], CORPUS)
+    empty_log = spark.createDataFrame([], CHANGE_LOG)
+    assert dic.word_table(empty_corpus).count() == 0
+    assert dic.doc_table(empty_corpus).count() == 0
+    assert chg.apply_changes(empty_log).count() == 0
+    assert chg.live_documents(empty_log).count() == 0
+    assert chg.change_outcomes(empty_log).count() == 0
+    assert chg.compact_log(empty_log).count() == 0
+    post = idx.doc_words(corpus(spark, [("d", "a")]))
+    parsed = rq.parse_requests(spark.createDataFrame([], REQUESTS))
+    assert srch.batch_search(post, parsed).count() == 0
+    assert rq.run_requests(post, spark.createDataFrame([], REQUESTS)).count() == 0
+    only_clear = log(spark, [("CLEAR", None, None)])
+    assert chg.apply_changes(only_clear).count() == 0
+    assert [r["outcome"] for r in chg.change_outcomes(only_clear).collect()] == [None]
