@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as ent
 from conftest import SF_ORACLE
-from tools.check_oracle import digest, duck
+from tools.check_oracle import SPARK_TO_DUCK, digest, duck
 
 NAMES = sorted(ent.queries())
 
@@ -23,6 +23,8 @@ def test_query_matches_oracle(spark, con, name):
     rel = con.sql(ent.oracle_sql()[name])
     drows, dcols = rel.fetchall(), rel.columns
     assert sorted(cols) == sorted(dcols)
+    stypes = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, str(f.dataType)) for f in df.schema.fields}
+    assert stypes == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     assert len(rows) == len(drows)
     assert digest(rows, cols) == digest(drows, dcols)
 
