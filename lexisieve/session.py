@@ -9,7 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows above which a side is never broadcast, whatever its byte estimate.
+# Bounds for an explicit broadcast: a side is hinted only when its measured
+# row count and bytes are both within them.
 BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
