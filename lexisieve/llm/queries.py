@@ -11,6 +11,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from lexisieve.llm import token_blocks as T
+    spec = T.tokenizer_spec(public_tokenizers.path("word_bpe_49k.json"))
+    manifest = T.write_token_shards(_table(spark, sf_dir, "documents"), spec, T.token_folder(spark))
+    return T.read_token_shards(manifest).select(
+        "doc_id", "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexisieve.llm.decontaminate import contamination
     found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -19,10 +29,22 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from lexisieve.llm.byte_bpe import encode, load_ranks
+    ranks = load_ranks(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    out = encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, decode=True)
+    return out.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexisieve.llm.quality_risk import COUNTS, quality_rules
     out = quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return out.select("doc_id", *COUNTS, "base_failed", "kept", F.array_join("broken", ",").alias("broken"))
 
 
-QUERIES = {f.__name__: f for f in (op7_decontamination, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_token_blocks, op7_decontamination, op8_byte_bpe, op10_quality_rules)}
