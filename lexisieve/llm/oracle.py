@@ -21,4 +21,19 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
 """
 
-SQL = {"op7_decontamination": _OP7}
+_WORDS = "regexp_extract_all(" + _LOWER.format("text") + r", '[^\x{20}\x{09}-\x{0D}]+')"
+_OP6 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+             ELSE list_transform(range(1, len(w) - 3), lambda i: list_slice(w, i, i + 4)) END) AS sh FROM d),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
+pairs AS (SELECT a.doc_id AS u, b.doc_id AS v FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id
+          GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+both_ways AS (SELECT u, v FROM pairs UNION ALL SELECT v, u FROM pairs),
+reach AS (SELECT doc_id AS u, doc_id AS v FROM documents
+          UNION SELECT r.u, p.v FROM reach r JOIN both_ways p ON r.v = p.u)
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, min(v) AS component_id
+FROM s JOIN reach ON reach.u = s.doc_id GROUP BY s.doc_id, len(sh)
+"""
+
+SQL = {"op6_ngram_join": _OP6, "op7_decontamination": _OP7}

@@ -21,6 +21,11 @@ def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexisieve.llm.ngram_join import near_duplicates
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexisieve.llm.decontaminate import contamination
     found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -47,4 +52,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *COUNTS, "base_failed", "kept", F.array_join("broken", ",").alias("broken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_blocks, op7_decontamination, op8_byte_bpe, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_token_blocks, op6_ngram_join, op7_decontamination, op8_byte_bpe, op10_quality_rules)}

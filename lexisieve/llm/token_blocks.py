@@ -27,8 +27,11 @@ Other columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import os
+import re
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,7 +46,7 @@ from lexisieve.session import materialize, scratch_path
 MAGIC = b"LXPFOR01"
 BLOCK = 2048
 PERCENTILE = 90
-MAX_CHUNKS = 200_000
+MAX_CHUNKS = 400_000
 LONG_CHUNK = 64
 OUT_BYTES = 4 << 20
 _HEAD = struct.Struct("<IHHB")
@@ -152,23 +155,65 @@ class ShardReader:
             at = to
 
 
+_SPACES = bytes.maketrans(b"\n\t\r", b"   ")
+_STOPS = re.compile(rb"(?<=[A-Za-z0-9])([.,])(?= |$)")
+
+
 class WordEncoder:
-    """The tokenizer over whole texts, with a table of known chunks. Its
-    pre-tokenizer drops white space and cuts there, so a text's ids are those
-    of its space-separated chunks in turn; what is used again outlives a full
-    table."""
+    """The tokenizer over whole texts, with a table of known chunks.
+
+    Its pre-tokenizer drops white space, cuts there and between a letter or
+    digit and punctuation, and its normaliser lowers letters; so a text's ids
+    are those of its chunks in turn. A-Z are lowered beforehand unless the
+    text has combining marks (which may join with a small letter only). What
+    is used again outlives a full table.
+    """
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.encode_special_tokens = True
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.word_end[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    @staticmethod
+    def chunks(text: str | None) -> list[bytes]:
+        data = (text or "").encode("utf-8").translate(_SPACES)
+        if b"\xcc" not in data and b"\xcd" not in data:  # U+0300 to U+036F
+            data = data.lower()
+        return _STOPS.sub(rb" \1", data).split(b" ")
+
+    def _encode(self, chunks: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Ids of unknown chunks. A chunk of letters is one word to the
+        tokenizer and its last id, alone, is a word-end id: such chunks are
+        encoded as one text and cut after those ids."""
+        texts = [x.decode("utf-8") for x in chunks]
+        plain = [i for i, x in enumerate(texts) if x.isalpha()]
+        other = [i for i, x in enumerate(texts) if not x.isalpha()]
+        for k in range(0, len(plain), 2048):
+            part = plain[k:k + 2048]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(texts[i] for i in part)],
+                                                            add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.word_end[ids]) + 1
+            if len(ends) != len(part):
+                other += part
+                continue
+            data, cuts = ids.tobytes(), (4 * ends).tolist()
+            yield from zip((chunks[i] for i in part), (data[a:b] for a, b in zip([0, *cuts], cuts)))
+        for k in range(0, len(other), 4096):
+            part = other[k:k + 4096]
+            for i, e in zip(part, self.tokenizer.encode_batch_fast([texts[i] for i in part], add_special_tokens=False)):
+                yield chunks[i], array("I", e.ids).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian u32 bytes."""
-        chunks = [(x or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for x in texts]
+        chunks = [self.chunks(x) for x in texts]
         if len(self.new) >= MAX_CHUNKS:
             self.old, self.new = self.new, {}
         seen = set().union(*chunks)
@@ -182,12 +227,10 @@ class WordEncoder:
                     continue
                 self.new[x] = got
             here[x] = got
-        for k in range(0, len(missing), 4096):
-            part = missing[k:k + 4096]
-            for x, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                here[x] = got = np.array(e.ids, np.uint32).tobytes()
-                if len(x) <= LONG_CHUNK:
-                    self.new[x] = got
+        for x, ids in self._encode(missing):
+            here[x] = ids
+            if len(x) <= LONG_CHUNK:
+                self.new[x] = ids
         return [b"".join(map(here.__getitem__, c)) for c in chunks]
 
 
@@ -210,12 +253,13 @@ def _writer(spec_cast, folder: str, end_id: int, block: int, percentile: int):
         number = TaskContext.get().partitionId()
         location = f"{folder}/shard-{number:08d}.pfor"
         end = np.array([end_id], np.uint32).tobytes()
+        gc.disable()  # the tables hold many small objects and no cycles
         for batch in batches:
             keys, texts = batch.column("doc_id").to_pylist(), batch.column("text")
             at = 0
-            while at < len(keys):  # about a megabyte of text at a time
+            while at < len(keys):  # about 4 MB of text at a time
                 to, size = at, 0
-                while to < len(keys) and (to == at or size < 1 << 20):
+                while to < len(keys) and (to == at or size < 4 << 20):
                     size += len(texts[to].as_buffer() or b"") if texts[to].is_valid else 0
                     to += 1
                 for key, ids in zip(keys[at:to], encoder.encode(texts.slice(at, to - at).to_pylist())):
