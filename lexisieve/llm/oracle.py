@@ -36,4 +36,14 @@ SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, min(v) AS component_id
 FROM s JOIN reach ON reach.u = s.doc_id GROUP BY s.doc_id, len(sh)
 """
 
-SQL = {"op6_ngram_join": _OP6, "op7_decontamination": _OP7}
+_OP5 = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+d AS (SELECT hex, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + CAST((CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31 AS INT), 1)), '')
+        AS payload_digest, max(page_id) AS holder FROM p GROUP BY hex)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> holder THEN holder END AS refers_to
+FROM p JOIN d USING (hex)
+"""
+
+SQL = {"op5_warc_convert": _OP5, "op6_ngram_join": _OP6, "op7_decontamination": _OP7}

@@ -38,7 +38,7 @@ RULES = ("symbols", "dup_lines", "repeats", "capitals", "punctuation", "sameness
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-_FEATURES = "doc_id long, lang string, " + ", ".join(f"{c} long" for c in COUNTS) + ", " + \
+_FEATURES = "doc_id long, lang string, text_hash long, " + ", ".join(f"{c} long" for c in COUNTS) + ", " + \
     ", ".join(f"{r} int" for r in RULES)
 
 
@@ -120,19 +120,21 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rep, dist = _repeats(h, first), _distinct(h, first)
             same = np.where(n >= MIN_WORDS, _percent(n - dist, n), 0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(a, b - a), batch.column("lang").slice(a, b - a)]
+                [batch.column("doc_id").slice(a, b - a), batch.column("lang").slice(a, b - a),
+                 batch.column("text_hash").slice(a, b - a)]
                 + [pa.array(x.astype(np.int64)) for x in (n, chars, sym, lines[:, 1], rep)]
                 + [pa.array(x.astype(np.int32)) for x in (
                     _percent(sym, chars), _percent(lines[:, 1], lines[:, 0]), _percent(rep, n),
                     _percent(caps, chars), _percent(punct, chars), same)],
-                ["doc_id", "lang", *COUNTS, *RULES])
+                ["doc_id", "lang", "text_hash", *COUNTS, *RULES])
 
 
 def measure(docs: DataFrame) -> DataFrame:
-    """(doc_id, lang, counts, rule values, base_failed) of every document."""
+    """(doc_id, lang, text_hash, counts, rule values, base_failed) of every document."""
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    out = docs.select(F.col("doc_id").cast("long"), lang.alias("lang"), "text")
-    out = map_arrow(out, _features, _FEATURES)
+    text = F.col("text").cast("string")
+    out = map_arrow(docs.select(F.col("doc_id").cast("long"), lang.alias("lang"), F.xxhash64(text).alias("text_hash"),
+                                text.alias("text")), _features, _FEATURES)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return out.withColumn("base_failed", failed)
 

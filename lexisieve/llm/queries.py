@@ -21,6 +21,33 @@ def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexisieve.llm.license_scan import scan
+    out = scan(_table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"), F.array_min("base.word").alias("first_word"),
+        F.array_max("base.word").alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct("base.label")), ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score")
+
+
+def op4_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexisieve.llm.pii_bootstrap import KINDS, find_pii, spans_text
+    out = find_pii(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["rank"] < len(KINDS))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return out.select("doc_id", *[count(k) for k in KINDS], F.sha2(spans_text(base).cast("binary"), 256).alias("base_sha256"),
+                      spans_text(F.col("spans")).alias("spans"))
+
+
+def op5_warc_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexisieve.llm.warc_convert import arc_archives, convert, read_warc
+    return read_warc(convert(arc_archives(_table(spark, sf_dir, "pages")))) \
+        .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexisieve.llm.ngram_join import near_duplicates
     return near_duplicates(_table(spark, sf_dir, "documents"))
@@ -46,10 +73,15 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexisieve.llm.backoff_lm import score
+    return score(_table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexisieve.llm.quality_risk import COUNTS, quality_rules
     out = quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return out.select("doc_id", *COUNTS, "base_failed", "kept", F.array_join("broken", ",").alias("broken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_blocks, op6_ngram_join, op7_decontamination, op8_byte_bpe, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_token_blocks, op3_license_scan, op4_pii_bootstrap, op5_warc_convert, op6_ngram_join, op7_decontamination, op8_byte_bpe, op9_backoff_lm, op10_quality_rules)}
