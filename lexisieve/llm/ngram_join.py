@@ -253,11 +253,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     described = materialize(map_arrow(
         docs, _describe, "doc_id long, n long, sig long, sig2 long, heads array<long>, parity binary"), "shingle-sets")
-    real = described.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    named = real.where(F.col("doc_id").isNotNull())
-    classes = named.groupBy("sig", "sig2", "n").agg(F.min("doc_id").alias("rep"))
-    member = materialize(named.select("doc_id", "sig", "sig2", "n").join(classes, ["sig", "sig2", "n"])
-                         .select("doc_id", "rep", "n"), "classes")
+    named = described.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
+    # Only sets held more than once are joined back.
+    classes = named.groupBy("sig", "sig2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("_n")) \
+        .where("_n > 1").drop("_n")
+    member = materialize(named.select("doc_id", "sig", "sig2", "n")
+                         .join(broadcast_if_small(classes), ["sig", "sig2", "n"], "left")
+                         .select("doc_id", F.coalesce("rep", "doc_id").alias("rep"), "n"), "classes")
     reps = member.where(F.col("doc_id") == F.col("rep")).select("doc_id", "n").distinct()
     rep_rows = named.join(reps, ["doc_id", "n"], "left_semi")
 
