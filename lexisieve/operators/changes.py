@@ -42,14 +42,6 @@ def _seq_stats(log: DataFrame) -> tuple[int, int]:
     return int(r["hi"]) - int(r["lo"]) + 1, int(r["n"])
 
 
-def block_width(log: DataFrame, rows_per_block: int | None = None) -> int:
-    """Width of a seq block so that an average block holds ``rows_per_block``
-    rows (default ``BLOCK_ROWS``)."""
-    span, n = _seq_stats(log)
-    per = rows_per_block or BLOCK_ROWS
-    return min(1 << 62, max(1, math.ceil(span * per / max(n, 1))))
-
-
 def _with_blocks(rows: DataFrame, keys: list[str], width: int | None) -> DataFrame:
     """Add ``_blk``. By seq value (``seq div width``) when the fullest
     (keys, block) group stays within a few times the target; otherwise, for
@@ -197,7 +189,7 @@ def change_outcomes(log: DataFrame) -> DataFrame:
     n = neighbours(eff.select("path", "epoch", "seq", "op"), ["path", "epoch"])
     removes = n.where(F.col("op") == REMOVE).select(
         "seq", "op", "path", F.coalesce(F.col("prev_op").isin(ADD, REINDEX), F.lit(False)).alias("outcome"))
-    others = narrow.where(~(acting & (F.col("op") == REMOVE))).select(
+    others = narrow.where(~F.coalesce(acting & (F.col("op") == REMOVE), F.lit(False))).select(
         "seq", "op", "path",
         F.when(F.col("op").isin(ADD, REINDEX), F.col("has_text") & F.col("path").isNotNull())
         .when(F.col("op") == REMOVE, F.lit(False))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lexisieve.functions.text import distinct_tokens
 from lexisieve.operators.ordinal import dense_ordinal
+from lexisieve.session import broadcast_if_small
 
 
 def first_sightings(corpus: DataFrame) -> DataFrame:
@@ -84,7 +85,9 @@ def lookup_values(probe: DataFrame, table: DataFrame, id_col: str = "word_id") -
 
 
 def _membership(probe: DataFrame, table: DataFrame, key: str, flag: str) -> DataFrame:
-    known = table.select(key).distinct().withColumn("_hit", F.lit(True))
+    # Only the asked-for keys of the table are made distinct.
+    asked = broadcast_if_small(probe.select(key).distinct())
+    known = table.select(key).join(asked, key, "left_semi").distinct().withColumn("_hit", F.lit(True))
     return probe.join(known, key, "left").withColumn(flag, F.coalesce("_hit", F.lit(False))).drop("_hit")
 
 

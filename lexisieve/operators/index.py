@@ -145,7 +145,10 @@ def postings_remove(postings: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def has_word(probe: DataFrame, postings: DataFrame) -> DataFrame:
     """probe(word) -> (word, has_word): the word has at least one posting."""
-    known = postings.select("word").distinct().withColumn("_hit", F.lit(True))
+    from lexisieve.session import broadcast_if_small
+
+    asked = broadcast_if_small(probe.select("word").distinct())
+    known = postings.select("word").join(asked, "word", "left_semi").distinct().withColumn("_hit", F.lit(True))
     return probe.join(known, "word", "left") \
         .withColumn("has_word", F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit")
 

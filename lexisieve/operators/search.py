@@ -108,39 +108,37 @@ def batch_search(postings: DataFrame, queries: DataFrame, buckets: int = DEFAULT
     queries: (req_id, cmd, words ARRAY<STRING>, error) from ``parse_requests``.
     Returns (req_id, path) hits (unsorted; render or sort downstream).
 
-    Plan: the request words are exploded (one row per distinct word per
-    request) and joined to the postings scan; that side is broadcast after a
-    size check, so the postings are streamed, never shuffled. Beyond the
-    bound, the distinct vocabulary prunes the postings first (a broadcast
-    semi join, itself size-checked), and only those postings are shuffled
-    to meet the request words. Matches are counted per (req_id, path),
-    partially in every task first, and kept when the command is SEARCH_ANY
-    or every distinct word matched.
+    Plan: the distinct vocabulary prunes the postings (a semi join, broadcast
+    after a size check). ANY requests take distinct (req_id, path) of the
+    matches. AND requests go rarest word first: document frequencies of the
+    vocabulary name each request's rarest word, a request with an unknown
+    word ends there, the rarest word's documents are the candidates, and the
+    other words are looked up for candidates only (broadcast after a size
+    check). So no row is made for a common word's other documents.
     """
-    valid = queries.where(F.col("error").isNull() & (F.size("words") > 0))
-    qwords = valid.select(
-        "req_id",
-        (F.col("cmd") == SEARCH_ANY).alias("any"),
-        F.size(F.array_distinct("words")).cast("bigint").alias("n_words"),
-        F.explode(F.array_distinct("words")).alias("word"),
-    )
-    if "bucket" in postings.columns:
-        qwords = qwords.withColumn("bucket", bucket_of("word", _buckets(postings, buckets)))
-        keys = ["bucket", "word"]
-    else:
-        keys = ["word"]
-    probe = broadcast_if_small(qwords, REQUEST_WORDS_BROADCAST_ROWS)
-    if probe is not qwords:  # request words broadcast: postings are streamed once
-        matched = postings.select(*keys, "path").join(probe, keys, "inner")
-    else:
-        # Too many request words to broadcast: first prune the postings with
-        # the distinct query vocabulary (far smaller; broadcast after its own
-        # check), so only postings of asked-for words reach the shuffle join.
-        vocab = broadcast_if_small(qwords.select(*keys).distinct(), VOCABULARY_BROADCAST_ROWS)
-        relevant = postings.select(*keys, "path").join(vocab, keys, "left_semi")
-        matched = relevant.join(qwords, keys, "inner")
-    # ``any`` and ``n_words`` depend on req_id only: as grouping keys they do
-    # not change the groups and keep the aggregate a fixed-width hash one.
-    counted = matched.groupBy("req_id", "path", "any", "n_words").agg(F.count(F.lit(1)).alias("_n"))
-    keep = F.col("any") | (F.col("_n") == F.col("n_words"))
-    return counted.where(keep).select("req_id", "path")
+    valid = queries.where(F.col("error").isNull() & (F.size("words") > 0)).select(
+        "req_id", (F.col("cmd") == SEARCH_ANY).alias("any"), F.array_distinct("words").alias("words"))
+    keys = ["bucket", "word"] if "bucket" in postings.columns else ["word"]
+
+    def with_keys(words: DataFrame) -> DataFrame:
+        return words.withColumn("bucket", bucket_of("word", _buckets(postings, buckets))) if len(keys) == 2 else words
+    vocabulary = with_keys(valid.select(F.explode("words").alias("word")).distinct())
+    relevant = postings.select(*keys, "path").join(broadcast_if_small(vocabulary, VOCABULARY_BROADCAST_ROWS), keys,
+                                                   "left_semi")
+    either = with_keys(valid.where("any").select("req_id", F.explode("words").alias("word")))
+    found = relevant.join(broadcast_if_small(either, REQUEST_WORDS_BROADCAST_ROWS), keys).select("req_id", "path").distinct()
+
+    known = relevant.groupBy("word").agg(F.count_distinct("path").alias("_df"))
+    every = valid.where(~F.col("any")).select("req_id", "words", F.explode("words").alias("word"))
+    rarest = every.join(known, "word").groupBy("req_id", "words").agg(
+        F.min_by("word", F.struct("_df", "word")).alias("word"), F.count(F.lit(1)).alias("_known")) \
+        .where(F.col("_known") == F.size("words"))
+    lead = with_keys(rarest.select("req_id", "word", F.array_remove("words", F.col("word")).alias("others")))
+    candidates = relevant.join(broadcast_if_small(lead, REQUEST_WORDS_BROADCAST_ROWS), keys) \
+        .select("req_id", "path", "others").distinct()
+    single = candidates.where(F.size("others") == 0).select("req_id", "path")
+    asked = with_keys(candidates.where(F.size("others") > 0).select(
+        "req_id", "path", F.size("others").alias("_n"), F.explode("others").alias("word")))
+    held = relevant.join(broadcast_if_small(asked), [*keys, "path"]).groupBy("req_id", "path", "_n") \
+        .agg(F.count_distinct("word").alias("_held")).where(F.col("_held") == F.col("_n")).select("req_id", "path")
+    return found.unionByName(single).unionByName(held)

@@ -51,13 +51,11 @@ def parse_requests(requests: DataFrame, line_col: str = "request") -> DataFrame:
 def render_responses(parsed: DataFrame, hits: DataFrame) -> DataFrame:
     """Parsed requests + (req_id, path) hits -> response lines.
 
-    ``hits`` feeds both the status counts and the path lines. The join on
-    req_id makes Catalyst infer ``req_id IS NOT NULL`` for the counts side;
-    stating it once for both keeps the two sub-plans identical, so the search
-    runs once and its exchange is reused (a request needs an id anyway)."""
-    hits = hits.where(F.col("req_id").isNotNull())
-    counts = hits.groupBy("req_id").agg(F.count(F.lit(1)).alias("_n"))
-    heads = parsed.join(counts, "req_id", "left").select(
+    ``hits`` feeds both the status counts and the path lines. The join is
+    null-safe: a request without an id keeps its hits, and the two sub-plans
+    stay identical, so the search runs once and its exchange is reused."""
+    counts = hits.groupBy("req_id").agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed("req_id", "_req")
+    heads = parsed.join(counts, F.col("req_id").eqNullSafe(F.col("_req")), "left").select(
         "req_id", F.lit(0).cast("bigint").alias("part"),
         F.coalesce(F.col("error"), F.concat(F.lit("OK "), F.coalesce("_n", F.lit(0)).cast("string"))).alias("line"))
     body = hits.select("req_id", F.lit(1).cast("bigint").alias("part"), F.col("path").alias("line"))
@@ -108,8 +106,9 @@ def parse_responses(lines: DataFrame, resp_col: str = "req_id", order_col: str =
     unique (response, line number); the body join on the response id is left
     to AQE's skew handling when one response holds most lines.
     """
-    rows = lines.select(F.col(resp_col).alias("resp_id"), F.col(order_col).alias("_no"),
-                        _strip(F.col(line_col)).alias("_line")).where(F.col("_line") != "")
+    every = lines.select(F.col(resp_col).alias("resp_id"), F.col(order_col).alias("_no"),
+                         _strip(F.col(line_col)).alias("_line"))
+    rows = every.where(F.col("_line") != "")
     facts = rows.groupBy("resp_id").agg(
         F.min("_no").alias("_first_no"),
         F.min(F.when(F.col("_line") == END, F.col("_no"))).alias("_end"))
@@ -118,7 +117,10 @@ def parse_responses(lines: DataFrame, resp_col: str = "req_id", order_col: str =
     body = rows.join(firsts.where("ok"), "resp_id", "inner").where(
         (F.col("_no") > F.col("_first_no")) & (F.col("_end").isNull() | (F.col("_no") < F.col("_end"))))
     paths = body.select("resp_id", F.lit(True).alias("ok"), F.col("_line").alias("path"))
-    status = firsts.select("resp_id", "ok", F.lit(None).cast("string").alias("path"))
+    # One status for every response, also for one of blank lines only (not ok).
+    known = firsts.select(F.col("resp_id").alias("_id"), F.col("ok").alias("_ok"))
+    status = every.select("resp_id").distinct().join(known, F.col("resp_id").eqNullSafe(F.col("_id")), "left").select(
+        "resp_id", F.coalesce("_ok", F.lit(False)).alias("ok"), F.lit(None).cast("string").alias("path"))
     return status.unionByName(paths)
 
 

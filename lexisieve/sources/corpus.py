@@ -87,10 +87,10 @@ def conversation_changes(spark: SparkSession, sf_dir: str, mode: str = "mixed")
         # found with a distributed ordinal instead of buffering every seq.
         from lexisieve.operators.ordinal import dense_ordinal
 
-        n = log.count()  # one scalar to the driver
-        ranked = dense_ordinal(log, ["seq"], "_rank")
-        log = ranked.withColumn("op", F.when(F.col("_rank") == (n + 1) // 2, F.lit(CLEAR))
-                                .otherwise(F.col("op"))).drop("_rank")
+        seqs = c.select(seq.alias("seq"))
+        ranked = dense_ordinal(seqs, ["seq"], "_rank")
+        middle = ranked.where(F.col("_rank") == (seqs.count() + 1) // 2).agg(F.min("seq")).first()[0]  # one scalar
+        log = log.withColumn("op", F.when(F.col("seq") == F.lit(middle), F.lit(CLEAR)).otherwise(F.col("op")))
     return log
 
 

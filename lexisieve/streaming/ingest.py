@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lexisieve.schemas import CHANGE_LOG, CLEAR
+from lexisieve.schemas import CHANGE_LOG, CLEAR, POSTINGS
 
 
 def merge_producers(*producers: DataFrame) -> DataFrame:
@@ -36,12 +37,16 @@ def stream_changes(spark: SparkSession, location: str, schema=CHANGE_LOG, fmt: s
     return reader.load(location)
 
 
-# Path buckets of the stored log; rows without a path (CLEAR) go to -1.
+# Path buckets of the stored log; CLEAR rows, which cut every history whatever
+# their path, and rows without a path go to -1.
 LOG_BUCKETS = 64
+STORED_LOG = T.StructType([*CHANGE_LOG.fields, T.StructField("pbucket", T.IntegerType())])
+# After so many batches the index is written whole again.
+COMPACT_EVERY = 32
 
 
 def _path_bucket(buckets: int = LOG_BUCKETS):
-    return F.when(F.col("path").isNull(), F.lit(-1)) \
+    return F.when((F.col("op") == CLEAR) | F.col("path").isNull(), F.lit(-1)) \
         .otherwise(F.pmod(F.xxhash64("path"), F.lit(buckets))).cast("int")
 
 
@@ -50,7 +55,8 @@ def _write_batch(batch: DataFrame, log_dir: str, batch_id: int) -> str:
     leaves exactly one copy), partitioned by path bucket so that the history
     of a few paths, or the CLEAR rows, can be read without the whole log."""
     here = f"{log_dir.rstrip('/')}/batch_id={batch_id}"
-    (batch.select("seq", "op", "path", "text").withColumn("pbucket", _path_bucket())
+    rows = batch.select("seq", "op", "path", "text").withColumn("pbucket", F.coalesce(_path_bucket(), F.lit(-1)))
+    (rows
      .write.mode("overwrite").partitionBy("pbucket").parquet(here))
     return here
 
@@ -80,66 +86,88 @@ def stream_ingest(changes: DataFrame, log_dir: str, checkpoint_location: str,
 
 def read_log(spark: SparkSession, log_dir: str, with_buckets: bool = False) -> DataFrame:
     """The change log written by ``stream_ingest`` / ``stream_index`` (all
-    batches so far); ``with_buckets`` keeps the ``pbucket`` partition column."""
-    log = spark.read.parquet(log_dir)
+    batches so far); ``with_buckets`` keeps the ``pbucket`` partition column.
+    An empty log has no rows."""
+    schema = T.StructType([*STORED_LOG.fields, T.StructField("batch_id", T.LongType())])
+    log = spark.read.schema(schema).parquet(log_dir)
     cols = ["seq", "op", "path", "text"] + (["pbucket"] if with_buckets else [])
     return log.select(*cols)
 
 
-def _version_path(base: str, batch_id: int) -> str:
-    return f"{base.rstrip('/')}/postings/v={batch_id}"
+_DELTA = T.StructType([*POSTINGS.fields, T.StructField("batch_id", T.LongType())])
+_TOUCHED = T.StructType([T.StructField("path", T.StringType()), T.StructField("batch_id", T.LongType())])
+_VERSION = "version bigint, base bigint"
 
 
-def _index_batch(base: str, buckets: int):
+def _versions(spark: SparkSession, base: str) -> DataFrame:
+    """Markers of complete versions: (version, base), base being the batch
+    that last wrote the whole index."""
+    here = f"{base.rstrip('/')}/versions"
+    spark.createDataFrame([], _VERSION).write.mode("append").parquet(here)  # the folder exists from the first call
+    return spark.read.schema(_VERSION).parquet(here)
+
+
+def _index_at(spark: SparkSession, base: str, version: int, start: int) -> DataFrame:
+    """(path, word) of a version: each path as the last batch that touched it
+    left it, from the whole write at ``start`` on. Batches are partitions, so
+    later ones are pruned."""
+    upto = F.col("batch_id").between(start, version)
+    rows = spark.read.schema(_DELTA).parquet(f"{base.rstrip('/')}/delta").where(upto)
+    last = spark.read.schema(_TOUCHED).parquet(f"{base.rstrip('/')}/touched").where(upto) \
+        .groupBy("path").agg(F.max("batch_id").alias("_last"))
+    return rows.join(last, "path", "left").where(F.coalesce("_last", F.lit(start)) == F.col("batch_id")) \
+        .select("path", "word")
+
+
+def _index_batch(base: str, compact_every: int):
     from lexisieve.operators.changes import apply_changes
-    from lexisieve.operators.index import read_postings, write_postings
 
     log_dir = f"{base.rstrip('/')}/log"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         here = _write_batch(batch, log_dir, batch_id)
-        rows = spark.read.parquet(here)  # read back: the batch is not recomputed
+        rows = spark.read.schema(STORED_LOG).parquet(here)  # read back: the batch is not recomputed
+        known = _versions(spark, base).where(F.col("version") < batch_id).orderBy(F.desc("version")).first()
         log = read_log(spark, log_dir, with_buckets=True)
-        previous = None
-        if batch_id > 0 and rows.where(F.col("op") == CLEAR).limit(1).count() == 0:
-            try:
-                previous = read_postings(spark, _version_path(base, batch_id - 1))
-            except Exception:  # no earlier version: rebuild from the log
-                previous = None
-        if previous is None:
-            postings = apply_changes(log.drop("pbucket"))
+        touched = rows.where(F.col("path").isNotNull() & (F.col("op") != CLEAR)).select("pbucket", "path").distinct()
+        clears = rows.where(F.col("op") == CLEAR).limit(1).count() > 0
+        if known is None or clears:
+            # The first batch, or a CLEAR, which reaches every path.
+            start, postings = batch_id, apply_changes(log.drop("pbucket"))
         else:
             # Only the touched paths change; their whole history is re-applied,
             # so a late row lands by its seq. The semi join on (pbucket, path)
-            # lets Spark prune log partitions to the touched buckets; CLEAR
-            # rows (bucket -1) are kept, as they cut every history.
-            touched = rows.where(F.col("path").isNotNull()).select("pbucket", "path").distinct()
+            # prunes log partitions to the touched buckets; CLEAR rows
+            # (bucket -1) are kept, as they cut every history.
+            start = known["base"]
             history = log.join(touched, ["pbucket", "path"], "left_semi") \
                 .unionByName(log.where((F.col("pbucket") == -1) & (F.col("op") == CLEAR)))
-            kept = previous.select("path", "word").join(touched.select("path"), "path", "left_anti")
-            postings = kept.unionByName(apply_changes(history.drop("pbucket")))
-        write_postings(postings, _version_path(base, batch_id), buckets, mode="overwrite")
+            postings = apply_changes(history.drop("pbucket"))
+            if batch_id - start >= compact_every:
+                kept = _index_at(spark, base, known["version"], start).join(touched.select("path"), "path", "left_anti")
+                start, postings = batch_id, kept.unionByName(postings)
+        postings.select("path", "word").write.mode("overwrite").parquet(f"{base.rstrip('/')}/delta/batch_id={batch_id}")
+        touched.select("path").write.mode("overwrite").parquet(f"{base.rstrip('/')}/touched/batch_id={batch_id}")
         # The marker goes last: a listed version is always complete.
-        spark.createDataFrame([(batch_id,)], "version bigint").write.mode("overwrite") \
-            .parquet(f"{base.rstrip('/')}/versions/batch_id={batch_id}")
+        spark.createDataFrame([(batch_id, start)], _VERSION).write.mode("append").parquet(f"{base.rstrip('/')}/versions")
 
     return apply
 
 
-def stream_index(changes: DataFrame, base: str, checkpoint_location: str, buckets: int = 64,
+def stream_index(changes: DataFrame, base: str, checkpoint_location: str, compact_every: int = COMPACT_EVERY,
                  available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
     """Keep the live postings current while change rows stream in.
 
-    Every micro-batch appends its rows to ``base/log`` and writes a new
-    postings version ``base/postings/v=<batch>`` (bucketed, ready for search).
-    A batch without CLEAR recomputes only the paths it touches and keeps the
-    rest of the previous version; a CLEAR, or a missing previous version,
-    rebuilds from the whole log. Folders are per batch id and overwritten on
-    a retry, so replays are idempotent.
+    Every micro-batch appends its rows to ``base/log`` and writes the postings
+    of the paths it touches (``base/delta``) with the list of those paths
+    (``base/touched``); a path's newest entry counts. What a batch writes
+    follows the batch, not the index. A CLEAR, and every ``compact_every``-th
+    batch, writes the index whole, and reading starts there. Folders are per
+    batch id and overwritten on a retry, so replays are idempotent.
     """
     writer = (changes.select("seq", "op", "path", "text").writeStream
-              .foreachBatch(_index_batch(base, buckets))
+              .foreachBatch(_index_batch(base, compact_every))
               .option("checkpointLocation", checkpoint_location))
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
@@ -149,6 +177,9 @@ def stream_index(changes: DataFrame, base: str, checkpoint_location: str, bucket
 
 
 def latest_postings(spark: SparkSession, base: str) -> DataFrame:
-    """The newest complete postings version written by ``stream_index``."""
-    latest = spark.read.parquet(f"{base.rstrip('/')}/versions").agg(F.max("version")).first()[0]
-    return spark.read.parquet(_version_path(base, int(latest)))
+    """The newest complete version written by ``stream_index`` (no rows before
+    the first batch)."""
+    last = _versions(spark, base).orderBy(F.desc("version")).first()
+    if last is None:
+        return spark.createDataFrame([], POSTINGS)
+    return _index_at(spark, base, last["version"], last["base"])

@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as ent
+from lexisieve.plans.oracle import SQL
 from conftest import SF_ORACLE
 from tools.check_oracle import SPARK_TO_DUCK, digest, duck
 
-NAMES = sorted(ent.queries())
+NAMES = sorted(SQL)
 
 
 @pytest.fixture(scope="module")

@@ -153,13 +153,20 @@ def test_rank_blocks_for_clustered_seqs(spark, monkeypatch):
 def test_small_blocks_bridge_block_borders(spark, monkeypatch):
     """Blocks narrower than the seq step: every row is alone in its block, so
     every neighbour is found through the block-level table."""
-    monkeypatch.setattr(chg, "block_width", lambda rows, rows_per_block=1: 5)
+    real, widths = chg._with_blocks, []
+
+    def narrow(rows, keys, width):
+        out = real(rows, keys, 5)
+        widths.append(out.groupBy(*keys, "_blk").count().where("count > 1").count())
+        return out
+    monkeypatch.setattr(chg, "_with_blocks", narrow)
     rng = random.Random(3)
     logs = [_random_log(rng, rng.randint(2, 12), ["p", "q"], False) for _ in range(30)]
     _check(spark, logs)
     rows = _random_log(rng, 30, ["p", "q", "r"], True)
     lg, docs = _check(spark, [rows])
     assert {r["path"]: r["doc_id"] for r in chg.live_documents(lg).collect()} == docs[0]
+    assert widths and not any(widths)  # no block ever held two rows of a path
 
 
 def test_compacted_log_is_equivalent(spark):

@@ -71,7 +71,7 @@ def test_incremental_index_equals_batch(spark, scratch):
         src = f"{scratch}/{mode}/src"
         _write_parts(log, src, 3)  # rows of one path land in different, out-of-order batches
         out = f"{scratch}/{mode}/out"
-        q = stream_index(stream_changes(spark, f"{src}/*", max_files_per_trigger=1), out, f"{out}/ckpt", buckets=8)
+        q = stream_index(stream_changes(spark, f"{src}/*", max_files_per_trigger=1), out, f"{out}/ckpt", compact_every=2)
         q.awaitTermination()
         assert len(list(q.recentProgress)) >= 3
         got = latest_postings(spark, out)
@@ -94,3 +94,65 @@ def test_merge_producers_as_streams(spark, scratch):
     got = sorted((r["producer"], r["seq"], r["path"]) for r in out.collect())
     want = sorted([(1, r["seq"], r["path"]) for r in log.collect()] + [(2, r["seq"], r["path"]) for r in docs.collect()])
     assert got == want
+
+
+def _run_batches(spark, tmp_path, batches, compact_every=32):
+    """Each list of rows as one file and one micro-batch; (stream, batch) postings."""
+    from lexisieve.operators.changes import apply_changes
+    from lexisieve.schemas import CHANGE_LOG
+    from lexisieve.streaming import latest_postings, stream_changes, stream_index
+
+    src, out = str(tmp_path / "in"), str(tmp_path / "index")
+    for rows in batches:
+        spark.createDataFrame(rows, CHANGE_LOG).coalesce(1).write.mode("append").parquet(src)
+        stream_index(stream_changes(spark, src), out, f"{out}/ckpt", compact_every=compact_every).awaitTermination()
+    log = spark.createDataFrame([r for rows in batches for r in rows], CHANGE_LOG)
+    got = sorted((r["path"], r["word"]) for r in latest_postings(spark, out).collect())
+    return got, sorted((r["path"], r["word"]) for r in apply_changes(log).select("path", "word").collect())
+
+
+def test_clear_with_a_path_reaches_later_batches(spark, tmp_path):
+    first = [(1, "ADD", "p", "a"), (2, "ADD", "q", "b"), (4, "CLEAR", "x", None), (5, "ADD", "z", "z")]
+    got, want = _run_batches(spark, tmp_path, [first, [(6, "ADD", "p", "c")], [(3, "ADD", "q", "late")],
+                                               [(7, "REMOVE", "z", None)]])
+    assert got == want == [("p", "c")]
+
+
+def test_empty_batches_and_an_empty_index(spark, tmp_path):
+    got, want = _run_batches(spark, tmp_path, [[(1, "ADD", "p", "...")], [], [(2, "ADD", "p", "a")],
+                                               [(3, "REMOVE", "p", None)], [(4, "CLEAR", None, None)]])
+    assert got == want == []
+
+
+def test_compaction_keeps_the_index(spark, tmp_path):
+    batches = [[(10 * k + i, "ADD", f"d{i % 3}", f"w{k}{i}") for i in range(4)] for k in range(4)]
+    got, want = _run_batches(spark, tmp_path, batches, compact_every=2)
+    assert got == want and got
+
+
+def test_rows_without_op_request_id_or_text_stay(spark):
+    from lexisieve.operators.changes import change_outcomes
+    from lexisieve.plans.requests import parse_responses, render_responses
+    from lexisieve.schemas import CHANGE_LOG
+
+    log = spark.createDataFrame([(1, "ADD", "p", "a"), (2, None, "p", "b"), (3, "REMOVE", "p", None)], CHANGE_LOG)
+    assert sorted(r["seq"] for r in change_outcomes(log).collect()) == [1, 2, 3]
+    parsed = spark.createDataFrame([(None, "SEARCH_ONE", ["a"], None)], "req_id long, cmd string, words array<string>, error string")
+    hits = spark.createDataFrame([(None, "p")], "req_id long, path string")
+    assert sorted(r["line"] for r in render_responses(parsed, hits).collect()) == ["END", "OK 1", "p"]
+    lines = spark.createDataFrame([(1, 1, "  "), (2, 2, "OK 1"), (2, 3, "p"), (2, 4, "END")], "req_id long, line_no long, line string")
+    got = {(r["resp_id"], r["ok"], r["path"]) for r in parse_responses(lines).collect()}
+    assert got == {(1, False, None), (2, True, None), (2, True, "p")}
+
+
+def test_and_requests_make_no_rows_for_common_words(spark):
+    from lexisieve.operators.search import batch_search
+
+    rows = [(f"d{i}", "common") for i in range(2000)] + [("d7", "rare"), ("d9", "rare"), ("d9", "other")]
+    postings = spark.createDataFrame(rows + [("d9", "other")], "path string, word string")
+    asked = [(1, "SEARCH_ALL", ["common", "rare"], None), (2, "SEARCH_ALL", ["common", "unknown"], None),
+             (3, "SEARCH_ANY", ["rare", "other"], None), (4, "SEARCH_ALL", ["rare", "other", "common"], None),
+             (5, "SEARCH_ALL", ["other", "unknown"], None)]
+    queries = spark.createDataFrame(asked, "req_id long, cmd string, words array<string>, error string")
+    got = sorted((r["req_id"], r["path"]) for r in batch_search(postings, queries).collect())
+    assert got == [(1, "d7"), (1, "d9"), (3, "d7"), (3, "d9"), (4, "d9")]
