@@ -210,8 +210,10 @@ def _index_keys(frequent_cast, bitmap_cast):
 
 def _bitmap(slots: DataFrame) -> bytearray:
     """The slots as one bitmap: at most BITMAP_BITS / 32,768 rows of 4 KB."""
-    rows = slots.groupBy(F.bitmap_bucket_number("slot").alias("bucket")) \
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+    # The bitmap functions count from 1: value v is bit v - 1.
+    value = F.col("slot") + 1
+    rows = slots.groupBy(F.bitmap_bucket_number(value).alias("bucket")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("bits"))
     out = bytearray(BITMAP_BITS // 8)
     for r in rows.toLocalIterator():
         at = (r["bucket"] - 1) * 4096
