@@ -5,7 +5,7 @@ documents link when intersection / union >= 0.75.
 
 1. Documents with equal sets form a class; its smallest id stands for it.
 2. Quick links: representatives that share one of their eight smallest hashes
-   are compared with the smallest id holding that hash. True links found here
+   are compared with two documents holding that hash, its hubs. True links found here
    join most copies into provisional components, in work linear in the input.
 3. Complete candidates, between different provisional components only. Order
    the tokens by (frequent, hash). If two sets link, they share at least
@@ -14,7 +14,8 @@ documents link when intersection / union >= 0.75.
    tokens are indexed as combinations of k. Whatever the k shared tokens are,
    a rare one is a common key, or else their combination is. Frequent tokens
    (in the prefixes of ``FREQUENT`` components or more) thus never open a
-   list of their own, and the order moves them out of most prefixes.
+   list of their own, and the order moves them out of most prefixes. A pair
+   is made only where the tokens before its key leave enough to link.
 4. Verify: a parity bitmap bounds the symmetric difference from below and
    drops hopeless pairs without losing one; the rest are compared as sets.
 
@@ -149,6 +150,12 @@ def _token_rows(batch: pa.RecordBatch, tokens: list[np.ndarray], extra: list[str
     return pa.RecordBatch.from_arrays([pa.array(flat)] + [batch.column(c).take(rows) for c in extra], ["key", *extra])
 
 
+def _placed(rows: pa.RecordBatch, skipped: list[np.ndarray]) -> pa.RecordBatch:
+    """Adds how many of the set's tokens are not shared if this key is the first shared one."""
+    flat = np.concatenate(skipped).astype(np.int64) if skipped else np.zeros(0, np.int64)
+    return rows.append_column("skipped", pa.array(flat))
+
+
 def _halves(batch: pa.RecordBatch, rows: int = 1024) -> Iterator[pa.RecordBatch]:
     for k in range(0, batch.num_rows, rows):
         yield batch.slice(k, rows)
@@ -175,8 +182,9 @@ def _moved_tokens(frequent_cast):
     return run
 
 
-def _combinations(tokens: np.ndarray, rows: int = 1 << 16) -> Iterator[np.ndarray]:
-    """Keys of all pairs of the tokens (they are sorted), in bounded arrays."""
+def _combinations(tokens: np.ndarray, rows: int = 1 << 16) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys of all pairs of the tokens (they are sorted) and the index of the
+    later token, in bounded arrays."""
     n = len(tokens)
     salted = W.mix(tokens)
     at = 0
@@ -185,7 +193,7 @@ def _combinations(tokens: np.ndarray, rows: int = 1 << 16) -> Iterator[np.ndarra
         while to < n - 1 and (to - at) * n < rows:
             to += 1
         i, j = np.nonzero(np.arange(at, to)[:, None] < np.arange(n)[None, :])
-        yield W.mix(salted[i + at] * np.uint64(3) + tokens[j])
+        yield W.mix(salted[i + at] * np.uint64(3) + tokens[j]), j
         at = to
 
 
@@ -196,15 +204,18 @@ def _index_keys(frequent_cast, bitmap_cast):
         extra = ["doc_id", "component", "n"]
         for batch in batches:
             for part in _halves(batch):
-                singles = []
+                singles, places = [], []
                 for i, s in enumerate(sets(part.column("text"))):
                     rare, often = ordered_prefix(s, frequent)
                     slot = rare & _SLOT
-                    singles.append(rare[(bitmap[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1])
+                    hit = np.flatnonzero((bitmap[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1)
+                    singles.append(rare[hit])
+                    places.append(hit)  # tokens before it
                     if len(often) > 1:
-                        for keys in _combinations(often):
-                            yield _token_rows(part.slice(i, 1), [keys], extra)
-                yield _token_rows(part, singles, extra)
+                        for keys, second in _combinations(often):
+                            # Of two shared tokens the later one's place counts, less the earlier one.
+                            yield _placed(_token_rows(part.slice(i, 1), [keys], extra), [second + len(rare) - 1])
+                yield _placed(_token_rows(part, singles, extra), places)
     return run
 
 
@@ -243,10 +254,15 @@ def candidates(docs: DataFrame, labels: DataFrame) -> DataFrame:
         slots = slots.unionByName(map_arrow(texts.select("text"), _moved_tokens(frequent_cast), "slot long"))
     bitmap_cast = spark.sparkContext.broadcast(bytes(_bitmap(slots)))
     keys = materialize(map_arrow(texts.select("doc_id", "component", "n", "text"), _index_keys(frequent_cast, bitmap_cast),
-                                 "key long, doc_id long, component long, n long"), "index-keys")
-    x, y = (keys.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("doc_id", "component", "n")]) for s in "xy")
+                                 "key long, doc_id long, component long, n long, skipped long"), "index-keys")
+    x, y = (keys.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("doc_id", "component", "n", "skipped")])
+            for s in "xy")
+    # If the pair links, its intersection is at least 3/7 of both sizes' sum. At its first common key (the first
+    # shared token, or the first two) the tokens skipped so far are not shared; so that key passes this bound.
+    most = F.least(F.col("n_x") - F.col("skipped_x"), F.col("n_y") - F.col("skipped_y"))
     pairs = x.join(y, "key").where(
-        (F.col("component_x") < F.col("component_y")) & (4 * F.least("n_x", "n_y") >= 3 * F.greatest("n_x", "n_y")))
+        (F.col("component_x") < F.col("component_y")) & (4 * F.least("n_x", "n_y") >= 3 * F.greatest("n_x", "n_y"))
+        & (7 * most >= 3 * (F.col("n_x") + F.col("n_y"))))
     return pairs.select(F.col("doc_id_x").alias("a"), F.col("doc_id_y").alias("b")).distinct()
 
 
@@ -266,9 +282,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rep_rows = named.join(reps, ["doc_id", "n"], "left_semi")
 
     heads = rep_rows.select("doc_id", "n", F.explode("heads").alias("key"))
-    hubs = heads.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("_hi")).where("a <> _hi")
-    quick = heads.join(hubs.select("key", "a"), "key").where(F.col("doc_id") != F.col("a")) \
-        .select("a", F.col("doc_id").alias("b")).distinct()
+    # Two hubs for every hash: the smallest id, which gathers a group, and one
+    # that differs between hashes, for members that the first is too far from.
+    hubs = heads.groupBy("key").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("_n"),
+                                    F.min_by("doc_id", F.xxhash64("doc_id", "key")).alias("any")).where("_n > 1")
+    hubs = hubs.select("key", F.explode(F.array_distinct(F.array("low", "any"))).alias("hub"))
+    quick = heads.join(hubs, "key").where(F.col("doc_id") != F.col("hub")) \
+        .select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b")).distinct()
     links = verify(docs, rep_rows, quick)
     copies = member.where(F.col("doc_id") != F.col("rep")).select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
     first = materialize(components(links), "first-components")
