@@ -21,6 +21,11 @@ def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op2_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexisieve.llm.language_fusion import identify
+    return identify(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexisieve.llm.license_scan import scan
     out = scan(_table(spark, sf_dir, "documents"))
@@ -84,4 +89,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *COUNTS, "base_failed", "kept", F.array_join("broken", ",").alias("broken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_blocks, op3_license_scan, op4_pii_bootstrap, op5_warc_convert, op6_ngram_join, op7_decontamination, op8_byte_bpe, op9_backoff_lm, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_token_blocks, op2_language_fusion, op3_license_scan, op4_pii_bootstrap, op5_warc_convert, op6_ngram_join, op7_decontamination, op8_byte_bpe, op9_backoff_lm, op10_quality_rules)}
