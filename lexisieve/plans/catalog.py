@@ -211,6 +211,13 @@ def q_forward_lookup(spark, sf):
     return idx.forward_lookup(_doc_postings(spark, sf), paths)
 
 
+def q_forward_replace(spark, sf):
+    """The toxic documents' word sets become their request words, maybe none."""
+    post, toxic = _doc_postings(spark, sf), _toxic_paths(spark, sf)
+    new = post.join(toxic, "path", "left_semi").join(_request_words(spark, sf), "word", "left_semi")
+    return idx.forward_replace(post, new, toxic)
+
+
 def q_forward_remove(spark, sf):
     return idx.forward_remove(_doc_postings(spark, sf), _toxic_paths(spark, sf))
 

@@ -181,6 +181,8 @@ FROM FP WHERE word NOT IN (SELECT word FROM WT)""",
     "forward_index": _w(D, DW) + ("SELECT path, count(*) AS n_words, string_agg(word, ' ' ORDER BY word) AS words "
                                   "FROM DW GROUP BY path"),
     "forward_add": _w(D, P, DW, PW) + "SELECT path, word FROM DW UNION SELECT path, word FROM PW",
+    "forward_replace": _w(D, DW, TOXIC, REQ) + ("SELECT path, word FROM DW WHERE path NOT IN (SELECT path FROM TOX) "
+                                                "OR word IN (SELECT word FROM QV)"),
     "forward_lookup": _w(D, DW) + ("SELECT path, word FROM DW WHERE path IN "
                                    "(SELECT D.path FROM D JOIN labels l ON l.doc_id = D.seq WHERE l.quality = 1)"),
     "forward_remove": _w(D, DW, TOXIC) + "SELECT path, word FROM DW WHERE path NOT IN (SELECT path FROM TOX)",
