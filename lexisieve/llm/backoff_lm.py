@@ -1,20 +1,24 @@
 """Scoring with a weighted backoff automaton.
 
 Unigrams are counted exactly over all training tokens. A state of the
-automaton stands for the previous token; its arcs are the bigrams seen often
-enough, each with its interpolated probability (absolute discount), and its
-failure arc leads to the root with the weight of the unseen rest. One
+automaton stands for the previous token; its arcs are the bigrams seen at least
+``MIN_ARC`` times, each with its interpolated probability (absolute discount),
+and its failure arc leads to the root with the weight of the unseen rest. One
 left-to-right traversal of a text carries the state and adds log10 weights.
 
-What goes to the tasks has a proven bound that does not follow the corpus:
-the ``MAX_WORDS`` most frequent words' counts, and at most ``MAX_ARCS`` arcs
-between the ``MAX_CONTEXTS`` most frequent words (bounds in whole count
-levels). Words outside that table keep their exact counts: the traversal hands
-their hashes on and a distributed join adds their weights. Counting is
-aggregated in the task before each shuffle.
+Every training word is a state and every bigram seen ``MIN_ARC`` times an arc,
+whatever the size of the corpus: both are distributed tables. The tasks get the
+frequent part of them as a cache, at most ``MAX_WORDS`` words and ``MAX_ARCS``
+arcs between these (bounds in whole count levels). What the traversal does not
+find there it hands on, and a distributed join adds the weights: for a word its
+own and that of its failure arc (a text's previous tokens are its tokens, in
+another order), for a bigram what its arc has over the failure path. The bounds
+change the work, not the result. Counting is aggregated in the task before each
+shuffle.
 
 Tokens are words of ``[^\\x20\\x09-\\x0D]+`` with A-Z lowered, then one end; a
-document's first state is that of the end token. Words are 64-bit hashes.
+document's first state is that of the end token. Words and bigrams are 64-bit
+hashes.
 
 Defined results: null or empty text: the end token alone; a null id belongs to
 no fold (its crc32 is null) and is scored but not learnt from; without
@@ -25,6 +29,7 @@ one by one; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +43,13 @@ from lexisieve.session import materialize
 
 END = np.uint64(0xE0D0C0B0A0908071)
 MAX_WORDS = 1 << 20
-MAX_CONTEXTS = 1 << 16
 MAX_ARCS = 1 << 21
 MIN_ARC = 2
 DISCOUNT = 0.5
 HELD_TOKENS = 4 << 20
+ROWS = 1 << 16
+TURN = 23
+LEAST_REST = 1e-12
 
 
 def _sequences(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -94,25 +101,43 @@ def _previous(h: np.ndarray, row: np.ndarray) -> np.ndarray:
     return out
 
 
-def _count_pairs(contexts_cast):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        contexts, held, size = contexts_cast.value, [], 0
-        for batch in batches:
-            for _, _, h, row in _sequences(batch):
-                at = _find(contexts, h)
-                end = int(_find(contexts, np.array([END]))[0])
-                before = np.empty_like(at)
-                before[1:] = at[:-1]
-                before[np.concatenate([[True], row[1:] != row[:-1]])] = end
-                both = (at >= 0) & (before >= 0)
-                held.append((before[both].astype(np.uint64) << np.uint64(32)) | at[both].astype(np.uint64))
-                size += len(held[-1])
-                if size >= HELD_TOKENS:
-                    yield _summed(held)
-                    held, size = [], 0
-        if held:
-            yield _summed(held)
-    return run
+def _pair(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Hash of a bigram; with ``u`` it gives ``v`` back (see ``_second``)."""
+    return u ^ ((v << np.uint64(TURN)) | (v >> np.uint64(64 - TURN)))
+
+
+def _second(key: np.ndarray, u: np.ndarray) -> np.ndarray:
+    turned = key ^ u
+    return (turned >> np.uint64(TURN)) | (turned << np.uint64(64 - TURN))
+
+
+def _long(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64))
+
+
+def _summed_pairs(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    key, u = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    out = pa.RecordBatch.from_arrays([_long(key[first]), _long(u[order[first]]),
+                                      pa.array(np.diff(first, append=len(key)))], ["key", "u", "n"])
+    for at in range(0, len(first), ROWS):
+        yield out.slice(at, ROWS)
+
+
+def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for batch in batches:
+        for _, _, h, row in _sequences(batch):
+            u = _previous(h, row)
+            held.append((_pair(u, h), u))
+            size += len(h)
+            if size >= HELD_TOKENS:
+                yield from _summed_pairs(held)
+                held, size = [], 0
+    if size:
+        yield from _summed_pairs(held)
 
 
 def _level(c):
@@ -132,32 +157,37 @@ def _most_frequent(counts: DataFrame, most: int, least: int = 1) -> DataFrame:
     return counts.where((F.col("n") >= least) & (_level(F.col("n")) >= F.lit(1 << 20 if lowest is None else lowest)))
 
 
-def _arrays(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, counts) sorted by key, of a frame with a bound on its rows."""
-    t = df.select("key", "n").toArrow()
+def _arrays(df: DataFrame, *more: str) -> tuple[np.ndarray, ...]:
+    """(keys, counts, ``more``) sorted by key, of a frame with a bound on its rows."""
+    t = df.select("key", "n", *more).toArrow()
     keys = t.column("key").to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    return keys[order], t.column("n").to_numpy()[order]
+    return keys[order], *(t.column(c).to_numpy()[order] for c in ("n", *more))
 
 
 class Automaton:
-    """States, arcs and weights as sorted arrays."""
+    """States, arcs and weights as sorted arrays. ``rest`` is the unseen rest of
+    each context; without it the arcs given are all there are, as with ``whole``."""
 
-    def __init__(self, words, counts, contexts, context_counts, arcs, arc_counts, total: int, distinct: int):
+    def __init__(self, words, counts, contexts, context_counts, arcs, arc_counts, total: int, distinct: int,
+                 rest: np.ndarray | None = None, whole: bool = True):
+        self.whole = whole
         self.words, self.contexts, self.arcs = words, contexts, arcs
         self.floor = total + 0.5 * (distinct + 1)
         self.word_weight = np.log10((counts + 0.5) / self.floor)
         context_p = (context_counts + 0.5) / self.floor
         u, v = (arcs >> np.uint64(32)).astype(np.int64), (arcs & np.uint64(0xFFFFFFFF)).astype(np.int64)
         direct = (arc_counts - DISCOUNT) / context_counts[u] if len(arcs) else np.zeros(0)
-        rest = 1 - np.bincount(u, direct, minlength=len(contexts)) if len(arcs) else np.ones(len(contexts))
-        rest = np.maximum(rest, 1e-12)
+        if rest is None:
+            rest = 1 - np.bincount(u, direct, minlength=len(contexts)) if len(arcs) else np.ones(len(contexts))
+        rest = np.maximum(rest, LEAST_REST)
         self.failure = np.log10(rest)
         self.arc_weight = np.log10(direct + rest[u] * context_p[v]) if len(arcs) else np.zeros(0)
 
-    def walk(self, h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(base weight, score weight, in the word table) of every token. For a
-        word outside the table both lack its own weight."""
+    def walk(self, h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(base weight, score weight, in the word table, to be looked up as a
+        bigram) of every token. For a word outside the table both lack its own
+        weight, and the next token's score lacks its failure weight."""
         at = _find(self.words, h)
         known = at >= 0
         base = np.where(known, self.word_weight[at] if len(self.words) else 0.0, 0.0)
@@ -169,31 +199,89 @@ class Automaton:
         both = np.flatnonzero(inside & (there >= 0))
         arc = _find(self.arcs, (state[both].astype(np.uint64) << np.uint64(32)) | there[both].astype(np.uint64))
         score[both[arc >= 0]] = self.arc_weight[arc[arc >= 0]]
-        return base, score, known
+        look = np.full(len(h), not self.whole)
+        look[both[arc >= 0]] = False
+        return base, score, known, look
+
+
+class Model(NamedTuple):
+    cache: Automaton
+    words: DataFrame  # (key, n, rest) of every training word
+    arcs: DataFrame | None  # (key, gain) of every arc; None if the cache has them all
+    total: int
+    distinct: int
+
+    @property
+    def floor(self) -> float:
+        return self.total + 0.5 * (self.distinct + 1)
+
+
+def _cached_counts(cast):
+    """Adds what the cached words say of each arc's two words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, counts, rest = cast.value
+        for batch in batches:
+            key, u = (batch.column(c).to_numpy().view(np.uint64) for c in ("key", "u"))
+            v = _second(key, u)
+            i, j = _find(words, u), _find(words, v)
+
+            def of(x: np.ndarray, at: np.ndarray) -> pa.Array:
+                return pa.array(x[at] if len(x) else np.zeros(len(at), x.dtype), mask=at < 0)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("u"), _long(v), batch.column("n"),
+                                              of(counts, i), of(rest, i), of(counts, j)],
+                                             ["key", "u", "v", "n", "u_n", "u_rest", "v_n"])
+    return run
+
 
+def _gains(pairs: DataFrame, words: DataFrame, cached: tuple[np.ndarray, ...], floor: float, distinct: int) -> DataFrame:
+    """(key, gain) of every arc: its weight over that of the failure path.
+    Words outside the cache are rare, so no key of these joins is hot."""
+    cast = pairs.sparkSession.sparkContext.broadcast(cached)
+    arcs = materialize(map_arrow(pairs, _cached_counts(cast), "key long, u long, v long, n long, u_n long, u_rest double, "
+                                 "v_n long"), "arc-words")
+    if len(cached[0]) < distinct:
+        u = words.select(F.col("key").alias("u"), F.col("n").alias("u_n"), F.col("rest").alias("u_rest"))
+        arcs = arcs.where("u_n is not null").unionByName(arcs.where("u_n is null").drop("u_n", "u_rest").join(u, "u"))
+        v = words.select(F.col("key").alias("v"), F.col("n").alias("v_n"))
+        arcs = arcs.where("v_n is not null").unionByName(arcs.where("v_n is null").drop("v_n").join(v, "v"))
+    p = (F.col("v_n") + 0.5) / F.lit(floor)
+    direct = (F.col("n") - DISCOUNT) / F.col("u_n")
+    return arcs.select("key", (F.log10(direct + F.col("u_rest") * p) - F.log10("u_rest") - F.log10(p)).alias("gain"))
 
-def train(docs: DataFrame) -> tuple[Automaton, DataFrame, int, int]:
-    """(automaton, counts (key, n) of all words, tokens, distinct tokens)."""
+
+def train(docs: DataFrame) -> Model:
     texts = docs.select("text")
     counts = materialize(map_arrow(texts, _count_tokens, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")),
                          "token-counts")
     r = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    words, word_counts = _arrays(_most_frequent(counts, MAX_WORDS))
-    order = np.argsort(-word_counts, kind="stable")[:MAX_CONTEXTS]
-    end = _find(words, np.array([END]))
-    order = np.union1d(order, end[end >= 0])
-    contexts, context_counts = words[order], word_counts[order]
-    cast = docs.sparkSession.sparkContext.broadcast(contexts)
-    pairs = map_arrow(texts, _count_pairs(cast), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    arcs, arc_counts = _arrays(_most_frequent(materialize(pairs.where(F.col("n") >= MIN_ARC), "pair-counts"),
-                                              MAX_ARCS, MIN_ARC))
-    model = Automaton(words, word_counts, contexts, context_counts, arcs, arc_counts, int(r["n"]), int(r["v"]))
-    return model, counts, int(r["n"]), int(r["v"])
+    total, distinct = int(r["n"]), int(r["v"])
+    pairs = map_arrow(texts, _count_pairs, "key long, u long, n long").groupBy("key", "u").agg(F.sum("n").alias("n"))
+    pairs = materialize(pairs.where(F.col("n") >= MIN_ARC), "pair-counts")
+    seen = pairs.groupBy(F.col("u").alias("key")).agg(F.sum(F.col("n") - DISCOUNT).alias("seen"))
+    words = materialize(counts.join(seen, "key", "left").select("key", "n", F.greatest(
+        1 - F.coalesce("seen", F.lit(0.0)) / F.col("n"), F.lit(LEAST_REST)).alias("rest")), "word-states")
+    cached = _arrays(_most_frequent(words, MAX_WORDS), "rest")
+    key, arc_counts, u = _arrays(_most_frequent(pairs, MAX_ARCS, MIN_ARC), "u")
+    u = u.view(np.uint64)
+    i, j = _find(cached[0], u), _find(cached[0], _second(key, u))
+    both = (i >= 0) & (j >= 0)
+    arcs, arc_counts = (i[both].astype(np.uint64) << np.uint64(32)) | j[both].astype(np.uint64), arc_counts[both]
+    order = np.argsort(arcs)
+    whole = len(arcs) == pairs.count()
+    cache = Automaton(cached[0], cached[1], cached[0], cached[1], arcs[order], arc_counts[order], total, distinct,
+                      cached[2], whole)
+    return Model(cache, words, None if whole else _gains(pairs, words, cached, cache.floor, distinct), total, distinct)
 
 
 _SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                      ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()),
-                     ("rest", pa.list_(pa.int64()))])
+                     ("rest", pa.list_(pa.int64())), ("pairs", pa.list_(pa.int64()))])
+
+
+def _lists(values: np.ndarray, row: np.ndarray, taken: np.ndarray, rows: int) -> pa.ListArray:
+    """The taken values of each row."""
+    ends = np.cumsum(np.bincount(row[taken], minlength=rows))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), _long(values[taken]))
 
 
 def _scorer(cast):
@@ -201,16 +289,14 @@ def _scorer(cast):
         model, number = cast.value, TaskContext.get().partitionId() << 36
         for batch in batches:
             for a, b, h, row in _sequences(batch):
-                base, score, known = model.walk(h, row)
+                base, score, known, look = model.walk(h, row)
                 rows = b - a
-                rest = np.bincount(row[~known], minlength=rows)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.arange(number, number + rows)), batch.column("doc_id").slice(a, rows),
                     batch.column("held_out").slice(a, rows), pa.array(np.bincount(row, minlength=rows)),
                     pa.array(np.bincount(row[known], minlength=rows)), pa.array(np.bincount(row, base, minlength=rows)),
                     pa.array(np.bincount(row, score, minlength=rows)),
-                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(rest)]).astype(np.int32)),
-                                             pa.array(h[~known].view(np.int64)))], schema=_SCORED)
+                    _lists(h, row, ~known, rows), _lists(_pair(_previous(h, row), h), row, look, rows)], schema=_SCORED)
                 number += rows
     return run
 
@@ -221,18 +307,24 @@ def score(docs: DataFrame, fold: int = 1, folds: int = 5) -> DataFrame:
     held out, all others are learnt from."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = rows.withColumn("held_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == fold)
-    model, counts, total, distinct = train(rows.where(~F.col("held_out")))
-    cast = docs.sparkSession.sparkContext.broadcast(model)
+    model = train(rows.where(~F.col("held_out")))
+    cast = docs.sparkSession.sparkContext.broadcast(model.cache)
     walked = materialize(map_arrow(
         rows, _scorer(cast), "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, "
-        "score double, rest array<long>"), "walked")
+        "score double, rest array<long>, pairs array<long>"), "walked")
     rest = walked.select("row", F.explode("rest").alias("key")).groupBy("row", "key").agg(F.count(F.lit(1)).alias("tf"))
-    weight = F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(total + 0.5 * (distinct + 1)))
-    found = rest.join(counts, "key", "left").groupBy("row").agg(
-        F.sum(F.col("tf") * weight).alias("_w"), F.sum(F.when(F.col("n").isNotNull(), F.col("tf"))).alias("_k"))
-    out = walked.drop("rest").join(found, "row", "left")
-    more = F.coalesce("_w", F.lit(0.0))
+    weight = F.col("tf") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(model.floor))
+    found = rest.join(model.words, "key", "left").select(
+        "row", F.when(F.col("n").isNotNull(), F.col("tf")).alias("k"), weight.alias("base"),
+        (weight + F.col("tf") * F.log10(F.coalesce("rest", F.lit(1.0)))).alias("score"))
+    if model.arcs is not None:
+        gains = walked.select("row", F.explode("pairs").alias("key")).join(model.arcs, "key")
+        found = found.unionByName(gains.select("row", F.lit(None).cast("long").alias("k"), F.lit(0.0).alias("base"),
+                                               F.col("gain").alias("score")))
+    found = found.groupBy("row").agg(F.sum("base").alias("_b"), F.sum("score").alias("_s"), F.sum("k").alias("_k"))
+    out = walked.drop("rest", "pairs").join(found, "row", "left")
     return out.select("doc_id", F.coalesce("held_out", F.lit(False)).alias("held_out"), "n_tokens",
                       (F.col("known") + F.coalesce("_k", F.lit(0))).alias("n_known"),
-                      F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"),
-                      (F.col("score") + more).alias("score"))
+                      F.lit(model.total).cast("long").alias("train_tokens"),
+                      (F.col("base") + F.coalesce("_b", F.lit(0.0))).alias("base_score"),
+                      (F.col("score") + F.coalesce("_s", F.lit(0.0))).alias("score"))

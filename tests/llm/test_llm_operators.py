@@ -217,6 +217,30 @@ def test_backoff_scores(spark, docs, empty, monkeypatch):
     assert all(r["score"] < 0 for r in out) and L.score(empty).count() == 0
 
 
+@pytest.mark.parametrize("words, arcs", [(1 << 20, 1 << 21), (8, 4), (1 << 20, 4), (8, 1 << 21), (0, 0)])
+def test_every_state_and_arc_counts(spark, monkeypatch, words, arcs):
+    from lexisieve.llm import backoff_lm as L
+    monkeypatch.setattr(L, "MAX_WORDS", words)
+    monkeypatch.setattr(L, "MAX_ARCS", arcs)
+    rng = random.Random(5)
+    texts = [(i, " ".join(f"w{min(int(rng.expovariate(.08)), 60)}" for _ in range(rng.randrange(40)))) for i in range(60)]
+    texts += [(None, "w1 w2 new w3"), (7, None)]
+    tokens = [(i, [None, *(t or "").split(), None]) for i, t in texts]
+    learnt = [x for i, x in tokens if i is not None and zlib.crc32(str(i).encode()) % 5 != 1]
+    one = Counter(w for x in learnt for w in x[1:])
+    two = {p: n for p, n in Counter(p for x in learnt for p in zip(x, x[1:])).items() if n >= L.MIN_ARC}
+    seen = Counter()
+    for (u, _), n in two.items():
+        seen[u] += (n - L.DISCOUNT) / one[u]
+    floor = sum(one.values()) + .5 * (len(one) + 1)
+
+    def p(u, v):
+        return ((two[u, v] - L.DISCOUNT) / one[u] if (u, v) in two else 0) + (1 - seen[u]) * (one[v] + .5) / floor
+    want = Counter((i, round(sum(math.log10(p(u, v)) for u, v in zip(x, x[1:])), 4)) for i, x in tokens)
+    got = L.score(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert Counter((r["doc_id"], round(r["score"], 4)) for r in got) == want
+
+
 def test_automaton_is_a_distribution():
     from lexisieve.llm.backoff_lm import Automaton
     words = np.sort(np.array([3, 5, 9], np.uint64))
