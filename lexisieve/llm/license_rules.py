@@ -1,9 +1,9 @@
 """Signature rules of the license scan.
 
-One rule a line: label; priority (1-99); keyword; pattern. Patterns are regular
+One rule a line: label; priority (1-99); keywords; pattern. Patterns are regular
 expressions over a text's lower-case words joined by single spaces, matched at
-word borders. The keyword is a word that every match contains; a rule is tried
-only on texts that have it. Higher priorities win over contained detections.
+word borders. Every match contains one of the keywords (``a|b``) as a whole
+word; a rule is tried only on texts that have one. Higher priorities win over contained detections.
 """
 
 RULES = r"""
@@ -38,7 +38,7 @@ isc; 80; purpose; permission to use copy modify and or distribute this software
 bsd-2-clause; 90; bsd; spdx license identifier bsd 2 clause
 bsd-3-clause; 90; bsd; spdx license identifier bsd 3 clause
 bsd-4-clause; 90; bsd; spdx license identifier bsd 4 clause
-bsd-2-clause; 80; bsd; (?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd) licen[sc]e
+bsd-2-clause; 80; bsd|freebsd; (?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd) licen[sc]e
 bsd-2-clause; 75; bsd; bsd 2 clause
 bsd-3-clause; 80; bsd; (?:bsd 3 clause|3 clause bsd|three clause bsd|new bsd|modified bsd|revised bsd) licen[sc]e
 bsd-3-clause; 75; bsd; bsd 3 clause
@@ -212,13 +212,13 @@ osl-3.0; 80; open; open software licen[sc]e(?: version| v)? 3 0
 osl; 65; open; open software licen[sc]e
 ms-pl; 80; microsoft; microsoft public licen[sc]e
 ms-rl; 80; microsoft; microsoft reciprocal licen[sc]e
-eupl-1.2; 85; eupl; eupl(?: version| v)? ?1 2
-eupl-1.1; 85; eupl; eupl(?: version| v)? ?1 1
+eupl-1.2; 85; eupl|eupl1; eupl(?: version| v)? ?1 2
+eupl-1.1; 85; eupl|eupl1; eupl(?: version| v)? ?1 1
 eupl; 70; european; european union public licen[sc]e
 cecill-2.1; 80; cecill; cecill(?: free software licen[sc]e agreement)?(?: version| v)? 2 1
 cecill; 65; cecill; cecill(?: [bc])?(?: licen[sc]e)?
 apsl-2.0; 80; apple; apple public source licen[sc]e(?: version)?(?: 2 0)?
-qpl-1.0; 75; qpl; (?:the )?q(?:t)? ?public licen[sc]e(?: qpl)?
+qpl-1.0; 75; q|qt|qpublic|qtpublic; (?:the )?q(?:t)? ?public licen[sc]e(?: qpl)?
 sleepycat; 75; sleepycat; (?:the )?sleepycat licen[sc]e
 postgresql; 75; postgresql; (?:the )?postgresql licen[sc]e
 unicode; 75; unicode; unicode (?:data files and software |inc )?licen[sc]e(?: agreement)?
@@ -246,14 +246,14 @@ reserved; 55; derechos; todos los derechos reservados
 proprietary; 60; proprietary; (?:proprietary and confidential|confidential and proprietary)
 proprietary; 55; proprietary; (?:this|the) (?:software|document|work) is proprietary
 proprietary; 55; permission; (?:may not|must not|cannot) be (?:copied|reproduced|redistributed) without (?:\S+ ){0,3}permission
-proprietary; 50; reproduction; unauthorized (?:copying|reproduction|distribution)(?: or (?:copying|reproduction|distribution))?(?: \S+){0,6} prohibited
-proprietary; 55; eula; (?:end user licen[sc]e agreement|eula)(?: eula)?
+proprietary; 50; unauthorized; unauthorized (?:copying|reproduction|distribution)(?: or (?:copying|reproduction|distribution))?(?: \S+){0,6} prohibited
+proprietary; 55; agreement|eula; (?:end user licen[sc]e agreement|eula)(?: eula)?
 non-commercial; 50; commercial; for non commercial use only
 non-commercial; 50; noncommercial; for noncommercial use only
 non-commercial; 45; personal; for personal use only
 copyright; 30; copyright; copyright (?:c |by )?(?:[0-9]{4} )(?:[0-9]{4} )?\S+
-copyright; 25; copyright; (?:all )?copyright(?:s)? (?:by|of|is held by) \S+
+copyright; 25; copyright|copyrights; (?:all )?copyright(?:s)? (?:by|of|is held by) \S+
 license; 15; license; (?:is|are) licensed under \S+ \S+ license
-license; 12; licensed; (?:licensed|released|distributed) under (?:the )?\S+(?: \S+)? \S+
+license; 12; licensed|released|distributed; (?:licensed|released|distributed) under (?:the )?\S+(?: \S+)? \S+
 license; 10; licence; under (?:the )?\S+(?: \S+)? licence
 """

@@ -2,7 +2,7 @@
 
 A text becomes its lower-case words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``.
 Word hashes are looked up in the rules' keywords; texts without any end there.
-For the others every rule whose keyword occurs is matched against the words
+For the others every rule of which a keyword occurs is matched against the words
 joined by spaces. Detections carry word intervals; one that lies inside the
 interval of a better detection (higher priority, then longer, then earlier
 rule) is suppressed, so "gnu general public license" inside "gnu affero
@@ -43,7 +43,7 @@ _LOWER = {i: i + 32 for i in range(65, 91)}
 class Rule(NamedTuple):
     label: str
     priority: int
-    keyword: str
+    keywords: tuple[str, ...]
     pattern: regex.Pattern
 
 
@@ -59,8 +59,8 @@ class Detection(NamedTuple):
 def rules(table: str = RULES) -> tuple[Rule, ...]:
     out = []
     for line in table.strip().splitlines():
-        label, priority, keyword, pattern = (x.strip() for x in line.split(";", 3))
-        out.append(Rule(label, int(priority), keyword,
+        label, priority, keywords, pattern = (x.strip() for x in line.split(";", 3))
+        out.append(Rule(label, int(priority), tuple(keywords.split("|")),
                         regex.compile(r"(?<![^ ])(?:" + pattern.replace(",?", "") + r")(?![^ ])")))
     return tuple(out)
 
@@ -70,7 +70,8 @@ def _keywords(table: str = RULES) -> tuple[np.ndarray, tuple[tuple[int, ...], ..
     """(sorted keyword hashes, the rules of each)."""
     by: dict[str, list[int]] = {}
     for i, r in enumerate(rules(table)):
-        by.setdefault(r.keyword, []).append(i)
+        for keyword in r.keywords:
+            by.setdefault(keyword, []).append(i)
     names = list(by)
     h = W.hash_words(names)
     order = np.argsort(h)

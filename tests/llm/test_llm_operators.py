@@ -82,6 +82,43 @@ def test_license_scan(spark, empty):
     assert L.scan(empty).count() == 0
 
 
+def _phrases(tree):
+    """Texts that match a parsed pattern: every branch, each repeat at its least and once more."""
+    out = [""]
+    for op, x in tree:
+        op = str(op)
+        if op == "LITERAL":
+            more = [chr(x)]
+        elif op == "IN":
+            more = [chr(v) if str(k) == "LITERAL" else chr(v[0]) if str(k) == "RANGE" else "z" for k, v in x]
+        elif op == "SUBPATTERN":
+            more = _phrases(x[-1])
+        elif op == "BRANCH":
+            more = [p for branch in x[1] for p in _phrases(branch)]
+        else:
+            assert op == "MAX_REPEAT", op
+            least, most, part = x
+            more = [p * n for n in {least, min(int(most), least + 1)} for p in _phrases(part)]
+        out = [a + b for a in out for b in more]
+    return out
+
+
+def test_license_gate_loses_no_match(spark):
+    from lexisieve.llm import license_scan as L
+    from lexisieve.llm.license_rules import RULES
+    texts = set()
+    for line in RULES.strip().splitlines():
+        pattern = line.split(";", 3)[3].strip().replace(",?", "")
+        texts |= {" ".join(p.split()) for p in _phrases(re._parser.parse(pattern))}
+    texts = sorted(texts)
+    want = {i: [(d.first, d.end - 1, d.label, d.priority) for d in L.detect(t.split(), list(range(len(L.rules()))))]
+            for i, t in enumerate(texts)}
+    assert all(want.values())
+    got = {r["doc_id"]: [tuple(f) for f in r["found"]] for r in L.scan(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert {texts[i]: (got[i], want[i]) for i in want if got[i] != want[i]} == {}
+
+
 def test_personal_data(spark, docs, empty):
     from pyspark.sql import functions as F
 
