@@ -38,15 +38,32 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest id of each component of near-duplicates (documents
-    without an id stay)."""
+    without an id stay). With repeated ids the components are of texts: a row
+    goes only for its own text, or for an equal text of its id."""
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
+    if repeated:
+        return _near_duplicate_texts(docs)
     found = near_duplicates(docs)
     out = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(broadcast_if_small(materialize(out, "duplicates")), F.col("doc_id").cast("long") == F.col("_id"),
+    return docs.join(broadcast_if_small(materialize(out, "duplicates")), F.col("doc_id").cast("long") == F.col("_id"),
                      "left_anti")
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if repeated:  # several rows of one id: one stays
-        kept = kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
-    return kept
+
+
+def _near_duplicate_texts(docs: DataFrame) -> DataFrame:
+    key, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    texts = materialize(docs.where("doc_id is not null").select(
+        key.alias("_id"), F.xxhash64(text).alias("_h"), F.xxhash64(key, text).alias("node"), "text")
+        .dropDuplicates(["_id", "_h"]), "texts")
+    found = near_duplicates(texts.select(F.col("node").alias("doc_id"), "text"))
+    placed = materialize(found.select(F.col("doc_id").alias("node"), "component_id")
+                         .join(texts.drop("text"), "node"), "text-components")
+    first = placed.groupBy("component_id").agg(F.min(F.struct("_id", "_h")).alias("first"), F.count(F.lit(1)).alias("_n")) \
+        .where("_n > 1").drop("_n")
+    out = placed.join(broadcast_if_small(first), "component_id").where(F.struct("_id", "_h") != F.col("first"))
+    kept = docs.join(broadcast_if_small(materialize(out.select("_id", "_h"), "duplicates")),
+                     (key == F.col("_id")) & (F.xxhash64(text) == F.col("_h")), "left_anti")
+    return kept.where("doc_id is not null").dropDuplicates(["doc_id", "text"]) \
+        .unionByName(kept.where("doc_id is null"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

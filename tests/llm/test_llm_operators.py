@@ -333,3 +333,15 @@ def test_pipeline_stages(spark, docs, tmp_path):
     clean = corpus_pipeline.decontaminate(spark, docs, d)
     assert 7 not in {r["doc_id"] for r in clean.collect()} and clean.count() == len(ROWS) - 1
     assert corpus_pipeline.personal_data(spark, docs, d).columns == docs.columns
+
+
+def test_repeated_ids_lose_no_clean_text(spark):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    other, third = (" ".join(f"{c}{i}" for i in range(60)) for c in "xy")
+    rows = [(1, BASE, "a"), (2, other, "a"), (2, BASE + " x", "a"), (2, third, "a"), (2, third, "a"), (3, third + " z", "a"),
+            (4, None, "a"), (4, "", "a"), (None, BASE, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.near_duplicate(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert Counter(tuple(r) for r in kept.collect()) == Counter(
+        [(1, BASE, "a"), (2, other, "a"), (2, third, "a"), (4, None, "a"), (4, "", "a"), (None, BASE, "a")])
