@@ -46,4 +46,19 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = holder THEN '
 FROM p JOIN d USING (hex)
 """
 
-SQL = {"op5_warc_convert": _OP5, "op6_ngram_join": _OP6, "op7_decontamination": _OP7}
+_OP11 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x{20}\x{09}-\x{0D}]+') AS w
+           FROM documents),
+wins AS (SELECT r, doc_id, i, list_slice(w, i, i + 12) AS x
+         FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+firsts AS (SELECT x, min(doc_id) AS least FROM wins GROUP BY x),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 13)) AS k FROM wins JOIN firsts USING (x) WHERE doc_id > least),
+left_over AS (SELECT p.r, string_agg(p.word, ' ' ORDER BY p.k) AS kept
+              FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM d) p
+              LEFT JOIN gone g ON p.r = g.r AND p.k = g.k WHERE g.k IS NULL GROUP BY p.r),
+cut AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN left_over USING (r) LEFT JOIN cut USING (r)
+"""
+
+SQL = {"op5_warc_convert": _OP5, "op6_ngram_join": _OP6, "op7_decontamination": _OP7, "op11_substring_dedup": _OP11}

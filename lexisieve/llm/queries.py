@@ -89,4 +89,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *COUNTS, "base_failed", "kept", F.array_join("broken", ",").alias("broken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_blocks, op2_language_fusion, op3_license_scan, op4_pii_bootstrap, op5_warc_convert, op6_ngram_join, op7_decontamination, op8_byte_bpe, op9_backoff_lm, op10_quality_rules)}
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexisieve.llm.window_dedup import remove_repeats
+    return remove_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_token_blocks, op2_language_fusion, op3_license_scan, op4_pii_bootstrap, op5_warc_convert, op6_ngram_join,
+    op7_decontamination, op8_byte_bpe, op9_backoff_lm, op10_quality_rules, op11_substring_dedup)}
