@@ -95,6 +95,11 @@ def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexisieve.llm.spelling_groups import spelling_groups
+    return spelling_groups(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_blocks, op2_language_fusion, op3_license_scan, op4_pii_bootstrap, op5_warc_convert, op6_ngram_join,
-    op7_decontamination, op8_byte_bpe, op9_backoff_lm, op10_quality_rules, op11_substring_dedup)}
+    op7_decontamination, op8_byte_bpe, op9_backoff_lm, op10_quality_rules, op11_substring_dedup, op12_spelling_groups)}
