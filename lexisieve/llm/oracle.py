@@ -88,5 +88,30 @@ chain AS (SELECT word, word AS last_one, form AS next FROM g UNION ALL SELECT c.
 SELECT g.word, form, last_one AS root, n, n_near, form_n FROM g JOIN chain ON chain.word = g.word AND chain.next IS NULL
 """
 
+_OP13 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x{20}\x{09}]+') AS w
+      FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x{0A}-\x{0D}]')) AS piece FROM d)),
+totals AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM p GROUP BY lang),
+grams AS (SELECT lang, m, list_slice(w, i, i + m - 1) AS g
+          FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, range(1, 6) s(m) WHERE len(w) >= m)),
+f AS (SELECT lang, m, g, CAST(count(*) AS HUGEINT) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (SELECT lang, m, g, a, unnest(range(1, m)) AS k FROM f WHERE m > 1),
+scored AS (SELECT c.lang, c.m, c.g, c.a, k, x.a AS l, y.a AS r, n, (1000 * c.a * n) // (x.a * y.a) AS score
+           FROM cuts c JOIN totals USING (lang)
+           JOIN f x ON x.lang = c.lang AND x.g = list_slice(c.g, 1, k)
+           JOIN f y ON y.lang = c.lang AND y.g = list_slice(c.g, k + 1, c.m)),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inner_ones AS (SELECT DISTINCT lang, list_slice(g, i, i + q - 1) AS g, a
+               FROM (SELECT lang, g, a, m, q, unnest(range(1, m - q + 2)) AS i FROM f, range(2, 5) t(q) WHERE q < m)),
+kept AS (SELECT * FROM worst w WHERE NOT EXISTS (SELECT 1 FROM inner_ones o WHERE o.lang = w.lang AND o.g = w.g AND 100 * o.a >= 100 * w.a)),
+ranked AS (SELECT *, array_to_string(g, ' ') AS phrase,
+                  row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(g, ' '))) AS rank FROM kept)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
 SQL = {"op5_warc_convert": _OP5, "op6_ngram_join": _OP6, "op7_decontamination": _OP7, "op11_substring_dedup": _OP11,
-       "op12_spelling_groups": _OP12}
+       "op12_spelling_groups": _OP12, "op13_collocations": _OP13}

@@ -100,6 +100,12 @@ def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(_table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexisieve.llm.collocations import collocations
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_blocks, op2_language_fusion, op3_license_scan, op4_pii_bootstrap, op5_warc_convert, op6_ngram_join,
-    op7_decontamination, op8_byte_bpe, op9_backoff_lm, op10_quality_rules, op11_substring_dedup, op12_spelling_groups)}
+    op7_decontamination, op8_byte_bpe, op9_backoff_lm, op10_quality_rules, op11_substring_dedup, op12_spelling_groups,
+    op13_collocations)}

@@ -31,9 +31,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _MUL)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-#: Byte classes: "space" = [^\x20\x09-\x0D], "alnum" = digits, letters and everything above 0x7F.
+#: Byte classes: "space" = [^\x20\x09-\x0D], "alnum" = digits, letters and everything above 0x7F, "phrase" = "space"
+#: without the marks that end a piece of text.
 CLASSES = {"space": np.ones(256, bool), "alnum": np.zeros(256, bool)}
 CLASSES["space"][list(_SPACES)] = False
+CLASSES["phrase"] = CLASSES["space"].copy()
+CLASSES["phrase"][list(b".,;:!?")] = False
 CLASSES["alnum"][48:58] = CLASSES["alnum"][97:123] = CLASSES["alnum"][65:91] = CLASSES["alnum"][128:] = True
 _weights = np.cumprod(np.full(64, _MUL, np.uint64))
 
