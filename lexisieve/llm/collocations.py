@@ -37,10 +37,10 @@ from lexisieve.session import broadcast_if_small, materialize
 MIN_COUNT, LONGEST, TOP = 100, 5, 2000
 TILE = 1024
 DENSE = TILE * TILE // 64
-DENSE_TILES = 16
+DENSE_TILES = 8
 SLICE = 1 << 22
 BLOCK = 1 << 18
-PENDING = 1 << 22
+PENDING = 1 << 20
 _BUCKET_ENTRIES = 1 << 22
 _WORD = r"[^.,;:!?\x0A-\x0D\x20\x09]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -218,16 +218,17 @@ class TileCounter:
         self.pending.append(_summed(rest, np.ones(len(rest), np.int64)))
         self.size += len(self.pending[-1][0])
 
-    def drain(self) -> tuple[np.ndarray, np.ndarray]:
-        """The sorted codes and their counts so far; the counter is empty then."""
-        found = self.pending
-        for (row, col), cells in self.tiles.items():
-            at = np.flatnonzero(cells)
-            found.append(((row * TILE + at // TILE) * self.n_words + col * TILE + at % TILE, cells[at]))
-        self.tiles, self.pending, self.size = {}, [], 0
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return _summed(*(np.concatenate(x) for x in zip(*found)))
+    def drain(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Sorted codes and their counts so far, in runs of about PENDING; the
+        counter is empty then."""
+        while self.tiles or self.pending:
+            while self.tiles and self.size < PENDING:
+                (row, col), cells = self.tiles.popitem()
+                at = np.flatnonzero(cells)
+                self.pending.append(((row * TILE + at // TILE) * self.n_words + col * TILE + at % TILE, cells[at]))
+                self.size += len(at)
+            found, self.pending, self.size = self.pending, [], 0
+            yield _summed(*(np.concatenate(x) for x in zip(*found)))
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -239,8 +240,7 @@ def _unplanes(data: bytes) -> np.ndarray:
 
 
 def _deal(k: int, n_words: int, buckets: int, dtype) -> Callable:
-    def rows(counter):
-        codes, counts = counter.drain()
+    def rows(codes, counts):
         bucket = (W.mix(codes.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
         bucket = bucket[order]
@@ -257,8 +257,10 @@ def _deal(k: int, n_words: int, buckets: int, dtype) -> Callable:
         for words, left, _ in _read(batches, dtype):
             counter.add(_codes(words, left, k, n_words)[1])
             if counter.size >= PENDING:
-                yield from rows(counter)
-        yield from rows(counter)
+                for run in counter.drain():
+                    yield from rows(*run)
+        for run in counter.drain():
+            yield from rows(*run)
 
     return count
 
@@ -307,7 +309,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int =
     levels, numbers = [words], words.select("id", F.col("id").alias("key"))
     for k in range(2, longest + 1):
         dealt = map_arrow(blocks, _deal(k, n_words, buckets, dtype), "bucket int, codes binary, counts binary")
-        sums = map_arrow(dealt.repartitionById(buckets, "bucket"), _sum(min_count), "code long, n long")
+        sums = materialize(map_arrow(dealt.repartitionById(buckets, "bucket"), _sum(min_count), "code long, n long"), f"sums-{k}")
         ranked = dense_ordinal(sums.withColumn("_order", -F.col("n")), ["_order", "code"], "id", 0)
         ranked = materialize(ranked.select("id", F.col("code").alias("key"), "n"), f"pairs-{k}")
         levels.append(materialize(_described(ranked, levels, numbers, n_words, k), f"phrases-{k}"))

@@ -74,8 +74,11 @@ def test_tile_counter_is_exact():
     for c in (*codes, codes[0]):
         counter.add(c)
     assert counter.tiles
-    got = dict(zip(*(x.tolist() for x in counter.drain())))
-    assert got == Counter(np.concatenate([*codes, codes[0]]).tolist())
+    got = Counter()
+    for found, counts in counter.drain():
+        assert (np.diff(found) > 0).all()
+        got.update(dict(zip(found.tolist(), counts.tolist())))
+    assert not counter.size and got == Counter(np.concatenate([*codes, codes[0]]).tolist())
     assert (C._unplanes(C._planes(np.array([0, 7, 1 << 60]))) == [0, 7, 1 << 60]).all()
 
 
