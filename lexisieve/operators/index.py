@@ -99,10 +99,38 @@ def read_postings(spark, location: str) -> DataFrame:
     return spark.read.parquet(location)
 
 
+def write_terms(postings: DataFrame, location: str) -> None:
+    """Store the term statistics (word, bucket, n_docs) of stored postings,
+    sorted by (bucket, word), so that a reader knows unknown and rare words
+    without the postings."""
+    counts = postings.groupBy("bucket", "word").agg(F.count(F.lit(1)).alias("n_docs"))
+    counts.select("word", "bucket", "n_docs").sortWithinPartitions("bucket", "word").write.parquet(location)
+
+
+def write_index(postings: DataFrame, location: str, buckets: int = DEFAULT_BUCKETS) -> None:
+    """Stored postings and their term statistics in one folder."""
+    write_postings(postings, f"{location}/postings", buckets)
+    write_terms(read_postings(postings.sparkSession, f"{location}/postings"), f"{location}/terms")
+
+
+def read_index(spark, location: str) -> tuple[DataFrame, DataFrame]:
+    """(postings, terms) written by ``write_index``."""
+    return read_postings(spark, f"{location}/postings"), spark.read.parquet(f"{location}/terms")
+
+
 def postings_merge(postings: DataFrame, more: DataFrame) -> DataFrame:
-    """Union of two posting sets (set semantics)."""
+    """Union of two posting sets. ``postings`` is a set already (R4): where the
+    new rows are small by measure they go to the base, which is filtered for
+    them in place, and only the new rows not found there are added; the base is
+    not moved. Larger ones meet it in a shuffle."""
+    from lexisieve.session import broadcast_if_small, is_small, materialize
+
     cols = ["path", "word"]
-    return postings.select(*cols).unionByName(more.select(*cols)).distinct()
+    base, new = postings.select(*cols), materialize(more.select(*cols).distinct(), "new-postings")
+    if not is_small(new):
+        return base.unionByName(new).distinct()
+    there = materialize(base.join(F.broadcast(new), cols, "left_semi"), "known-postings")
+    return base.unionByName(new.join(broadcast_if_small(there), cols, "left_anti"))
 
 
 def forward_add(postings: DataFrame, more: DataFrame) -> DataFrame:

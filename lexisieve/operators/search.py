@@ -18,11 +18,13 @@ from pyspark.sql import functions as F
 
 from lexisieve.functions.text import lower_ascii_py
 from lexisieve.operators.index import DEFAULT_BUCKETS, bucket_of, stored_buckets
-from lexisieve.session import BROADCAST_MAX_ROWS, broadcast_if_small
+from lexisieve.session import BROADCAST_MAX_ROWS, broadcast_if_small, is_small, materialize
 
 # Size bounds (rows) for the two broadcast candidates of a batch search.
 REQUEST_WORDS_BROADCAST_ROWS = BROADCAST_MAX_ROWS
 VOCABULARY_BROADCAST_ROWS = BROADCAST_MAX_ROWS
+# A word in more documents is split over several tasks where a join shuffles.
+HOT_DOCS = 1 << 18
 
 SEARCH_ONE, SEARCH_ALL, SEARCH_ANY = "SEARCH_ONE", "SEARCH_ALL", "SEARCH_ANY"
 
@@ -102,43 +104,80 @@ def resolve_sorted(hits: DataFrame, documents: DataFrame) -> DataFrame:
     return hits.join(documents.select("doc_id", "path"), "doc_id", "inner").orderBy("path")
 
 
-def batch_search(postings: DataFrame, queries: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Answer a whole table of parsed requests in one job.
-
-    queries: (req_id, cmd, words ARRAY<STRING>, error) from ``parse_requests``.
-    Returns (req_id, path) hits (unsorted; render or sort downstream).
-
-    Plan: the distinct vocabulary prunes the postings (a semi join, broadcast
-    after a size check). ANY requests take distinct (req_id, path) of the
-    matches. AND requests go rarest word first: document frequencies of the
-    vocabulary name each request's rarest word, a request with an unknown
-    word ends there, the rarest word's documents are the candidates, and the
-    other words are looked up for candidates only (broadcast after a size
-    check). So no row is made for a common word's other documents.
+def salted(postings: DataFrame, probe: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a shuffle join on words with a ``_salt`` column: the
+    postings of a word in more than HOT_DOCS documents are split by path into
+    parts of about HOT_DOCS, its probe rows are repeated for each part. The
+    split words are few (HOT_DOCS postings each, at least)."""
+    hot = materialize(known.where(F.col("n_docs") > HOT_DOCS).select(
+        "word", F.ceil(F.col("n_docs") / HOT_DOCS).cast("int").alias("_parts")), "hot-words")
+    hot = broadcast_if_small(hot)
+    one = F.coalesce("_parts", F.lit(1))
+    left = postings.join(hot, "word", "left").withColumn("_salt", F.pmod(F.xxhash64("path"), one).cast("int")).drop("_parts")
+    right = probe.join(hot, "word", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), one - 1))).drop("_parts")
+    return left, right
+
+
+def _matches(postings: DataFrame, probe: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    """The postings of the probe's words, with its columns. A small probe is
+    broadcast; a large one is met in a shuffle, with hot words split."""
+    if is_small(probe, REQUEST_WORDS_BROADCAST_ROWS):
+        return postings.join(F.broadcast(probe), keys)
+    asked = broadcast_if_small(known.select(*keys), VOCABULARY_BROADCAST_ROWS)
+    left, right = salted(postings.join(asked, keys, "left_semi"), probe, known)
+    return left.join(right, [*keys, "_salt"]).drop("_salt")
+
+
+def batch_search(postings: DataFrame, queries: DataFrame, buckets: int = DEFAULT_BUCKETS,
+                 terms: DataFrame | None = None) -> DataFrame:
+    """Answer a whole table of parsed requests.
+
+    queries: (req_id, cmd, words ARRAY<STRING>, error) from ``parse_requests``;
+    terms: (word, n_docs), with ``bucket`` where the postings have it, counted
+    from the postings where it is not given. Returns (req_id, path) hits
+    (unsorted; render or sort downstream).
+
+    The term statistics tell the known words and each AND request's rarest one
+    without a look at the postings; a request with an unknown word ends there.
+    One join over the postings then gives the documents of every ANY word and
+    of the rarest words, and the latter are verified in a second one: the other
+    words of candidates only. So no row is made for a common word's other
+    documents, and the postings are read twice.
     """
-    valid = queries.where(F.col("error").isNull() & (F.size("words") > 0)).select(
-        "req_id", (F.col("cmd") == SEARCH_ANY).alias("any"), F.array_distinct("words").alias("words"))
     keys = ["bucket", "word"] if "bucket" in postings.columns else ["word"]
 
     def with_keys(words: DataFrame) -> DataFrame:
         return words.withColumn("bucket", bucket_of("word", _buckets(postings, buckets))) if len(keys) == 2 else words
-    vocabulary = with_keys(valid.select(F.explode("words").alias("word")).distinct())
-    relevant = postings.select(*keys, "path").join(broadcast_if_small(vocabulary, VOCABULARY_BROADCAST_ROWS), keys,
-                                                   "left_semi")
-    either = with_keys(valid.where("any").select("req_id", F.explode("words").alias("word")))
-    found = relevant.join(broadcast_if_small(either, REQUEST_WORDS_BROADCAST_ROWS), keys).select("req_id", "path").distinct()
-
-    known = relevant.groupBy("word").agg(F.count_distinct("path").alias("_df"))
-    every = valid.where(~F.col("any")).select("req_id", "words", F.explode("words").alias("word"))
-    rarest = every.join(known, "word").groupBy("req_id", "words").agg(
-        F.min_by("word", F.struct("_df", "word")).alias("word"), F.count(F.lit(1)).alias("_known")) \
-        .where(F.col("_known") == F.size("words"))
-    lead = with_keys(rarest.select("req_id", "word", F.array_remove("words", F.col("word")).alias("others")))
-    candidates = relevant.join(broadcast_if_small(lead, REQUEST_WORDS_BROADCAST_ROWS), keys) \
-        .select("req_id", "path", "others").distinct()
-    single = candidates.where(F.size("others") == 0).select("req_id", "path")
-    asked = with_keys(candidates.where(F.size("others") > 0).select(
-        "req_id", "path", F.size("others").alias("_n"), F.explode("others").alias("word")))
-    held = relevant.join(broadcast_if_small(asked), [*keys, "path"]).groupBy("req_id", "path", "_n") \
-        .agg(F.count_distinct("word").alias("_held")).where(F.col("_held") == F.col("_n")).select("req_id", "path")
-    return found.unionByName(single).unionByName(held)
+    valid = materialize(queries.where(F.col("error").isNull() & (F.size("words") > 0)).select(
+        "req_id", (F.col("cmd") == SEARCH_ANY).alias("any"), F.array_distinct("words").alias("words")), "requests")
+    asked = broadcast_if_small(with_keys(valid.select(F.explode("words").alias("word")).distinct()), VOCABULARY_BROADCAST_ROWS)
+    if terms is None:
+        terms = postings.join(asked, keys, "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("n_docs"))
+    known = materialize(terms.join(asked, keys, "left_semi").select(*keys, "n_docs"), "known-words")
+
+    counted = broadcast_if_small(known)
+    either = valid.where("any").select("req_id", "any", F.explode("words").alias("word")).join(counted.select("word"), "word")
+    every = valid.where(~F.col("any")).select("req_id", F.size("words").alias("_n"), F.explode("words").alias("word"))
+    lead = every.join(counted, "word").groupBy("req_id", "_n").agg(
+        F.min_by("word", F.struct("n_docs", "word")).alias("word"), F.count(F.lit(1)).alias("_known")) \
+        .where(F.col("_known") == F.col("_n"))
+    probe = either.select("req_id", "word", F.lit(0).alias("_n")).unionByName(lead.select("req_id", "word", "_n"))
+    probe = materialize(with_keys(probe), "probe")
+    candidates = materialize(_matches(postings.select(*keys, "path"), probe, known, keys)
+                             .select("req_id", "path", "_n", F.when(F.col("_n") > 0, F.col("word")).alias("lead")).distinct(),
+                             "candidates")
+    done = candidates.where(F.col("_n") < 2).select("req_id", "path")
+
+    open_ = candidates.where(F.col("_n") > 1)
+    others = valid.where(~F.col("any") & (F.size("words") > 1)).select("req_id", "words")
+    asked = open_.join(broadcast_if_small(others), "req_id").select(
+        "req_id", "path", "_n", F.explode(F.array_remove("words", F.col("lead"))).alias("word"))
+    asked = materialize(with_keys(asked), "to-verify")
+    if is_small(asked):
+        held = postings.select(*keys, "path").join(F.broadcast(asked), [*keys, "path"])
+    else:
+        words = broadcast_if_small(known.select(*keys), VOCABULARY_BROADCAST_ROWS)
+        held = postings.select(*keys, "path").join(words, keys, "left_semi").join(asked, [*keys, "path"])
+    held = held.groupBy("req_id", "path", "_n").agg(F.count_distinct("word").alias("_held")) \
+        .where(F.col("_held") == F.col("_n") - 1).select("req_id", "path")
+    return done.unionByName(held)

@@ -17,6 +17,7 @@ from lexisieve.operators import changes as chg
 from lexisieve.operators import dictionary as dic
 from lexisieve.operators import index as idx
 from lexisieve.operators import search as srch
+from lexisieve.operators.ordinal import dense_ordinal
 from lexisieve.plans import requests as rq
 from lexisieve.schemas import ADD, REMOVE
 from lexisieve.session import materialize, scratch_path
@@ -29,7 +30,7 @@ from lexisieve.sources.corpus import (
 )
 from lexisieve.sources.requests import benchmark_requests
 from lexisieve.streaming.ingest import (
-    latest_postings, merge_producers, read_log, stream_changes, stream_index, stream_ingest,
+    latest_postings, latest_terms, merge_producers, read_log, stream_changes, stream_index, stream_ingest,
 )
 
 # Fixed query parameters.
@@ -46,18 +47,29 @@ def _doc_postings(spark, sf):
     return idx.doc_words(document_corpus(spark, sf), unique_paths=True)
 
 
-_stored: dict[tuple[str, str], str] = {}
+_stored: dict[tuple, str] = {}
 
 
-def _stored_postings(spark, sf):
-    """The documents' postings written once per application and folder in the
-    stored, bucketed layout, as searches read them."""
-    key = (spark.sparkContext.applicationId, sf)
+def _files_now(table: DataFrame) -> int:
+    """A sum over a table's files: names, sizes and times of change."""
+    files = table.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    return files.agg(F.sum(F.xxhash64("file_path", "file_size", "file_modification_time").cast("decimal(38,0)"))).first()[0] or 0
+
+
+def _stored_index(spark, sf):
+    """(postings, terms) of the documents, written in the stored, bucketed
+    layout as searches read them; once per application, folder and state of
+    the folder's files."""
+    key = (spark.sparkContext.applicationId, sf, _files_now(read_table(spark, sf, "documents")))
     if key not in _stored:
-        location = scratch_path(spark, "postings")
-        idx.write_postings(_doc_postings(spark, sf), location)
+        location = scratch_path(spark, "index")
+        idx.write_index(_doc_postings(spark, sf), location)
         _stored[key] = location
-    return idx.read_postings(spark, _stored[key])
+    return idx.read_index(spark, _stored[key])
+
+
+def _stored_postings(spark, sf):
+    return _stored_index(spark, sf)[0]
 
 
 def _page_postings(spark, sf):
@@ -108,7 +120,8 @@ def q_render_responses(spark, sf):
 
 
 def q_run_requests(spark, sf):
-    return rq.run_requests(_stored_postings(spark, sf), benchmark_requests(spark, sf))
+    postings, terms = _stored_index(spark, sf)
+    return rq.run_requests(postings, benchmark_requests(spark, sf), terms=terms)
 
 
 def q_parse_responses(spark, sf):
@@ -202,7 +215,7 @@ def q_forward_index(spark, sf):
 
 
 def q_forward_add(spark, sf):
-    return idx.forward_add(_doc_postings(spark, sf), _page_postings(spark, sf))
+    return idx.forward_add(_stored_postings(spark, sf), _page_postings(spark, sf))
 
 
 def q_forward_lookup(spark, sf):
@@ -229,12 +242,17 @@ def q_index_stats(spark, sf):
 # 2.5 inverted index -----------------------------------------------------------
 
 def q_inverted_index(spark, sf):
-    inv = idx.inverted_index(_doc_postings(spark, sf))
-    return inv.groupBy("word", "bucket").agg(F.count(F.lit(1)).alias("n_docs")).drop("bucket")
+    """The word-clustered layout, written and read back."""
+    return _stored_postings(spark, sf).select("word", "path")
+
+
+def q_term_statistics(spark, sf):
+    """The document counts stored beside the postings."""
+    return _stored_index(spark, sf)[1].select("word", "n_docs")
 
 
 def q_postings_merge(spark, sf):
-    return idx.document_frequency(idx.postings_merge(_doc_postings(spark, sf), _page_postings(spark, sf)))
+    return idx.postings_merge(_stored_postings(spark, sf), _page_postings(spark, sf))
 
 
 def q_postings_lookup(spark, sf):
@@ -333,7 +351,8 @@ def q_resolve_sorted(spark, sf):
 
 def q_batch_search(spark, sf):
     parsed = rq.parse_requests(benchmark_requests(spark, sf))
-    return srch.batch_search(_stored_postings(spark, sf), parsed)
+    postings, terms = _stored_index(spark, sf)
+    return srch.batch_search(postings, parsed, terms=terms)
 
 
 # 2.8 streaming ----------------------------------------------------------------------
@@ -364,17 +383,36 @@ def q_stream_ingest(spark, sf):
     return chg.apply_changes(read_log(spark, f"{base}/log"))
 
 
-def q_stream_index(spark, sf):
-    """The streaming consumer keeps the postings itself over four files, one
-    micro-batch each; the query reads its newest complete version. Rows go to
-    the files by conv_id and turn, so most paths are touched by every batch."""
+def _streamed_index(spark, sf):
+    """The folder of an index kept by the stream over four micro-batches of a
+    quarter of the log's files each. Rows are dealt by seq, so most paths are
+    touched by every batch, and batches are out of order."""
     base = scratch_path(spark, "stream-index")
     log = conversation_changes(spark, sf).select("seq", "op", "path", "text")
-    for k in range(4):
-        log.where(F.pmod(F.xxhash64("seq"), F.lit(4)) == k).coalesce(1).write.mode("append").parquet(f"{base}/in")
-    q = stream_index(stream_changes(spark, f"{base}/in", max_files_per_trigger=1), base, f"{base}/checkpoint")
-    q.awaitTermination()
-    return latest_postings(spark, base).select("path", "word")
+    width = max(4, spark.sparkContext.defaultParallelism)
+    log.repartition(width, F.xxhash64("seq")).write.parquet(f"{base}/in")
+    files = spark.read.parquet(f"{base}/in").select("_metadata.file_path").distinct().count()
+    changes = stream_changes(spark, f"{base}/in", max_files_per_trigger=max(1, -(-files // 4)))
+    stream_index(changes, base, f"{base}/checkpoint", compact_every=2, buckets=16).awaitTermination()
+    return base
+
+
+def q_stream_index(spark, sf):
+    """The streaming consumer keeps the stored postings itself."""
+    return latest_postings(spark, _streamed_index(spark, sf)).select("path", "word")
+
+
+def q_stream_search(spark, sf):
+    """A batch of requests on the index that the stream keeps, with its own
+    term statistics: one AND and one ANY request for each pair of words that
+    follow each other among the request words in byte order."""
+    base = _streamed_index(spark, sf)
+    words = dense_ordinal(_request_words(spark, sf), ["word"], "n")
+    pairs = words.join(words.select((F.col("n") - 1).alias("n"), F.col("word").alias("next")), "n")
+    asked = pairs.select("n", F.array("word", "next").alias("words"), F.lit(None).cast("string").alias("error"))
+    queries = asked.select((F.col("n") * 2).alias("req_id"), F.lit(srch.SEARCH_ALL).alias("cmd"), "words", "error") \
+        .unionByName(asked.select((F.col("n") * 2 + 1).alias("req_id"), F.lit(srch.SEARCH_ANY).alias("cmd"), "words", "error"))
+    return srch.batch_search(latest_postings(spark, base), queries, terms=latest_terms(spark, base))
 
 
 QUERIES: dict[str, Query] = {

@@ -189,9 +189,9 @@ FROM FP WHERE word NOT IN (SELECT word FROM WT)""",
     "index_stats": _w(D, DW) + ("SELECT (SELECT count(DISTINCT path) FROM D) AS n_documents, "
                                 "count(DISTINCT word) AS n_words, count(*) AS n_postings FROM DW"),
     # 2.5
-    "inverted_index": _w(D, DW) + "SELECT word, count(*) AS n_docs FROM DW GROUP BY word",
-    "postings_merge": _w(D, P, DW, PW) + ("SELECT word, count(*) AS n_docs FROM "
-                                          "(SELECT path, word FROM DW UNION SELECT path, word FROM PW) GROUP BY word"),
+    "inverted_index": _w(D, DW) + "SELECT word, path FROM DW",
+    "term_statistics": _w(D, DW) + "SELECT word, count(*) AS n_docs FROM DW GROUP BY word",
+    "postings_merge": _w(D, P, DW, PW) + "SELECT path, word FROM DW UNION SELECT path, word FROM PW",
     "postings_lookup": _w(D, DW, REQ) + "SELECT DW.word, DW.path FROM DW WHERE DW.word IN (SELECT word FROM QV)",
     "postings_remove": _w(D, DW, TOXIC, REQ) + ("SELECT path, word FROM DW WHERE NOT "
                                                 "(path IN (SELECT path FROM TOX) AND word IN (SELECT word FROM QV))"),
@@ -234,4 +234,9 @@ FROM EP x""",
                                       "UNION ALL SELECT CAST(2 AS BIGINT), seq, 'ADD', path, text FROM D"),
     "stream_ingest": _w(conv_log("mixed"), APPLY),
     "stream_index": _w(conv_log("mixed"), APPLY),
+    "stream_search": f"""WITH I AS ({_w(conv_log("mixed"), APPLY)}),
+V AS (SELECT word, row_number() OVER (ORDER BY word) AS n FROM ({_w(REQ)} SELECT word FROM QV)),
+A AS (SELECT a.n, a.word AS x, b.word AS y FROM V a JOIN V b ON b.n = a.n + 1)
+SELECT 2 * n AS req_id, i.path FROM A JOIN I i ON i.word = x JOIN I j ON j.word = y AND j.path = i.path
+UNION ALL SELECT DISTINCT 2 * n + 1, path FROM A JOIN I ON word IN (x, y)""",
 }

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from lexisieve.functions.text import lower_ascii, query_tokens
 from lexisieve.operators.search import SEARCH_ALL, SEARCH_ANY, SEARCH_ONE, batch_search
+from lexisieve.session import materialize
 
 # Response texts.
 ERR_MISSING_WORD = "ERROR Missing word for SEARCH_ONE"
@@ -64,10 +65,12 @@ def render_responses(parsed: DataFrame, hits: DataFrame) -> DataFrame:
     return heads.unionByName(body).unionByName(ends)
 
 
-def run_requests(postings: DataFrame, requests: DataFrame, line_col: str = "request") -> DataFrame:
-    """Request lines to response lines in one job."""
+def run_requests(postings: DataFrame, requests: DataFrame, line_col: str = "request",
+                 terms: DataFrame | None = None) -> DataFrame:
+    """Request lines to response lines; ``terms`` as for ``batch_search``. The
+    hits are written once and read for the counts and for the lines."""
     parsed = parse_requests(requests, line_col)
-    return render_responses(parsed, batch_search(postings, parsed))
+    return render_responses(parsed, materialize(batch_search(postings, parsed, terms=terms), "hits"))
 
 
 def write_responses(lines: DataFrame, location: str) -> None:

@@ -76,16 +76,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast hint behind a measured size check.
-
-    One cheap job over the small side measures its rows and bytes (string
-    bytes plus 8 per other column, per row); the broadcast hint is given only
-    when both are under their bounds. Otherwise the join stays a shuffle join,
-    where AQE can still demote it to a broadcast from run-time sizes or split
-    skewed partitions.
-    """
+def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether the rows and bytes of ``df`` (string bytes plus 8 per other
+    column, per row) are within the bounds of a broadcast, by one job."""
     from pyspark.sql import types as T
 
     width = F.lit(0)
@@ -96,7 +89,17 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
             width = width + F.lit(8)
     r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
     rows, size = r["n"], r["b"] or 0
-    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
+    return rows <= max_rows and size <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint behind a measured size check (``is_small``). Otherwise
+    the join stays a shuffle join, where AQE can still demote it to a broadcast
+    from run-time sizes or split skewed partitions. ``df`` is computed for the
+    check and again for the join: pass what is cheap, or materialized.
+    """
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

@@ -1,5 +1,6 @@
 from lexisieve.streaming.ingest import (
     latest_postings,
+    latest_terms,
     merge_producers,
     read_log,
     stream_changes,
@@ -7,4 +8,4 @@ from lexisieve.streaming.ingest import (
     stream_ingest,
 )
 
-__all__ = ["latest_postings", "merge_producers", "read_log", "stream_changes", "stream_index", "stream_ingest"]
+__all__ = ["latest_postings", "latest_terms", "merge_producers", "read_log", "stream_changes", "stream_index", "stream_ingest"]

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lexisieve.schemas import CHANGE_LOG, CLEAR, POSTINGS
+from lexisieve.schemas import CHANGE_LOG, CLEAR
+from lexisieve.streaming.levels import FANOUT, add_segment, live_postings, live_terms, manifest
 
 
 def merge_producers(*producers: DataFrame) -> DataFrame:
@@ -40,9 +41,9 @@ def stream_changes(spark: SparkSession, location: str, schema=CHANGE_LOG, fmt: s
 # Path buckets of the stored log; CLEAR rows, which cut every history whatever
 # their path, and rows without a path go to -1.
 LOG_BUCKETS = 64
+# Word buckets of a streamed index, unless told: every batch writes to each.
+STREAM_BUCKETS = 16
 STORED_LOG = T.StructType([*CHANGE_LOG.fields, T.StructField("pbucket", T.IntegerType())])
-# After so many batches the index is written whole again.
-COMPACT_EVERY = 32
 
 
 def _path_bucket(buckets: int = LOG_BUCKETS):
@@ -86,40 +87,15 @@ def stream_ingest(changes: DataFrame, log_dir: str, checkpoint_location: str,
 
 def read_log(spark: SparkSession, log_dir: str, with_buckets: bool = False) -> DataFrame:
     """The change log written by ``stream_ingest`` / ``stream_index`` (all
-    batches so far); ``with_buckets`` keeps the ``pbucket`` partition column.
-    An empty log has no rows."""
+    batches so far); ``with_buckets`` keeps the partition columns ``pbucket``
+    and ``batch_id``. An empty log has no rows."""
     schema = T.StructType([*STORED_LOG.fields, T.StructField("batch_id", T.LongType())])
     log = spark.read.schema(schema).parquet(log_dir)
-    cols = ["seq", "op", "path", "text"] + (["pbucket"] if with_buckets else [])
+    cols = ["seq", "op", "path", "text"] + (["pbucket", "batch_id"] if with_buckets else [])
     return log.select(*cols)
 
 
-_DELTA = T.StructType([*POSTINGS.fields, T.StructField("batch_id", T.LongType())])
-_TOUCHED = T.StructType([T.StructField("path", T.StringType()), T.StructField("batch_id", T.LongType())])
-_VERSION = "version bigint, base bigint"
-
-
-def _versions(spark: SparkSession, base: str) -> DataFrame:
-    """Markers of complete versions: (version, base), base being the batch
-    that last wrote the whole index."""
-    here = f"{base.rstrip('/')}/versions"
-    spark.createDataFrame([], _VERSION).write.mode("append").parquet(here)  # the folder exists from the first call
-    return spark.read.schema(_VERSION).parquet(here)
-
-
-def _index_at(spark: SparkSession, base: str, version: int, start: int) -> DataFrame:
-    """(path, word) of a version: each path as the last batch that touched it
-    left it, from the whole write at ``start`` on. Batches are partitions, so
-    later ones are pruned."""
-    upto = F.col("batch_id").between(start, version)
-    rows = spark.read.schema(_DELTA).parquet(f"{base.rstrip('/')}/delta").where(upto)
-    last = spark.read.schema(_TOUCHED).parquet(f"{base.rstrip('/')}/touched").where(upto) \
-        .groupBy("path").agg(F.max("batch_id").alias("_last"))
-    return rows.join(last, "path", "left").where(F.coalesce("_last", F.lit(start)) == F.col("batch_id")) \
-        .select("path", "word")
-
-
-def _index_batch(base: str, compact_every: int):
+def _index_batch(base: str, fanout: int, buckets: int):
     from lexisieve.operators.changes import apply_changes
 
     log_dir = f"{base.rstrip('/')}/log"
@@ -128,46 +104,46 @@ def _index_batch(base: str, compact_every: int):
         spark = batch.sparkSession
         here = _write_batch(batch, log_dir, batch_id)
         rows = spark.read.schema(STORED_LOG).parquet(here)  # read back: the batch is not recomputed
-        known = _versions(spark, base).where(F.col("version") < batch_id).orderBy(F.desc("version")).first()
+        known = manifest(spark, base, batch_id)
         log = read_log(spark, log_dir, with_buckets=True)
-        touched = rows.where(F.col("path").isNotNull() & (F.col("op") != CLEAR)).select("pbucket", "path").distinct()
         clears = rows.where(F.col("op") == CLEAR).limit(1).count() > 0
         if known is None or clears:
             # The first batch, or a CLEAR, which reaches every path.
-            start, postings = batch_id, apply_changes(log.drop("pbucket"))
+            changes = apply_changes(log).withColumn("change", F.lit(1))
         else:
-            # Only the touched paths change; their whole history is re-applied,
-            # so a late row lands by its seq. The semi join on (pbucket, path)
+            # Only the touched paths change; their history is applied with (+)
+            # and without (-) the batch, as two paths each, so a late row lands
+            # by its seq, and the difference is what changes. The semi join on (pbucket, path)
             # prunes log partitions to the touched buckets; CLEAR rows
             # (bucket -1) are kept, as they cut every history.
-            start = known["base"]
+            touched = rows.where(F.col("path").isNotNull()).select("pbucket", "path").distinct()
             history = log.join(touched, ["pbucket", "path"], "left_semi") \
                 .unionByName(log.where((F.col("pbucket") == -1) & (F.col("op") == CLEAR)))
-            postings = apply_changes(history.drop("pbucket"))
-            if batch_id - start >= compact_every:
-                kept = _index_at(spark, base, known["version"], start).join(touched.select("path"), "path", "left_anti")
-                start, postings = batch_id, kept.unionByName(postings)
-        postings.select("path", "word").write.mode("overwrite").parquet(f"{base.rstrip('/')}/delta/batch_id={batch_id}")
-        touched.select("path").write.mode("overwrite").parquet(f"{base.rstrip('/')}/touched/batch_id={batch_id}")
-        # The marker goes last: a listed version is always complete.
-        spark.createDataFrame([(batch_id, start)], _VERSION).write.mode("append").parquet(f"{base.rstrip('/')}/versions")
+            tag = F.when(F.col("batch_id") < batch_id, F.array(F.lit("-"), F.lit("+"))).otherwise(F.array(F.lit("+")))
+            both = history.select("seq", "op", "path", "text", F.explode(tag).alias("tag")) \
+                .select("seq", "op", F.concat("tag", "path").alias("path"), "text")
+            change = F.when(F.col("path").startswith("+"), F.lit(1)).otherwise(F.lit(-1))
+            changes = apply_changes(both).groupBy(F.substring("path", 2, 1 << 30).alias("path"), "word") \
+                .agg(F.sum(change).alias("change")).where("change <> 0")
+        add_segment(spark, base, batch_id, changes, known[0] if known else buckets, fanout, afresh=known is None or clears)
 
     return apply
 
 
-def stream_index(changes: DataFrame, base: str, checkpoint_location: str, compact_every: int = COMPACT_EVERY,
-                 available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """Keep the live postings current while change rows stream in.
+def stream_index(changes: DataFrame, base: str, checkpoint_location: str, compact_every: int = FANOUT,
+                 buckets: int = STREAM_BUCKETS, available_now: bool = True,
+                 processing_time: str | None = None) -> StreamingQuery:
+    """Keep the live, searchable postings current while change rows stream in.
 
-    Every micro-batch appends its rows to ``base/log`` and writes the postings
-    of the paths it touches (``base/delta``) with the list of those paths
-    (``base/touched``); a path's newest entry counts. What a batch writes
-    follows the batch, not the index. A CLEAR, and every ``compact_every``-th
-    batch, writes the index whole, and reading starts there. Folders are per
-    batch id and overwritten on a retry, so replays are idempotent.
+    Every micro-batch appends its rows to ``base/log`` and writes one segment:
+    the postings that its rows make come or go, in the bucketed layout of
+    stored postings (see ``levels``). What a batch writes follows the batch,
+    not the index; ``compact_every`` segments of a level are merged into one
+    of the next. A CLEAR writes the index afresh. Folders are per batch id and
+    overwritten on a retry, so replays are idempotent.
     """
     writer = (changes.select("seq", "op", "path", "text").writeStream
-              .foreachBatch(_index_batch(base, compact_every))
+              .foreachBatch(_index_batch(base, compact_every, buckets))
               .option("checkpointLocation", checkpoint_location))
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
@@ -177,9 +153,11 @@ def stream_index(changes: DataFrame, base: str, checkpoint_location: str, compac
 
 
 def latest_postings(spark: SparkSession, base: str) -> DataFrame:
-    """The newest complete version written by ``stream_index`` (no rows before
-    the first batch)."""
-    last = _versions(spark, base).orderBy(F.desc("version")).first()
-    if last is None:
-        return spark.createDataFrame([], POSTINGS)
-    return _index_at(spark, base, last["version"], last["base"])
+    """(path, word, bucket): the newest complete version written by
+    ``stream_index`` (no rows before the first batch)."""
+    return live_postings(spark, base)
+
+
+def latest_terms(spark: SparkSession, base: str) -> DataFrame:
+    """(word, bucket, n_docs) of the same version."""
+    return live_terms(spark, base)

@@ -44,3 +44,35 @@ def test_hot_path_matches_closed_form(spark, monkeypatch):
     hot = per_block.where(F.col("path") == "conv/hot")
     assert hot.count() > 4
     assert per_block.agg(F.max("count")).first()[0] <= 8 * 16
+
+
+def test_hot_word_in_a_large_batch(spark, monkeypatch):
+    """One word in all requests and a third of all documents, with a request
+    side too large to broadcast: the salted join deals it evenly."""
+    from pyspark.sql import functions as F
+
+    from lexisieve.operators import search as srch
+
+    n = 3000
+    rows = spark.range(n).select(F.concat(F.lit("d"), "id").alias("path"), F.explode(F.array(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("cold"), F.col("id") % 50)),
+        F.concat(F.lit("own"), F.col("id") % 400))).alias("word"))
+    queries = spark.range(60).select(
+        F.col("id").alias("req_id"), F.when(F.col("id") % 2 == 0, F.lit("SEARCH_ANY")).otherwise(F.lit("SEARCH_ALL")).alias("cmd"),
+        F.array(F.lit("hot"), F.concat(F.lit("own"), F.col("id"))).alias("words"), F.lit(None).cast("string").alias("error"))
+    want = sorted(map(tuple, srch.batch_search(rows, queries).collect()))
+    monkeypatch.setattr(srch, "HOT_DOCS", 20)
+    for name in ("REQUEST_WORDS_BROADCAST_ROWS", "VOCABULARY_BROADCAST_ROWS"):
+        monkeypatch.setattr(srch, name, 0)
+    assert sorted(map(tuple, srch.batch_search(rows, queries).collect())) == want
+    by_id = {}
+    for r, p in want:
+        by_id.setdefault(r, set()).add(p)
+    assert all(len(by_id[r]) > n // 3 for r in by_id if r % 2 == 0)
+
+    known = rows.groupBy("word").agg(F.count(F.lit(1)).alias("n_docs"))
+    probe = queries.select("req_id", F.explode("words").alias("word"))
+    for side in srch.salted(rows, probe, known):
+        tasks = side.groupBy(F.pmod(F.hash("word", "_salt"), F.lit(24)).alias("task")).count().collect()
+        sizes = sorted(r["count"] for r in tasks)
+        assert len(sizes) >= 20 and sizes[-1] <= 3 * sizes[len(sizes) // 2]

@@ -156,3 +156,56 @@ def test_and_requests_make_no_rows_for_common_words(spark):
     queries = spark.createDataFrame(asked, "req_id long, cmd string, words array<string>, error string")
     got = sorted((r["req_id"], r["path"]) for r in batch_search(postings, queries).collect())
     assert got == [(1, "d7"), (1, "d9"), (3, "d7"), (3, "d9"), (4, "d9")]
+
+
+def test_search_on_the_streamed_index_prunes(spark, scratch):
+    """Filters on bucket and word reach every segment; no join is in the plan;
+    the term statistics agree with the postings."""
+    from lexisieve.operators.search import search_all, search_one
+    from lexisieve.streaming import latest_postings, latest_terms, stream_index
+
+    log = conversation_changes(spark, SF_SMALL)
+    src, out = f"{scratch}/src", f"{scratch}/out"
+    for i in range(5):
+        log.where(F.pmod(F.xxhash64("seq"), F.lit(5)) == i).coalesce(1).write.parquet(f"{src}/part{i}")
+    stream_index(stream_changes(spark, f"{src}/*", max_files_per_trigger=1), out, f"{out}/ckpt", compact_every=4,
+                 buckets=8).awaitTermination()
+    expected = _pairs(apply_changes(log))
+    word = max(sorted({w for _, w in expected}), key=lambda x: sum(w == x for _, w in expected))
+    live = latest_postings(spark, out)
+    found = search_one(live, word)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "PushedFilters: [In(word" in plan or "EqualTo(word" in plan or "word IN" in plan
+    assert "Join" not in plan
+    assert [r["path"] for r in found.collect()] == sorted(p for p, w in expected if w == word)
+    assert search_all(live, [word, "nosuchword"]).count() == 0
+    counts = {}
+    for _, w in expected:
+        counts[w] = counts.get(w, 0) + 1
+    assert {r["word"]: r["n_docs"] for r in latest_terms(spark, out).collect()} == counts
+
+
+def test_levels_stay_few_and_deltas_small(spark, tmp_path):
+    """Six batches at fan-out 2 leave one segment a level; reading writes
+    nothing."""
+    import os
+
+    from lexisieve.schemas import CHANGE_LOG
+    from lexisieve.streaming import latest_postings, stream_index
+    from lexisieve.streaming.levels import manifest
+
+    src, out = str(tmp_path / "in"), str(tmp_path / "index")
+    rows = [[(100 * k + i, "REINDEX" if k % 2 else "ADD", f"d{(k * 7 + i) % 40}", f"w{k} w{i} common") for i in range(10)]
+            for k in range(6)]
+    for k, batch in enumerate(rows):
+        spark.createDataFrame(batch, CHANGE_LOG).coalesce(1).write.parquet(f"{src}/b{k}")
+    q = stream_index(stream_changes(spark, f"{src}/*", max_files_per_trigger=1), out, f"{out}/ckpt", compact_every=2, buckets=2)
+    q.awaitTermination()
+    buckets, segments = manifest(spark, out)
+    levels = [n for _, n in segments]
+    assert buckets == 2 and sorted(levels) == [1, 2]
+    before = sorted(os.listdir(f"{out}/versions"))
+    want = _pairs(apply_changes(spark.createDataFrame([r for b in rows for r in b], CHANGE_LOG)))
+    assert _pairs(latest_postings(spark, out)) == want
+    assert sorted(os.listdir(f"{out}/versions")) == before
