@@ -57,18 +57,18 @@ def main() -> None:
 
     q: dict[str, float] = {}
     loc = scratch_path(spark, "bench-postings")
-    q["index_build"] = _timed(lambda: idx.write_postings(idx.doc_words(corpus, unique_paths=True),
-                                                         scratch_path(spark, "bench-postings")))
-    idx.write_postings(idx.doc_words(corpus, unique_paths=True), loc)
-    stored = idx.read_postings(spark, loc)
+    q["index_build"] = _timed(lambda: idx.write_index(idx.doc_words(corpus, unique_paths=True),
+                                                      scratch_path(spark, "bench-postings")))
+    idx.write_index(idx.doc_words(corpus, unique_paths=True), loc)
+    stored, terms = idx.read_index(spark, loc)
 
     q["search_one"] = _timed(lambda: srch.search_one(stored, ONE_WORD).collect())
     q["search_all"] = _timed(lambda: srch.search_all(stored, ALL_WORDS).collect())
     q["search_any"] = _timed(lambda: srch.search_any(stored, ANY_WORDS).collect())
 
     reqs = benchmark_requests(spark, sf_dir)
-    q["batch_search"] = _timed(lambda: _noop(srch.batch_search(stored, rq.parse_requests(reqs))))
-    q["run_requests"] = _timed(lambda: _noop(rq.run_requests(stored, reqs)))
+    q["batch_search"] = _timed(lambda: _noop(srch.batch_search(stored, rq.parse_requests(reqs), terms=terms)))
+    q["run_requests"] = _timed(lambda: _noop(rq.run_requests(stored, reqs, terms=terms)))
 
     log = conversation_changes(spark, sf_dir)
     q["apply_changes"] = _timed(lambda: _noop(chg.apply_changes(log)))

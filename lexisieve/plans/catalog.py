@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lexisieve.operators import changes as chg
 from lexisieve.operators import dictionary as dic
+from lexisieve.operators import id_index as idi
 from lexisieve.operators import index as idx
 from lexisieve.operators import search as srch
 from lexisieve.operators.ordinal import dense_ordinal
@@ -29,6 +30,7 @@ from lexisieve.sources.corpus import (
     read_table,
 )
 from lexisieve.sources.requests import benchmark_requests
+from lexisieve.sources.snapshots import folder_changes, read_shards, snapshot, write_shards
 from lexisieve.streaming.ingest import (
     latest_postings, latest_terms, merge_producers, read_log, stream_changes, stream_index, stream_ingest,
 )
@@ -92,22 +94,55 @@ def q_scan_corpus(spark, sf):
     return document_corpus(spark, sf).unionByName(page_corpus(spark, sf))
 
 
-def q_scan_files(spark, sf):
-    """Files on disk as the corpus: every document is written as its own text
-    file (source=<s>/doc_id=<d>/part-*.txt) by Spark, then read back whole with
-    the binaryFile source (folders discovered in parallel) and indexed."""
-    from lexisieve.session import spread
-    from lexisieve.sources.corpus import binary_corpus
+def _document_files(spark, sf):
+    """Documents as files: (path, content, modified); the times are all one."""
+    return document_corpus(spark, sf).select("path", F.col("text").cast("binary").alias("content"),
+                                             F.lit("2024-01-01 00:00:00").cast("timestamp").alias("modified"))
+
+
+def _shards(spark) -> int:
+    return max(8, spark.sparkContext.defaultParallelism)
 
-    d = read_table(spark, sf, "documents").select("source", "doc_id", "text")
+
+def q_scan_files(spark, sf):
+    """The documents' files, stored in shards, read back whole and indexed."""
     folder = scratch_path(spark, "files")
-    spread(d, "source", "doc_id").write.partitionBy("source", "doc_id").text(folder)
-    files = binary_corpus(spark, folder, glob="*.txt",
-                          path=F.concat("source", F.lit("/"), F.col("doc_id").cast("string")),
-                          seq=F.col("doc_id"))
+    write_shards(_document_files(spark, sf), folder, _shards(spark))
+    files = read_shards(spark, folder).select("path", F.col("content").cast("string").alias("text"))
     return idx.doc_words(files, unique_paths=True)
 
 
+def _two_snapshots(spark, sf):
+    """Two stored states of a folder: the documents; then without the toxic
+    ones, with every seventh one's text between stars, and with the pages."""
+    old, new = scratch_path(spark, "folder"), scratch_path(spark, "folder")
+    files = _document_files(spark, sf)
+    write_shards(files, old, _shards(spark))
+    number = F.regexp_extract("path", "[0-9]+$", 0).cast("bigint")
+    edited = F.when(number % 7 == 0, F.concat(F.lit(b"*"), "content", F.lit(b"*"))).otherwise(F.col("content"))
+    later = files.join(_toxic_paths(spark, sf), "path", "left_anti").select("path", edited.alias("content"), "modified")
+    pages = page_corpus(spark, sf).groupBy("path").agg(F.min("text").alias("text")).select(
+        "path", F.col("text").cast("binary").alias("content"), F.lit("2024-02-01 00:00:00").cast("timestamp").alias("modified"))
+    write_shards(later.unionByName(pages), new, _shards(spark))
+    return read_shards(spark, old), read_shards(spark, new)
+
+
+def q_folder_changes(spark, sf):
+    """The change log between two snapshots of a folder."""
+    old, new = _two_snapshots(spark, sf)
+    return folder_changes(materialize(snapshot(old), "manifest"), new)
+
+
+def q_folder_rescan(spark, sf):
+    """The first snapshot added file by file, then the changes of the second:
+    the live postings."""
+    old, new = _two_snapshots(spark, sf)
+    adds = dense_ordinal(old.select("path", F.lit(ADD).alias("op"), F.col("content").cast("string").alias("text")), ["path"], "seq")
+    adds = materialize(adds.select("seq", "op", "path", "text"), "adds")
+    log = adds.unionByName(folder_changes(snapshot(old), new, start=adds.count() + 1))
+    return chg.apply_changes(materialize(log, "folder-log"))
+
+
 def q_parse_requests(spark, sf):
     p = rq.parse_requests(benchmark_requests(spark, sf))
     return p.select("req_id", "cmd", F.array_join("words", " ").alias("words"),
@@ -341,6 +376,32 @@ def q_postings_union(spark, sf):
     return srch.postings_union(_stored_postings(spark, sf), *PAIR_OR)
 
 
+_ids: dict[str, str] = {}
+
+
+def _id_index(spark, sf):
+    """The documents' index in id form, once per stored index."""
+    _stored_index(spark, sf)
+    held = _stored[spark.sparkContext.applicationId, sf, _files_now(read_table(spark, sf, "documents"))]
+    if held not in _ids:
+        location = scratch_path(spark, "id-index")
+        idi.write_id_index(document_corpus(spark, sf), location, unique_paths=True)
+        _ids[held] = location
+    return idi.read_id_index(spark, _ids[held])
+
+
+def q_search_one_ids(spark, sf):
+    return idi.search_one_ids(_id_index(spark, sf), ONE_WORD)
+
+
+def q_search_all_ids(spark, sf):
+    return idi.search_all_ids(_id_index(spark, sf), ALL_WORDS)
+
+
+def q_search_any_ids(spark, sf):
+    return idi.search_any_ids(_id_index(spark, sf), ANY_WORDS)
+
+
 def q_resolve_sorted(spark, sf):
     corpus = document_corpus(spark, sf)
     docs = dic.doc_table(corpus)

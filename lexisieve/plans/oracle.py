@@ -44,6 +44,13 @@ QW AS (SELECT DISTINCT req_id, cmd, unnest(words) AS word FROM PR WHERE error IS
 QV AS (SELECT DISTINCT word FROM QW)"""
 
 
+# What differs between the documents and their later state.
+FOLDER = """FC AS (
+  SELECT path, 'REMOVE' AS op, NULL AS text FROM D WHERE path IN (SELECT path FROM TOX)
+  UNION ALL SELECT path, 'REINDEX', '*' || text || '*' FROM D WHERE path NOT IN (SELECT path FROM TOX) AND seq % 7 = 0
+  UNION ALL SELECT path, 'ADD', min(text) FROM P GROUP BY path)"""
+
+
 def hits(name: str, post: str) -> str:
     """Relational division for AND, plain join for OR."""
     return f"""{name} AS (
@@ -140,6 +147,10 @@ SQL: dict[str, str] = {
     # 2.1
     "scan_corpus": _w(D, P) + "SELECT path, seq, text FROM D UNION ALL SELECT path, seq, text FROM P",
     "scan_files": _w(D, DW) + "SELECT path, word FROM DW",
+    "folder_changes": _w(D, P, TOXIC, FOLDER) + """SELECT row_number() OVER (ORDER BY path) AS seq, op, path,
+CASE WHEN op <> 'REMOVE' THEN text END AS text FROM FC""",
+    "folder_rescan": _w(D, P, TOXIC, FOLDER, """FX AS (SELECT path, text FROM D WHERE path NOT IN (SELECT path FROM FC)
+  UNION ALL SELECT path, text FROM FC WHERE op <> 'REMOVE')""") + """SELECT DISTINCT path, lower(unnest(regexp_extract_all(text, '[A-Za-z0-9]+'))) AS word FROM FX""",
     "parse_requests": _w(REQ) + ("SELECT req_id, cmd, array_to_string(words, ' ') AS words, "
                                  "CAST(len(words) AS BIGINT) AS n_words, error FROM PR"),
     "render_responses": _w(P, PW, REQ, hits("H", "PW"), lines("LN", "H")) + "SELECT req_id, part, line FROM LN",
@@ -228,6 +239,10 @@ FROM EP x""",
                                    "SELECT path FROM DW WHERE word = 'trash'"),
     "resolve_sorted": _w(D, DW, DT, TOXIC) + ("SELECT DT.doc_id, DT.path FROM DW JOIN DT USING (path) "
                                               "WHERE DW.word = 'license' AND DT.path NOT IN (SELECT path FROM TOX)"),
+    "search_one_ids": _w(D, DW) + "SELECT path FROM DW WHERE word = 'license'",
+    "search_all_ids": _w(D, DW) + ("SELECT path FROM DW WHERE word IN ('the', 'nicht', 'zu') GROUP BY path "
+                               "HAVING count(*) = 3"),
+    "search_any_ids": _w(D, DW) + "SELECT DISTINCT path FROM DW WHERE word IN ('schst', 'ouen', 'trash', 'café')",
     "batch_search": _w(D, DW, REQ, hits("H", "DW")) + "SELECT req_id, path FROM H",
     # 2.8
     "merge_producers": _w(CONV, D) + ("SELECT CAST(1 AS BIGINT) AS producer, seq, op, path, text FROM M "

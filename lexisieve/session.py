@@ -124,4 +124,4 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     executor later re-reads the files instead of recomputing the plan."""
     location = scratch_path(df.sparkSession, name)
     df.write.parquet(location)
-    return df.sparkSession.read.parquet(location)
+    return df.sparkSession.read.schema(df.schema).parquet(location)
