@@ -40,7 +40,7 @@ DENSE = TILE * TILE // 64
 DENSE_TILES = 8
 SLICE = 1 << 22
 BLOCK = 1 << 18
-PENDING = 1 << 20
+PENDING = 1 << 19
 _BUCKET_ENTRIES = 1 << 22
 _WORD = r"[^.,;:!?\x0A-\x0D\x20\x09]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -130,7 +130,7 @@ def _encode(table, last: bool, dtype) -> Callable:
                 new[1:] = marks[starts[1:]] > marks[ends[:-1]]
                 new[first[:-1][np.diff(first) > 0]] = True
                 words = np.insert(ids, np.flatnonzero(new), -1)
-                yield words, words, keys[ids == -2]
+                yield words, words[:0], keys[ids == -2]
 
     return lambda batches: _blocks(parts(batches), dtype)
 
@@ -144,7 +144,7 @@ def _resolve_words(table, last: bool, dtype) -> Callable:
             at = np.flatnonzero(words == -2)
             found = _look_up(keys, table.value)
             words[at] = found if last else np.where(found < 0, -2, found)
-            yield words, words, keys[found < 0] if not last else keys[:0]
+            yield words, left, keys[found < 0] if not last else keys[:0]
 
     return lambda batches: _blocks(parts(batches), dtype)
 
@@ -157,7 +157,9 @@ def _read(batches, dtype) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
 def _codes(words: np.ndarray, left: np.ndarray, k: int, n_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(places, codes) of the phrases of k words whose first and last k - 1 words have numbers."""
+    """(places, codes) of the phrases of k words whose first and last k - 1
+    words have numbers. ``left`` is not kept for single words."""
+    left = left if k > 2 else words
     at = np.flatnonzero((left[:-1] >= 0) & (left[1:] >= 0))
     return at, left[at] * n_words + words[at + k - 1]
 
@@ -211,8 +213,11 @@ class TileCounter:
             if at not in self.tiles and len(self.tiles) >= DENSE_TILES:
                 continue
             part = order[a:a + n]
-            cells = np.bincount((row[part] % TILE) * TILE + col[part] % TILE, minlength=TILE * TILE)
-            self.tiles[at] = self.tiles[at] + cells if at in self.tiles else cells
+            cells = np.bincount((row[part] % TILE) * TILE + col[part] % TILE, minlength=TILE * TILE).astype(np.uint32)
+            if at in self.tiles:
+                self.tiles[at] += cells
+            else:
+                self.tiles[at] = cells
             sparse[a:a + n] = False
         rest = codes[order[sparse]]
         self.pending.append(_summed(rest, np.ones(len(rest), np.int64)))
@@ -225,7 +230,7 @@ class TileCounter:
             while self.tiles and self.size < PENDING:
                 (row, col), cells = self.tiles.popitem()
                 at = np.flatnonzero(cells)
-                self.pending.append(((row * TILE + at // TILE) * self.n_words + col * TILE + at % TILE, cells[at]))
+                self.pending.append(((row * TILE + at // TILE) * self.n_words + col * TILE + at % TILE, cells[at].astype(np.int64)))
                 self.size += len(at)
             found, self.pending, self.size = self.pending, [], 0
             yield _summed(*(np.concatenate(x) for x in zip(*found)))
