@@ -19,6 +19,7 @@ from lexisieve.operators import id_index as idi
 from lexisieve.operators import index as idx
 from lexisieve.operators import search as srch
 from lexisieve.operators.ordinal import dense_ordinal
+from lexisieve.operators.stored_dictionary import StoredDictionary
 from lexisieve.plans import requests as rq
 from lexisieve.schemas import ADD, REMOVE
 from lexisieve.session import materialize, scratch_path
@@ -32,7 +33,8 @@ from lexisieve.sources.corpus import (
 from lexisieve.sources.requests import benchmark_requests
 from lexisieve.sources.snapshots import folder_changes, read_shards, snapshot, write_shards
 from lexisieve.streaming.ingest import (
-    latest_postings, latest_terms, merge_producers, read_log, stream_changes, stream_index, stream_ingest,
+    latest_postings, latest_terms, merge_producers, read_log, read_merged, stream_changes, stream_index, stream_ingest,
+    stream_merge,
 )
 
 # Fixed query parameters.
@@ -241,6 +243,19 @@ def q_dictionary_size(spark, sf):
     return w.unionByName(d)
 
 
+def q_dictionary_store(spark, sf):
+    """A stored dictionary over several runs: the documents' paths, without the
+    toxic ones, then the pages', then the toxic ones again, under new ids."""
+    base = scratch_path(spark, "dictionary")
+    corpus, pages = document_corpus(spark, sf), page_corpus(spark, sf)
+    toxic = corpus.join(_toxic_paths(spark, sf), "path", "left_semi")
+    StoredDictionary(spark, base).intern(corpus, ["seq"], "path")
+    StoredDictionary(spark, base).remove(toxic, "path")
+    StoredDictionary(spark, base).intern(pages, ["seq"], "path")
+    StoredDictionary(spark, base).intern(toxic, ["seq"], "path")
+    return StoredDictionary(spark, base).table().select("id", F.col("value").alias("path"))
+
+
 # 2.4 forward index ------------------------------------------------------------
 
 def q_forward_index(spark, sf):
@@ -424,6 +439,21 @@ def q_merge_producers(spark, sf):
     return merge_producers(conv, docs).select("producer", "seq", "op", "path", "text")
 
 
+def q_stream_merge(spark, sf):
+    """The same two producers as file streams. The first run takes in the
+    earlier half of each one's rows; then both send all their rows again."""
+    base = scratch_path(spark, "stream-merge")
+    producers = [conversation_changes(spark, sf).select("seq", "op", "path", "text"),
+                 corpus_changes(document_corpus(spark, sf), ADD)]
+    middle = [p.agg((F.min("seq") + F.max("seq")) / 2).first()[0] for p in producers]  # two scalars
+    for again in (False, True):
+        for i, (p, half) in enumerate(zip(producers, middle)):
+            (p if again else p.where(F.col("seq") <= half)).write.mode("append").parquet(f"{base}/in{i}")
+        merged = merge_producers(*[stream_changes(spark, f"{base}/in{i}") for i in range(2)])
+        stream_merge(merged, f"{base}/merged", f"{base}/checkpoint").awaitTermination()
+    return read_merged(spark, f"{base}/merged").select("producer", "seq", "op", "path", "text")
+
+
 def _conversation_stream(spark, sf):
     """The conversations table as a file stream of change rows."""
     conv_schema = read_table(spark, sf, "conversations").schema

@@ -188,6 +188,12 @@ FROM FP WHERE word NOT IN (SELECT word FROM WT)""",
     "remove_by_value": _w(D, WT, REQ) + "SELECT word_id, word FROM WT WHERE word NOT IN (SELECT word FROM QV)",
     "dictionary_size": _w(D, WT, DT) + ("SELECT 'word_table' AS name, count(*) AS size FROM WT "
                                         "UNION ALL SELECT 'doc_table', count(*) FROM DT"),
+    "dictionary_store": _w(D, P, TOXIC) + """, U AS (SELECT path, min(seq) AS seq FROM P GROUP BY path),
+N AS (SELECT (SELECT count(*) FROM D) AS d, (SELECT count(*) FROM U) AS u),
+I AS (SELECT path, row_number() OVER (ORDER BY seq) AS id FROM D)
+SELECT id, path FROM I WHERE path NOT IN (SELECT path FROM TOX)
+UNION ALL SELECT d + row_number() OVER (ORDER BY seq), path FROM U, N
+UNION ALL SELECT d + u + row_number() OVER (ORDER BY id), path FROM I, N WHERE path IN (SELECT path FROM TOX)""",
     # 2.4
     "forward_index": _w(D, DW) + ("SELECT path, count(*) AS n_words, string_agg(word, ' ' ORDER BY word) AS words "
                                   "FROM DW GROUP BY path"),
@@ -247,6 +253,8 @@ FROM EP x""",
     # 2.8
     "merge_producers": _w(CONV, D) + ("SELECT CAST(1 AS BIGINT) AS producer, seq, op, path, text FROM M "
                                       "UNION ALL SELECT CAST(2 AS BIGINT), seq, 'ADD', path, text FROM D"),
+    "stream_merge": _w(CONV, D) + ("SELECT CAST(1 AS BIGINT) AS producer, seq, op, path, text FROM M "
+                                   "UNION ALL SELECT CAST(2 AS BIGINT), seq, 'ADD', path, text FROM D"),
     "stream_ingest": _w(conv_log("mixed"), APPLY),
     "stream_index": _w(conv_log("mixed"), APPLY),
     "stream_search": f"""WITH I AS ({_w(conv_log("mixed"), APPLY)}),

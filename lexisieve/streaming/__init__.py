@@ -3,9 +3,12 @@ from lexisieve.streaming.ingest import (
     latest_terms,
     merge_producers,
     read_log,
+    read_merged,
     stream_changes,
     stream_index,
     stream_ingest,
+    stream_merge,
 )
 
-__all__ = ["latest_postings", "latest_terms", "merge_producers", "read_log", "stream_changes", "stream_index", "stream_ingest"]
+__all__ = ["latest_postings", "latest_terms", "merge_producers", "read_log", "read_merged", "stream_changes",
+           "stream_index", "stream_ingest", "stream_merge"]

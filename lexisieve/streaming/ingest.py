@@ -9,12 +9,14 @@ batch result.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lexisieve.schemas import CHANGE_LOG, CLEAR
+from lexisieve.session import broadcast_if_small, materialize
 from lexisieve.streaming.levels import FANOUT, add_segment, live_postings, live_terms, manifest
 
 
@@ -29,6 +31,46 @@ def merge_producers(*producers: DataFrame) -> DataFrame:
     return out
 
 
+_MARKS = "producer bigint, seq bigint, batch_id bigint"
+
+
+def _append_once(base: str):
+    root = base.rstrip("/")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = materialize(batch, "producers")
+        try:
+            marks = spark.read.schema(_MARKS).parquet(f"{root}/marks").where(F.col("batch_id") < batch_id)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            marks = spark.createDataFrame([], _MARKS)
+        marks = materialize(marks.groupBy("producer").agg(F.max("seq").alias("_mark")), "marks")
+        new = batch.join(broadcast_if_small(marks), "producer", "left") \
+            .where(F.col("_mark").isNull() | (F.col("seq") > F.col("_mark"))).drop("_mark").dropDuplicates(["producer", "seq"])
+        new.write.mode("overwrite").parquet(f"{root}/rows/batch_id={batch_id}")
+        marks = batch.groupBy("producer").agg(F.max("seq").alias("seq"))
+        marks.coalesce(1).write.mode("overwrite").parquet(f"{root}/marks/batch_id={batch_id}")
+    return write
+
+
+def stream_merge(merged: DataFrame, base: str, checkpoint_location: str) -> StreamingQuery:
+    """Take in merged producers (``producer``, ``seq`` and more columns) so
+    that each row is there once, even where a producer starts anew and sends
+    rows again. A producer's rows come in the order of its ``seq`` (not null,
+    unique), as from a queue: its mark, the largest seq seen in finished
+    batches, tells what is new. State is a row per producer and batch, not per
+    row; batches overwrite their own folders on a retry."""
+    return (merged.writeStream.foreachBatch(_append_once(base))
+            .option("checkpointLocation", checkpoint_location).trigger(availableNow=True).start())
+
+
+def read_merged(spark: SparkSession, base: str) -> DataFrame:
+    """The rows that ``stream_merge`` has taken in."""
+    return spark.read.parquet(f"{base.rstrip('/')}/rows").drop("batch_id")
+
+
 def stream_changes(spark: SparkSession, location: str, schema=CHANGE_LOG, fmt: str = "parquet",
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """A file stream of change rows (one folder, or a glob)."""

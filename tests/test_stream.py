@@ -209,3 +209,32 @@ def test_levels_stay_few_and_deltas_small(spark, tmp_path):
     want = _pairs(apply_changes(spark.createDataFrame([r for b in rows for r in b], CHANGE_LOG)))
     assert _pairs(latest_postings(spark, out)) == want
     assert sorted(os.listdir(f"{out}/versions")) == before
+
+
+def test_replayed_producers_leave_each_row_once(spark, scratch):
+    """A producer that starts anew sends its rows again, some twice in one
+    batch; another goes on. A batch that is run again changes nothing."""
+    from lexisieve.streaming import read_merged, stream_merge
+    from lexisieve.streaming.ingest import _append_once
+
+    def feed(i, seqs):
+        spark.createDataFrame([(s, "ADD", f"p{i}", str(s)) for s in seqs], log_schema).coalesce(1) \
+            .write.mode("append").parquet(f"{scratch}/in{i}")
+
+    def run():
+        producers = [stream_changes(spark, f"{scratch}/in{i}") for i in (1, 2)]
+        stream_merge(merge_producers(*producers), f"{scratch}/m", f"{scratch}/ckpt").awaitTermination()
+        return sorted((r["producer"], r["seq"]) for r in read_merged(spark, f"{scratch}/m").collect())
+
+    log_schema = "seq long, op string, path string, text string"
+    feed(1, range(5))
+    feed(2, [7, 9])
+    assert run() == [(1, s) for s in range(5)] + [(2, 7), (2, 9)]
+    feed(1, [*range(8), *range(8)])
+    feed(2, [10])
+    want = [(1, s) for s in range(8)] + [(2, 7), (2, 9), (2, 10)]
+    assert run() == want
+    again = spark.createDataFrame([(1, s, "ADD", "p1", str(s)) for s in range(8)] + [(2, 10, "ADD", "p2", "10")],
+                                  "producer long, " + log_schema)
+    _append_once(f"{scratch}/m")(again, 1)
+    assert sorted((r["producer"], r["seq"]) for r in read_merged(spark, f"{scratch}/m").collect()) == want
