@@ -4,7 +4,7 @@ DataFrame functions only.
 Fixed kinds (email, ip, card, phone) are regular expressions with a check on
 each match. Their matches seed the bootstrap: an identifier-shaped string
 (six characters or more, one a digit) is an instance, the two words before it
-are its lexical pattern. Scores pass between patterns and instances over the
+in the text, of any length, are its lexical pattern. Scores pass between patterns and instances over the
 distinct (pattern, instance) edges:
 
     pattern  = sum of its instances' scores / (instances + 1)
@@ -31,6 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexisieve.llm.names import free
 from lexisieve.session import broadcast_if_small, materialize
 
 KINDS = ("email", "ip", "card", "phone")
@@ -47,7 +48,8 @@ PATTERNS = {
 }
 GATES = {"email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]",
          IDENT: r"[0-9]"}
-CONTEXT = 64
+#: The last two words and what follows them; it starts at the start of a word only, so it is linear.
+_LAST_WORDS = r"(?<!\S)\S++\s++\S++\s*+$"
 
 
 def _valid(kind: str, m: Column) -> Column:
@@ -65,14 +67,23 @@ def _valid(kind: str, m: Column) -> Column:
 
 def _matches(kind: str) -> Column:
     """array<struct<kind, gap, match, before>> of one kind: ``gap`` is the
-    number of code points since the match before, ``before`` their tail."""
+    number of code points since the match before, ``before`` the last two words
+    of all the text before the match, earlier matches included (the second may
+    touch it), or what there is if that is less."""
     gaps = F.split("text", PATTERNS[kind], -1)
     found = F.regexp_extract_all("text", F.lit(PATTERNS[kind]), 0)
     both = F.filter(F.arrays_zip(gaps.alias("g"), found.alias("m")), lambda z: z["m"].isNotNull())
-    shaped = F.transform(both, lambda z: F.struct(
-        F.lit(kind).alias("kind"), F.length(z["g"]).alias("gap"), z["m"].alias("match"),
-        F.substring(z["g"], -CONTEXT, CONTEXT).alias("before")))
-    return F.when(F.col("text").rlike(GATES[kind]), shaped)
+    item = "struct<kind:string,gap:int,match:string,before:string>"
+
+    def step(acc, z):
+        text = F.concat(acc["tail"], z["g"])
+        last = F.regexp_extract(text, _LAST_WORDS, 0)
+        before = F.when(last != "", last).otherwise(text)
+        one = F.struct(F.lit(kind).alias("kind"), F.length(z["g"]).alias("gap"), z["m"].alias("match"), before.alias("before"))
+        return F.struct(F.concat(acc["out"], F.array(one)).cast(f"array<{item}>").alias("out"),
+                        F.concat(before, z["m"]).alias("tail"))
+    start = F.struct(F.array().cast(f"array<{item}>").alias("out"), F.lit("").alias("tail"))
+    return F.when(F.col("text").rlike(GATES[kind]), F.aggregate(both, start, step, lambda acc: acc["out"]))
 
 
 def _found(docs: DataFrame) -> DataFrame:
@@ -95,8 +106,7 @@ def _mentions(found: DataFrame, kind: str) -> DataFrame:
 
 
 def _pattern(before: Column) -> Column:
-    """The last two words before an instance (of its last ``CONTEXT``
-    characters), lower-case; null if fewer."""
+    """The last two words before an instance, lower-case; null if fewer."""
     words = F.regexp_extract(before, r"(\S+\s+\S+)\s*$", 1)
     return F.when(words != "", F.lower(F.regexp_replace(words, r"\s+", " ")))
 
@@ -168,12 +178,13 @@ def mask(docs: DataFrame, found: DataFrame, lengths: str | None = None) -> DataF
     """``docs`` with every span replaced by its kind in brackets (overlapping
     spans as one, named after the first). Texts without spans pass unchanged; ``lengths`` names a
     column to set to a masked text's length, if there is one."""
+    key, id_, hash_, json = free(docs, "_key", "_id", "_h", "_j")
     hits = found.where(F.size("spans") > 0).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"), "spans").dropDuplicates(["_id", "_h"])
-    rows = docs.withColumn("_key", F.xxhash64(F.col("text").cast("string")))
-    rows = rows.join(broadcast_if_small(hits.select("_id", "_h", F.to_json("spans").alias("_j"))),
-                     F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_h")), "left")
-    spans = F.array_sort(F.transform(F.from_json("_j", "array<struct<rank:int,start:bigint,end:bigint,kind:string>>"),
+        F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), "spans").dropDuplicates([id_, hash_])
+    rows = docs.withColumn(key, F.xxhash64(F.col("text").cast("string")))
+    rows = rows.join(broadcast_if_small(hits.select(id_, hash_, F.to_json("spans").alias(json))),
+                     F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.col(key) == F.col(hash_)), "left")
+    spans = F.array_sort(F.transform(F.from_json(json, "array<struct<rank:int,start:bigint,end:bigint,kind:string>>"),
                                      lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     zero = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
@@ -184,8 +195,8 @@ def mask(docs: DataFrame, found: DataFrame, lengths: str | None = None) -> DataF
         return F.struct(piece.alias("out"), F.greatest(s["end"], acc["at"]).alias("at"))
     masked = F.aggregate(spans, zero, step, lambda acc: F.concat(
         acc["out"], F.substring(F.col("text"), acc["at"].cast("int") + 1, F.length("text"))))
-    rows = rows.withColumn("text", F.when(F.col("_j").isNull(), F.col("text")).otherwise(masked))
+    rows = rows.withColumn("text", F.when(F.col(json).isNull(), F.col("text")).otherwise(masked))
     if lengths in docs.columns:
         kind = docs.schema[lengths].dataType
-        rows = rows.withColumn(lengths, F.when(F.col("_j").isNull(), F.col(lengths)).otherwise(F.length("text").cast(kind)))
+        rows = rows.withColumn(lengths, F.when(F.col(json).isNull(), F.col(lengths)).otherwise(F.length("text").cast(kind)))
     return rows.select(*docs.columns)
