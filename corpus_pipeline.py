@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lexisieve.llm.byte_bpe import encode, load_ranks
 from lexisieve.llm.decontaminate import contamination
+from lexisieve.llm.names import free
 from lexisieve.llm.ngram_join import near_duplicates
 from lexisieve.llm.pii_bootstrap import find_pii, mask
 from lexisieve.llm.quality_risk import judge, learn_cutoffs, measure
@@ -31,9 +32,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that no quality rule rejects."""
     features = materialize(measure(docs), "quality-features")
     judged = judge(features, learn_cutoffs(features, _table(spark, sf_dir, "labels"), ALPHA, DELTA))
-    out = judged.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h")).distinct()
-    return docs.join(broadcast_if_small(out), F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
-                     & (F.xxhash64(F.col("text").cast("string")) == F.col("_h")), "left_anti")
+    id_, hash_ = free(docs, "_id", "_h")
+    out = judged.where(~F.col("kept")).select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_)).distinct()
+    return docs.join(broadcast_if_small(out), F.col("doc_id").cast("long").eqNullSafe(F.col(id_))
+                     & (F.xxhash64(F.col("text").cast("string")) == F.col(hash_)), "left_anti")
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,9 +45,9 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
     if repeated:
         return _near_duplicate_texts(docs)
-    found = near_duplicates(docs)
-    out = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(broadcast_if_small(materialize(out, "duplicates")), F.col("doc_id").cast("long") == F.col("_id"),
+    found, (id_,) = near_duplicates(docs), free(docs, "_id")
+    out = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(id_)).distinct()
+    return docs.join(broadcast_if_small(materialize(out, "duplicates")), F.col("doc_id").cast("long") == F.col(id_),
                      "left_anti")
 
 
@@ -60,8 +62,10 @@ def _near_duplicate_texts(docs: DataFrame) -> DataFrame:
     first = placed.groupBy("component_id").agg(F.min(F.struct("_id", "_h")).alias("first"), F.count(F.lit(1)).alias("_n")) \
         .where("_n > 1").drop("_n")
     out = placed.join(broadcast_if_small(first), "component_id").where(F.struct("_id", "_h") != F.col("first"))
-    kept = docs.join(broadcast_if_small(materialize(out.select("_id", "_h"), "duplicates")),
-                     (key == F.col("_id")) & (F.xxhash64(text) == F.col("_h")), "left_anti")
+    id_, hash_ = free(docs, "_id", "_h")
+    out = out.select(F.col("_id").alias(id_), F.col("_h").alias(hash_))
+    kept = docs.join(broadcast_if_small(materialize(out, "duplicates")),
+                     (key == F.col(id_)) & (F.xxhash64(text) == F.col(hash_)), "left_anti")
     return kept.where("doc_id is not null").dropDuplicates(["doc_id", "text"]) \
         .unionByName(kept.where("doc_id is null"))
 
@@ -70,8 +74,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Drops documents that contain benchmark passages."""
     key = F.xxhash64(F.col("text").cast("string"))
     found = contamination(docs.select(key.alias("doc_id"), "text"), _table(spark, sf_dir, "benchmark"))
-    out = materialize(found.where("contaminated").select(F.col("doc_id").alias("_h")).distinct(), "contaminated")
-    return docs.join(broadcast_if_small(out), key == F.col("_h"), "left_anti")
+    (hash_,) = free(docs, "_h")
+    out = materialize(found.where("contaminated").select(F.col("doc_id").alias(hash_)).distinct(), "contaminated")
+    return docs.join(broadcast_if_small(out), key == F.col(hash_), "left_anti")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
