@@ -33,8 +33,8 @@ from lexisieve.sources.corpus import (
 from lexisieve.sources.requests import benchmark_requests
 from lexisieve.sources.snapshots import folder_changes, read_shards, snapshot, write_shards
 from lexisieve.streaming.ingest import (
-    latest_postings, latest_terms, merge_producers, read_log, read_merged, stream_changes, stream_index, stream_ingest,
-    stream_merge,
+    latest_outcomes, latest_postings, latest_terms, merge_producers, read_log, read_merged, stream_changes, stream_index,
+    stream_ingest, stream_merge, stream_outcomes,
 )
 
 # Fixed query parameters.
@@ -474,16 +474,28 @@ def q_stream_ingest(spark, sf):
     return chg.apply_changes(read_log(spark, f"{base}/log"))
 
 
-def _streamed_index(spark, sf):
-    """The folder of an index kept by the stream over four micro-batches of a
-    quarter of the log's files each. Rows are dealt by seq, so most paths are
-    touched by every batch, and batches are out of order."""
-    base = scratch_path(spark, "stream-index")
-    log = conversation_changes(spark, sf).select("seq", "op", "path", "text")
-    width = max(4, spark.sparkContext.defaultParallelism)
+def _shuffled_stream(spark, sf, base, mode="mixed", batches=4):
+    """The conversations' log as a stream of some micro-batches, many files
+    each. Rows are dealt by seq, so most paths are touched by every batch, and
+    batches are out of order."""
+    log = conversation_changes(spark, sf, mode).select("seq", "op", "path", "text")
+    width = max(batches, spark.sparkContext.defaultParallelism)
     log.repartition(width, F.xxhash64("seq")).write.parquet(f"{base}/in")
     files = spark.read.parquet(f"{base}/in").select("_metadata.file_path").distinct().count()
-    changes = stream_changes(spark, f"{base}/in", max_files_per_trigger=max(1, -(-files // 4)))
+    return stream_changes(spark, f"{base}/in", max_files_per_trigger=max(1, -(-files // batches)))
+
+
+def q_stream_outcomes(spark, sf):
+    """The outcomes of the log with a CLEAR, kept while it streams in."""
+    base = scratch_path(spark, "stream-outcomes")
+    stream_outcomes(_shuffled_stream(spark, sf, base, "clear"), base, f"{base}/checkpoint").awaitTermination()
+    return latest_outcomes(spark, base)
+
+
+def _streamed_index(spark, sf):
+    """The folder of an index kept by the stream over four micro-batches."""
+    base = scratch_path(spark, "stream-index")
+    changes = _shuffled_stream(spark, sf, base)
     stream_index(changes, base, f"{base}/checkpoint", compact_every=2, buckets=16).awaitTermination()
     return base
 

@@ -263,3 +263,4 @@ A AS (SELECT a.n, a.word AS x, b.word AS y FROM V a JOIN V b ON b.n = a.n + 1)
 SELECT 2 * n AS req_id, i.path FROM A JOIN I i ON i.word = x JOIN I j ON j.word = y AND j.path = i.path
 UNION ALL SELECT DISTINCT 2 * n + 1, path FROM A JOIN I ON word IN (x, y)""",
 }
+SQL["stream_outcomes"] = SQL["change_outcomes"]

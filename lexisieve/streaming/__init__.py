@@ -1,4 +1,6 @@
 from lexisieve.streaming.ingest import (
+    emitted_outcomes,
+    latest_outcomes,
     latest_postings,
     latest_terms,
     merge_producers,
@@ -8,7 +10,8 @@ from lexisieve.streaming.ingest import (
     stream_index,
     stream_ingest,
     stream_merge,
+    stream_outcomes,
 )
 
-__all__ = ["latest_postings", "latest_terms", "merge_producers", "read_log", "read_merged", "stream_changes",
-           "stream_index", "stream_ingest", "stream_merge"]
+__all__ = ["emitted_outcomes", "latest_outcomes", "latest_postings", "latest_terms", "merge_producers", "read_log", "read_merged", "stream_changes",
+           "stream_index", "stream_ingest", "stream_merge", "stream_outcomes"]

@@ -203,3 +203,52 @@ def latest_postings(spark: SparkSession, base: str) -> DataFrame:
 def latest_terms(spark: SparkSession, base: str) -> DataFrame:
     """(word, bucket, n_docs) of the same version."""
     return live_terms(spark, base)
+
+
+_OUTCOMES = "seq bigint, op string, path string, outcome boolean, batch_id bigint"
+
+
+def _outcome_batch(base: str):
+    from lexisieve.operators.changes import change_outcomes
+
+    root = base.rstrip("/")
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        here = _write_batch(batch, f"{root}/log", batch_id)
+        rows = spark.read.schema(STORED_LOG).parquet(here)
+        log = read_log(spark, f"{root}/log", with_buckets=True)
+        log = log.where(F.col("batch_id") <= batch_id)
+        if not rows.where(F.col("op") == CLEAR).limit(1).count():
+            # Outcomes depend on the path's own rows and on the CLEAR rows, so
+            # only touched paths can have new ones; a CLEAR reaches every path.
+            touched = rows.select("pbucket", "path").where("path is not null").distinct()
+            log = log.join(touched, ["pbucket", "path"], "left_semi").unionByName(log.where(
+                (F.col("pbucket") == -1) & ((F.col("op") == CLEAR) | (F.col("batch_id") == batch_id))))
+        log = materialize(log, "history")
+        now, then = change_outcomes(log), change_outcomes(log.where(F.col("batch_id") < batch_id))
+        now.subtract(then).select("seq", "op", "path", "outcome") \
+            .write.mode("overwrite").parquet(f"{root}/outcomes/batch_id={batch_id}")
+    return apply
+
+
+def stream_outcomes(changes: DataFrame, base: str, checkpoint_location: str) -> StreamingQuery:
+    """Say for every change row of a stream what its call would have returned
+    (see ``change_outcomes``). A batch writes the outcomes of its own rows, and
+    again those of earlier rows that its late rows or its CLEAR have changed;
+    the newest one of a ``seq`` counts. Batches overwrite their own folders on
+    a retry."""
+    return (changes.select("seq", "op", "path", "text").writeStream.foreachBatch(_outcome_batch(base))
+            .option("checkpointLocation", checkpoint_location).trigger(availableNow=True).start())
+
+
+def emitted_outcomes(spark: SparkSession, base: str) -> DataFrame:
+    """Every outcome written, (seq, op, path, outcome, batch_id)."""
+    return spark.read.schema(_OUTCOMES).parquet(f"{base.rstrip('/')}/outcomes")
+
+
+def latest_outcomes(spark: SparkSession, base: str) -> DataFrame:
+    """(seq, op, path, outcome) as the newest batch has them."""
+    rows = emitted_outcomes(spark, base)
+    newest = rows.groupBy("seq").agg(F.max("batch_id").alias("batch_id"))
+    return rows.join(newest, ["seq", "batch_id"]).select("seq", "op", "path", "outcome")

@@ -238,3 +238,25 @@ def test_replayed_producers_leave_each_row_once(spark, scratch):
                                   "producer long, " + log_schema)
     _append_once(f"{scratch}/m")(again, 1)
     assert sorted((r["producer"], r["seq"]) for r in read_merged(spark, f"{scratch}/m").collect()) == want
+
+
+def test_streamed_outcomes_equal_batch(spark, scratch):
+    """Late rows and a late CLEAR change outcomes that were written before."""
+    from lexisieve.operators.changes import change_outcomes
+    from lexisieve.schemas import CHANGE_LOG
+    from lexisieve.streaming import emitted_outcomes, latest_outcomes, stream_outcomes
+
+    batches = [[(10, "ADD", "p", "a"), (30, "REMOVE", "p", None), (31, "REMOVE", "q", None), (32, "ADD", None, "x")],
+               [(20, "REMOVE", "p", None), (25, "REINDEX", "q", "b"), (40, "ADD", "p", None)],
+               [(33, "ADD", "r", "c"), (35, "REMOVE", "r", None)],
+               [(34, "CLEAR", None, None)]]
+    rows, seen = [], {}
+    for k, batch in enumerate(batches):
+        spark.createDataFrame(batch, CHANGE_LOG).coalesce(1).write.parquet(f"{scratch}/in/{k}")
+        stream_outcomes(stream_changes(spark, f"{scratch}/in/*"), f"{scratch}/o", f"{scratch}/ckpt").awaitTermination()
+        rows += batch
+        got = sorted(map(tuple, latest_outcomes(spark, f"{scratch}/o").collect()))
+        assert got == sorted(map(tuple, change_outcomes(spark.createDataFrame(rows, CHANGE_LOG)).collect()))
+        seen[k] = {r["seq"]: r["outcome"] for r in emitted_outcomes(spark, f"{scratch}/o").where(F.col("batch_id") == k).collect()}
+    assert seen[1] == {20: True, 25: True, 30: False, 31: True, 40: False}  # 30 and 31 again
+    assert seen[3] == {34: None, 35: False}
