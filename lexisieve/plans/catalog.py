@@ -30,7 +30,7 @@ from lexisieve.sources.corpus import (
     page_corpus,
     read_table,
 )
-from lexisieve.sources.requests import benchmark_requests
+from lexisieve.sources.requests import benchmark_requests, passage_requests
 from lexisieve.sources.snapshots import folder_changes, read_shards, snapshot, write_shards
 from lexisieve.streaming.ingest import (
     latest_outcomes, latest_postings, latest_terms, merge_producers, read_log, read_merged, stream_changes, stream_index,
@@ -161,6 +161,12 @@ def q_run_requests(spark, sf):
     return rq.run_requests(postings, benchmark_requests(spark, sf), terms=terms)
 
 
+def q_run_passages(spark, sf):
+    """Requests with punctuation, and some without words."""
+    postings, terms = _stored_index(spark, sf)
+    return rq.run_requests(postings, passage_requests(spark, sf), terms=terms)
+
+
 def q_parse_responses(spark, sf):
     """Responses are rendered once and stored (the sink), then read back by
     the client-side parser, as a reader of a response stream would."""

@@ -44,6 +44,10 @@ QW AS (SELECT DISTINCT req_id, cmd, unnest(words) AS word FROM PR WHERE error IS
 QV AS (SELECT DISTINCT word FROM QW)"""
 
 
+_LINE = "' ' || regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g')"
+REQ_PASSAGES = REQ.replace(_LINE, "CASE WHEN item_id % 8 < 2 THEN '' ELSE ' ' || text END")
+
+
 # What differs between the documents and their later state.
 FOLDER = """FC AS (
   SELECT path, 'REMOVE' AS op, NULL AS text FROM D WHERE path IN (SELECT path FROM TOX)
@@ -155,6 +159,7 @@ CASE WHEN op <> 'REMOVE' THEN text END AS text FROM FC""",
                                  "CAST(len(words) AS BIGINT) AS n_words, error FROM PR"),
     "render_responses": _w(P, PW, REQ, hits("H", "PW"), lines("LN", "H")) + "SELECT req_id, part, line FROM LN",
     "run_requests": _w(D, DW, REQ, hits("H", "DW"), lines("LN", "H")) + "SELECT req_id, part, line FROM LN",
+    "run_passages": _w(D, DW, REQ_PASSAGES, hits("H", "DW"), lines("LN", "H")) + "SELECT req_id, part, line FROM LN",
     "parse_responses": _w(D, DW, REQ, hits("H", "DW"), lines("LN", "H")) + """,
 R AS (SELECT req_id AS resp_id, part, s AS line,
              row_number() OVER (PARTITION BY req_id ORDER BY part, s) AS rn
