@@ -27,7 +27,8 @@ def components(edges: DataFrame) -> DataFrame:
                       .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     while state["n"]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Written, so that the join reads plain shuffles and AQE can split a node with very many neighbours.
+        low = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "smallest")
         large = both.where(F.col("v") > F.col("u")).join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where(F.col("u") != F.col("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))

@@ -15,8 +15,9 @@ documents link when intersection / union >= 0.75.
    a rare one is a common key, or else their combination is. Frequent tokens
    (in the prefixes of ``FREQUENT`` components or more) thus never open a
    list of their own, and the order moves them out of most prefixes. A pair
-   is made only where the tokens before its key leave enough to link.
-4. Verify: a parity bitmap bounds the symmetric difference from below and
+   is made only where the tokens before its key leave enough to link, and where
+   the parity bits that travel with the keys do not show too large a difference.
+4. Verify: a longer parity bitmap bounds the symmetric difference from below and
    drops hopeless pairs without losing one; the rest are compared as sets.
 
 Which tokens count as frequent changes the work, not the result, so the
@@ -52,6 +53,9 @@ K = 2
 FREQUENT = 50
 MAX_FREQUENT = 200_000
 BITMAP_BITS = 1 << 27
+#: Parity bits that travel with an index key, as longs.
+KEY_BITS = 512
+_PARITY = [f"p{i}" for i in range(KEY_BITS // 64)]
 _SLOT = np.uint64(BITMAP_BITS - 1)
 
 _DOCUMENT = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.int64()), ("sig2", pa.int64()),
@@ -72,6 +76,12 @@ def parity(s: np.ndarray) -> bytes:
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
+def key_parity(s: np.ndarray) -> np.ndarray:
+    """The parity bitmap of KEY_BITS bits, whatever the size of the set."""
+    counts = np.bincount((s & np.uint64(KEY_BITS - 1)).astype(np.int64), minlength=KEY_BITS)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def difference_bound(a: bytes, b: bytes) -> int:
     """A lower bound of the symmetric difference of two sets."""
     x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
@@ -201,9 +211,12 @@ def _index_keys(frequent_cast, bitmap_cast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = frequent_cast.value
         bitmap = np.frombuffer(bitmap_cast.value, np.uint8)
-        extra = ["doc_id", "component", "n"]
+        extra = ["doc_id", "component", "n", *_PARITY]
         for batch in batches:
             for part in _halves(batch):
+                parities = [key_parity(s) for s in sets(part.column("text"))]
+                for name, bits in zip(_PARITY, np.stack(parities, axis=1)):
+                    part = part.append_column(name, pa.array(bits))
                 singles, places = [], []
                 for i, s in enumerate(sets(part.column("text"))):
                     rare, often = ordered_prefix(s, frequent)
@@ -253,16 +266,19 @@ def candidates(docs: DataFrame, labels: DataFrame) -> DataFrame:
     if len(frequent):
         slots = slots.unionByName(map_arrow(texts.select("text"), _moved_tokens(frequent_cast), "slot long"))
     bitmap_cast = spark.sparkContext.broadcast(bytes(_bitmap(slots)))
+    carried = ["doc_id", "component", "n", *_PARITY, "skipped"]
     keys = materialize(map_arrow(texts.select("doc_id", "component", "n", "text"), _index_keys(frequent_cast, bitmap_cast),
-                                 "key long, doc_id long, component long, n long, skipped long"), "index-keys")
-    x, y = (keys.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("doc_id", "component", "n", "skipped")])
-            for s in "xy")
+                                 "key long, " + ", ".join(f"{c} long" for c in carried)), "index-keys")
+    x, y = (keys.select("key", *[F.col(c).alias(f"{c}_{s}") for c in carried]) for s in "xy")
     # If the pair links, its intersection is at least 3/7 of both sizes' sum. At its first common key (the first
     # shared token, or the first two) the tokens skipped so far are not shared; so that key passes this bound.
     most = F.least(F.col("n_x") - F.col("skipped_x"), F.col("n_y") - F.col("skipped_y"))
+    # The sets differ in at least as many tokens as their parities in bits; in a pair that links, in a seventh of both
+    # sizes' sum at most.
+    apart = sum((F.bit_count(F.col(f"{p}_x").bitwiseXOR(F.col(f"{p}_y"))) for p in _PARITY), F.lit(0))
     pairs = x.join(y, "key").where(
         (F.col("component_x") < F.col("component_y")) & (4 * F.least("n_x", "n_y") >= 3 * F.greatest("n_x", "n_y"))
-        & (7 * most >= 3 * (F.col("n_x") + F.col("n_y"))))
+        & (7 * most >= 3 * (F.col("n_x") + F.col("n_y"))) & (7 * apart <= F.col("n_x") + F.col("n_y")))
     return pairs.select(F.col("doc_id_x").alias("a"), F.col("doc_id_y").alias("b")).distinct()
 
 
