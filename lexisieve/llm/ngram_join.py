@@ -166,6 +166,12 @@ def _placed(rows: pa.RecordBatch, skipped: list[np.ndarray]) -> pa.RecordBatch:
     return rows.append_column("skipped", pa.array(flat))
 
 
+def _with_parities(rows: pa.RecordBatch, parities: list[np.ndarray]) -> pa.RecordBatch:
+    for name, bits in zip(_PARITY, np.stack(parities, axis=1)):
+        rows = rows.append_column(name, pa.array(bits))
+    return rows
+
+
 def _halves(batch: pa.RecordBatch, rows: int = 1024) -> Iterator[pa.RecordBatch]:
     for k in range(0, batch.num_rows, rows):
         yield batch.slice(k, rows)
@@ -214,21 +220,20 @@ def _index_keys(frequent_cast, bitmap_cast):
         extra = ["doc_id", "component", "n", *_PARITY]
         for batch in batches:
             for part in _halves(batch):
-                parities = [key_parity(s) for s in sets(part.column("text"))]
-                for name, bits in zip(_PARITY, np.stack(parities, axis=1)):
-                    part = part.append_column(name, pa.array(bits))
-                singles, places = [], []
+                singles, places, parities = [], [], []
                 for i, s in enumerate(sets(part.column("text"))):
+                    parities.append(key_parity(s))
                     rare, often = ordered_prefix(s, frequent)
                     slot = rare & _SLOT
                     hit = np.flatnonzero((bitmap[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1)
                     singles.append(rare[hit])
                     places.append(hit)  # tokens before it
                     if len(often) > 1:
+                        one = _with_parities(part.slice(i, 1), parities[-1:])
                         for keys, second in _combinations(often):
                             # Of two shared tokens the later one's place counts, less the earlier one.
-                            yield _placed(_token_rows(part.slice(i, 1), [keys], extra), [second + len(rare) - 1])
-                yield _placed(_token_rows(part, singles, extra), places)
+                            yield _placed(_token_rows(one, [keys], extra), [second + len(rare) - 1])
+                yield _placed(_token_rows(_with_parities(part, parities), singles, extra), places)
     return run
 
 
