@@ -38,6 +38,7 @@ MAX_STATES = 800_000
 MAX_CHUNKS = 200_000
 LONG_CHUNK = 64
 OUT_BYTES = 4 << 20
+FEED_BYTES = 1 << 16
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -79,10 +80,10 @@ class Transducer:
         self.token_bytes = {v: k for k, v in ranks.items()}
         self.open = {t[:i] for t in ranks for i in range(len(t))}
         self._alone: dict[bytes, bool] = {}
-        self._outs: dict[tuple, tuple] = {}
         self._clear()
 
     def _clear(self) -> None:
+        self._outs: dict[tuple, tuple] = {}
         self._pairs: dict[int, bool] = {}
         self._numbers: dict[tuple[int, bytes], int] = {(-1, b""): 0}
         self._names: list[tuple[int, bytes]] = [(-1, b"")]
@@ -285,6 +286,12 @@ class Utf8Stream:
         return rest
 
 
+def stream_text(data: bytes) -> str:
+    """The text of some bytes, fed to the incremental decoder in blocks."""
+    stream = Utf8Stream()
+    return "".join(stream.feed(data[i:i + FEED_BYTES]) for i in range(0, len(data), FEED_BYTES)) + stream.close()
+
+
 _codecs: dict[tuple[int, str], Codec] = {}
 
 
@@ -310,30 +317,41 @@ def _emit(ids: list, texts: list[np.ndarray], decoded: list[bytes]) -> pa.Record
         pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"])
 
 
-def _transcoder(ranks_cast, pattern: str, decode: bool):
+def _transcoded(codec: Codec, batch: pa.RecordBatch, decode: bool) -> Iterator[pa.RecordBatch]:
+    keys, ids, decoded, held = [], [], [], 0
+    for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+        found = codec.encode(text.as_py())
+        keys.append(key)
+        ids.append(found)
+        decoded.append(stream_text(codec.decode(found)).encode("utf-8") if decode else None)
+        held += 4 * len(found)
+        if held > OUT_BYTES:
+            yield _emit(keys, ids, decoded)
+            keys, ids, decoded, held = [], [], [], 0
+    yield _emit(keys, ids, decoded)
+
+
+def _transcoder(ranks_cast, pattern: str, decode: bool, keep: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks_cast.value, pattern)
         gc.disable()  # the tables hold millions of small objects and no cycles
-        for batch in batches:
-            keys, ids, decoded, held = [], [], [], 0
-            for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                found = codec.encode(text.as_py())
-                keys.append(key)
-                ids.append(found)
-                decoded.append(codec.decode(found) if decode else None)
-                held += 4 * len(found)
-                if held > OUT_BYTES:
-                    yield _emit(keys, ids, decoded)
-                    keys, ids, decoded, held = [], [], [], 0
-            yield _emit(keys, ids, decoded)
+        try:
+            for batch in batches:
+                yield from _transcoded(codec, batch, decode)
+        finally:
+            gc.enable()
+            if not keep:
+                _codecs.clear()
     return run
 
 
-def encode(docs: DataFrame, ranks: bytes, pattern: str, decode: bool = False) -> DataFrame:
+def encode(docs: DataFrame, ranks: bytes, pattern: str, decode: bool = False, keep: bool = True) -> DataFrame:
     """(doc_id, ids, decoded) of every document row; ``decoded`` are the bytes
-    of the ids decoded again (null unless asked for)."""
+    of the text that the incremental decoder makes of the ids (null unless asked
+    for). ``keep``: whether a Python worker keeps the tables, some hundred MB,
+    for its next task, or makes them anew and leaves the memory to others."""
     cast = docs.sparkSession.sparkContext.broadcast(ranks)
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _transcoder(cast, pattern, decode),
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _transcoder(cast, pattern, decode, keep),
                      "doc_id long, ids array<int>, decoded binary")
 
 
