@@ -89,7 +89,8 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = load_ranks(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    out = encode(docs, ranks, public_tokenizers.PATTERN, decode=True)
+    # The stages share the workers' memory: the tables go when a task ends.
+    out = encode(docs, ranks, public_tokenizers.PATTERN, decode=True, keep=False)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
                       F.col("decoded").cast("string").alias("text"))
 
