@@ -331,7 +331,7 @@ def _transcoded(codec: Codec, batch: pa.RecordBatch, decode: bool) -> Iterator[p
     yield _emit(keys, ids, decoded)
 
 
-def _transcoder(ranks_cast, pattern: str, decode: bool, keep: bool):
+def _transcoder(ranks_cast, pattern: str, decode: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks_cast.value, pattern)
         gc.disable()  # the tables hold millions of small objects and no cycles
@@ -340,18 +340,15 @@ def _transcoder(ranks_cast, pattern: str, decode: bool, keep: bool):
                 yield from _transcoded(codec, batch, decode)
         finally:
             gc.enable()
-            if not keep:
-                _codecs.clear()
     return run
 
 
-def encode(docs: DataFrame, ranks: bytes, pattern: str, decode: bool = False, keep: bool = True) -> DataFrame:
+def encode(docs: DataFrame, ranks: bytes, pattern: str, decode: bool = False) -> DataFrame:
     """(doc_id, ids, decoded) of every document row; ``decoded`` are the bytes
     of the text that the incremental decoder makes of the ids (null unless asked
-    for). ``keep``: whether a Python worker keeps the tables, some hundred MB,
-    for its next task, or makes them anew and leaves the memory to others."""
+    for). Python workers keep the tables for their next task."""
     cast = docs.sparkSession.sparkContext.broadcast(ranks)
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _transcoder(cast, pattern, decode, keep),
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _transcoder(cast, pattern, decode),
                      "doc_id long, ids array<int>, decoded binary")
 
 
