@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import gc
 import os
-import re
 import struct
 from array import array
 from collections.abc import Iterator
@@ -156,7 +155,26 @@ class ShardReader:
 
 
 _SPACES = bytes.maketrans(b"\n\t\r", b"   ")
-_STOPS = re.compile(rb"(?<=[A-Za-z0-9])([.,])(?= |$)")
+_STOP, _LETTER = np.zeros(256, bool), np.zeros(256, bool)
+_STOP[list(b".,")] = True
+_LETTER[48:58] = _LETTER[65:91] = _LETTER[97:123] = True
+
+
+def _stops_apart(texts: list[bytes]) -> list[bytes]:
+    """The texts with a space before each full stop or comma that ends a
+    letter's or digit's chunk; all texts are handled as one byte array."""
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    at = np.flatnonzero(_STOP[raw])
+    if not len(at):
+        return texts
+    ends = np.cumsum([len(x) for x in texts])
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[0] = edge[ends] = True
+    last = edge[at + 1] | (raw[np.minimum(at + 1, len(raw) - 1)] == 32)
+    at = at[last & ~edge[at] & _LETTER[raw[at - 1]]]
+    data = np.insert(raw, at, 32).tobytes()
+    ends += np.searchsorted(at, ends)
+    return [data[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
 
 class WordEncoder:
@@ -183,11 +201,14 @@ class WordEncoder:
         self.old: dict[bytes, bytes] = {}
 
     @staticmethod
-    def chunks(text: str | None) -> list[bytes]:
-        data = (text or "").encode("utf-8").translate(_SPACES)
-        if b"\xcc" not in data and b"\xcd" not in data:  # U+0300 to U+036F
-            data = data.lower()
-        return _STOPS.sub(rb" \1", data).split(b" ")
+    def chunks(texts: list[str | None]) -> list[list[bytes]]:
+        spaced = []
+        for text in texts:
+            data = (text or "").encode("utf-8").translate(_SPACES)
+            if b"\xcc" not in data and b"\xcd" not in data:  # U+0300 to U+036F
+                data = data.lower()
+            spaced.append(data)
+        return [x.split(b" ") for x in _stops_apart(spaced)]
 
     def _encode(self, chunks: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         """Ids of unknown chunks. A chunk of letters is one word to the
@@ -213,7 +234,7 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian u32 bytes."""
-        chunks = [self.chunks(x) for x in texts]
+        chunks = self.chunks(texts)
         if len(self.new) >= MAX_CHUNKS:
             self.old, self.new = self.new, {}
         seen = set().union(*chunks)
