@@ -65,6 +65,11 @@ def merge_plainly(ranks: dict[bytes, int], piece: bytes) -> list[bytes]:
     return parts
 
 
+def _packed(back: tuple, live: tuple) -> bytes | tuple:
+    """A state's detail in a byte a number, where it is short enough."""
+    return bytes(back + live) if len(back) <= 256 else back + live
+
+
 class Transducer:
     """Encodes one piece at a time; all tables are made lazily.
 
@@ -87,7 +92,7 @@ class Transducer:
         self._pairs: dict[int, bool] = {}
         self._numbers: dict[tuple[int, bytes], int] = {(-1, b""): 0}
         self._names: list[tuple[int, bytes]] = [(-1, b"")]
-        self._details: dict[int, tuple] = {}
+        self._details: list[bytes | tuple] = [_packed((0,), (0,))]
         self._arcs: dict[int, int | tuple] = {}
         self._ends: dict[int, tuple] = {}
 
@@ -124,14 +129,10 @@ class Transducer:
         return (*back, max(start, 0)), tuple(still)
 
     def _detail(self, state: int) -> tuple:
-        """(last, pending, back, live) of a state, worked out again if need be."""
+        """(last, pending, back, live) of a state."""
         last, pending = self._names[state]
-        got = self._details.get(state)
-        if got is None:
-            got = (0,), (0,)
-            for i in range(1, len(pending) + 1):
-                got = self._extend(last, pending[:i], *got)
-        return last, pending, *got
+        got, n = self._details[state], len(pending) + 1
+        return last, pending, tuple(got[:n]), tuple(got[n:])
 
     def _step(self, state: int, byte: int) -> int | tuple:
         last, pending, back, live = self._detail(state)
@@ -159,9 +160,7 @@ class Transducer:
         if number is None:
             number = self._numbers[name] = len(self._names)
             self._names.append(name)
-            if len(self._details) > 50_000:
-                self._details.clear()
-            self._details[number] = back, live
+            self._details.append(_packed(back, live))
         return (number, out) if out else number
 
     def _chain(self, pending: bytes, back: tuple[int, ...], end: int) -> tuple[int, ...]:
