@@ -12,9 +12,12 @@ frequent part of them as a cache, at most ``MAX_WORDS`` words and ``MAX_ARCS``
 arcs between these (bounds in whole count levels). What the traversal does not
 find there it hands on, and a distributed join adds the weights: for a word its
 own and that of its failure arc (a text's previous tokens are its tokens, in
-another order), for a bigram what its arc has over the failure path. The bounds
-change the work, not the result. Counting is aggregated in the task before each
-shuffle.
+another order), for a bigram what its arc has over the failure path. A bitmap of
+2^``FILTER_BITS`` bits, broadcast, tells most bigrams that are no arcs, so that
+these are not joined. The bounds change the work, not the result. Counting is
+aggregated in the task before each shuffle; bigrams are shuffled in packed
+blocks by a hash of the bigram, about ``BUCKET_PAIRS`` tokens a bucket, and
+added up there bucket by bucket.
 
 Tokens are words of ``[^\\x20\\x09-\\x0D]+`` with A-Z lowered, then one end; a
 document's first state is that of the end token. Words and bigrams are 64-bit
@@ -49,6 +52,9 @@ DISCOUNT = 0.5
 HELD_TOKENS = 4 << 20
 ROWS = 1 << 16
 TURN = 23
+BUCKET_PAIRS = 1 << 20
+MAX_PARTITIONS = 1 << 15
+FILTER_BITS = 28
 LEAST_REST = 1e-12
 
 
@@ -115,29 +121,78 @@ def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _summed_pairs(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+def _packed_pairs(held: list[tuple[np.ndarray, np.ndarray]], buckets: int) -> Iterator[pa.RecordBatch]:
+    """One row a bucket: the bigrams held, counted and in the order of their
+    first word, which is written once a run of equals."""
     key, u = (np.concatenate(x) for x in zip(*held))
     order = np.argsort(key)
     key = key[order]
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    out = pa.RecordBatch.from_arrays([_long(key[first]), _long(u[order[first]]),
-                                      pa.array(np.diff(first, append=len(key)))], ["key", "u", "n"])
-    for at in range(0, len(first), ROWS):
-        yield out.slice(at, ROWS)
+    n, key, u = np.diff(first, append=len(key)).astype(np.uint32), key[first], u[order[first]]
+    bucket = (W.mix(key) >> np.uint64(32)) % np.uint64(buckets)
+    order = np.lexsort((u, bucket))
+    n, key, u, bucket = n[order], key[order], u[order], bucket[order]
+    cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64)).tolist()
+    for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        if a < b:
+            part = u[a:b]
+            run = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (
+                    part[run], np.diff(run, append=b - a).astype(np.uint32), key[a:b], n[a:b]))],
+                ["bucket", "u", "runs", "key", "n"])
+
+
+def _count_pairs(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for _, _, h, row in _sequences(batch):
+                u = _previous(h, row)
+                held.append((_pair(u, h), u))
+                size += len(h)
+                if size >= HELD_TOKENS:
+                    yield from _packed_pairs(held, buckets)
+                    held, size = [], 0
+        if size:
+            yield from _packed_pairs(held, buckets)
+    return run
 
 
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, size = [], 0
+def _added_pairs(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """(key, u, n) with one entry a bigram, of several such lists."""
+    key, u, n = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[first], u[order[first]], np.add.reduceat(n[order], first)
+
+
+def _sum_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds up each bucket (their rows come together); bigrams seen ``MIN_ARC`` times stay."""
+    def arcs() -> Iterator[pa.RecordBatch]:
+        key, u, n = _added_pairs(held)
+        seen = n >= MIN_ARC
+        out = pa.RecordBatch.from_arrays([_long(key[seen]), _long(u[seen]), pa.array(n[seen])], ["key", "u", "n"])
+        for at in range(0, len(out), ROWS):
+            yield out.slice(at, ROWS)
+
+    held, size, added, at = [], 0, 0, None
     for batch in batches:
-        for _, _, h, row in _sequences(batch):
-            u = _previous(h, row)
-            held.append((_pair(u, h), u))
-            size += len(h)
-            if size >= HELD_TOKENS:
-                yield from _summed_pairs(held)
-                held, size = [], 0
-    if size:
-        yield from _summed_pairs(held)
+        for i, bucket in enumerate(batch.column("bucket").to_pylist()):
+            if bucket != at and held:
+                yield from arcs()
+                held, size, added = [], 0, 0
+            at = bucket
+            data = {c: batch.column(c)[i].as_buffer() for c in ("u", "runs", "key", "n")}
+            u = np.repeat(np.frombuffer(data["u"], np.uint64), np.frombuffer(data["runs"], np.uint32))
+            held.append((np.frombuffer(data["key"], np.uint64), u, np.frombuffer(data["n"], np.uint32).astype(np.int64)))
+            size += len(u)
+            if size > 2 * added + BUCKET_PAIRS:  # bigrams of many tasks are alike
+                held = [_added_pairs(held)]
+                size = added = len(held[0][0])
+    if held:
+        yield from arcs()
 
 
 def _level(c):
@@ -191,8 +246,12 @@ class Automaton:
         at = _find(self.words, h)
         known = at >= 0
         base = np.where(known, self.word_weight[at] if len(self.words) else 0.0, 0.0)
-        state = _find(self.contexts, _previous(h, row))
-        there = _find(self.contexts, h)
+        there = at if self.contexts is self.words else _find(self.contexts, h)
+        state = np.empty_like(there)
+        if len(h):
+            starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+            state[1:] = there[:-1]
+            state[starts] = _find(self.contexts, np.array([END]))
         score = base.copy()
         inside = state >= 0
         score[inside] += self.failure[state[inside]]
@@ -208,6 +267,7 @@ class Model(NamedTuple):
     cache: Automaton
     words: DataFrame  # (key, n, rest) of every training word
     arcs: DataFrame | None  # (key, gain) of every arc; None if the cache has them all
+    bits: np.ndarray | None  # see _arc_filter; None likewise
     total: int
     distinct: int
 
@@ -216,20 +276,27 @@ class Model(NamedTuple):
         return self.total + 0.5 * (self.distinct + 1)
 
 
-def _cached_counts(cast):
-    """Adds what the cached words say of each arc's two words."""
+def _cached_gains(cast, floor: float):
+    """The gain of each arc between cached words; of others the two words, and
+    what the cache says of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, counts, rest = cast.value
         for batch in batches:
             key, u = (batch.column(c).to_numpy().view(np.uint64) for c in ("key", "u"))
+            n = batch.column("n").to_numpy()
             v = _second(key, u)
             i, j = _find(words, u), _find(words, v)
+            both = (i >= 0) & (j >= 0)
+            gain = np.zeros(len(key))
+            p, r = (counts[j[both]] + 0.5) / floor, rest[i[both]]
+            gain[both] = np.log10((n[both] - DISCOUNT) / counts[i[both]] + r * p) - np.log10(r) - np.log10(p)
 
             def of(x: np.ndarray, at: np.ndarray) -> pa.Array:
-                return pa.array(x[at] if len(x) else np.zeros(len(at), x.dtype), mask=at < 0)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("u"), _long(v), batch.column("n"),
-                                              of(counts, i), of(rest, i), of(counts, j)],
-                                             ["key", "u", "v", "n", "u_n", "u_rest", "v_n"])
+                return pa.array(x[at] if len(x) else np.zeros(len(at), x.dtype), mask=(at < 0) | both)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.array(gain, mask=~both), *(pa.array(x, mask=both) for x in (
+                    u.view(np.int64), v.view(np.int64), n)), of(counts, i), of(rest, i), of(counts, j)],
+                ["key", "gain", "u", "v", "n", "u_n", "u_rest", "v_n"])
     return run
 
 
@@ -237,16 +304,36 @@ def _gains(pairs: DataFrame, words: DataFrame, cached: tuple[np.ndarray, ...], f
     """(key, gain) of every arc: its weight over that of the failure path.
     Words outside the cache are rare, so no key of these joins is hot."""
     cast = pairs.sparkSession.sparkContext.broadcast(cached)
-    arcs = materialize(map_arrow(pairs, _cached_counts(cast), "key long, u long, v long, n long, u_n long, u_rest double, "
-                                 "v_n long"), "arc-words")
-    if len(cached[0]) < distinct:
-        u = words.select(F.col("key").alias("u"), F.col("n").alias("u_n"), F.col("rest").alias("u_rest"))
-        arcs = arcs.where("u_n is not null").unionByName(arcs.where("u_n is null").drop("u_n", "u_rest").join(u, "u"))
-        v = words.select(F.col("key").alias("v"), F.col("n").alias("v_n"))
-        arcs = arcs.where("v_n is not null").unionByName(arcs.where("v_n is null").drop("v_n").join(v, "v"))
+    arcs = materialize(map_arrow(pairs, _cached_gains(cast, floor), "key long, gain double, u long, v long, n long, "
+                                 "u_n long, u_rest double, v_n long"), "arc-words")
+    done = arcs.where("gain is not null").select("key", "gain")
+    if len(cached[0]) == distinct:
+        return done
+    u = words.select(F.col("key").alias("u"), F.col("n").alias("u_n"), F.col("rest").alias("u_rest"))
+    v = words.select(F.col("key").alias("v"), F.col("n").alias("v_n"))
+    arcs = arcs.where("gain is null").drop("gain")
+    arcs = arcs.where("u_n is not null").unionByName(arcs.where("u_n is null").drop("u_n", "u_rest").join(u, "u"))
+    arcs = arcs.where("v_n is not null").unionByName(arcs.where("v_n is null").drop("v_n").join(v, "v"))
     p = (F.col("v_n") + 0.5) / F.lit(floor)
     direct = (F.col("n") - DISCOUNT) / F.col("u_n")
-    return arcs.select("key", (F.log10(direct + F.col("u_rest") * p) - F.log10("u_rest") - F.log10(p)).alias("gain"))
+    return done.unionByName(arcs.select(
+        "key", (F.log10(direct + F.col("u_rest") * p) - F.log10("u_rest") - F.log10(p)).alias("gain")))
+
+
+def _arc_filter(pairs: DataFrame) -> np.ndarray:
+    """A bit for the upper ``FILTER_BITS`` bits of every arc's key, in words of
+    64. A bigram whose bit is not set is no arc; the others are looked up."""
+    found = pairs.select(F.shiftrightunsigned("key", 70 - FILTER_BITS).alias("at"), F.expr(
+        f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - FILTER_BITS}) & 63 as int))").alias("bits")) \
+        .groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    out[found.column("at").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _may_be_arc(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    place = key >> np.uint64(64 - FILTER_BITS)
+    return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
 def train(docs: DataFrame) -> Model:
@@ -255,8 +342,10 @@ def train(docs: DataFrame) -> Model:
                          "token-counts")
     r = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, distinct = int(r["n"]), int(r["v"])
-    pairs = map_arrow(texts, _count_pairs, "key long, u long, n long").groupBy("key", "u").agg(F.sum("n").alias("n"))
-    pairs = materialize(pairs.where(F.col("n") >= MIN_ARC), "pair-counts")
+    buckets = (total >> BUCKET_PAIRS.bit_length() - 1) + 1
+    packed = map_arrow(texts, _count_pairs(buckets), "bucket int, u binary, runs binary, key binary, n binary")
+    packed = packed.repartition(min(buckets, MAX_PARTITIONS), "bucket").sortWithinPartitions("bucket")
+    pairs = materialize(map_arrow(packed, _sum_pairs, "key long, u long, n long"), "pair-counts")
     seen = pairs.groupBy(F.col("u").alias("key")).agg(F.sum(F.col("n") - DISCOUNT).alias("seen"))
     words = materialize(counts.join(seen, "key", "left").select("key", "n", F.greatest(
         1 - F.coalesce("seen", F.lit(0.0)) / F.col("n"), F.lit(LEAST_REST)).alias("rest")), "word-states")
@@ -270,7 +359,9 @@ def train(docs: DataFrame) -> Model:
     whole = len(arcs) == pairs.count()
     cache = Automaton(cached[0], cached[1], cached[0], cached[1], arcs[order], arc_counts[order], total, distinct,
                       cached[2], whole)
-    return Model(cache, words, None if whole else _gains(pairs, words, cached, cache.floor, distinct), total, distinct)
+    if whole:
+        return Model(cache, words, None, None, total, distinct)
+    return Model(cache, words, _gains(pairs, words, cached, cache.floor, distinct), _arc_filter(pairs), total, distinct)
 
 
 _SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
@@ -286,17 +377,19 @@ def _lists(values: np.ndarray, row: np.ndarray, taken: np.ndarray, rows: int) ->
 
 def _scorer(cast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, number = cast.value, TaskContext.get().partitionId() << 36
+        (model, bits), number = cast.value, TaskContext.get().partitionId() << 36
         for batch in batches:
             for a, b, h, row in _sequences(batch):
                 base, score, known, look = model.walk(h, row)
-                rows = b - a
+                pair, rows = _pair(_previous(h, row), h), b - a
+                if bits is not None:
+                    look &= _may_be_arc(bits, pair)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.arange(number, number + rows)), batch.column("doc_id").slice(a, rows),
                     batch.column("held_out").slice(a, rows), pa.array(np.bincount(row, minlength=rows)),
                     pa.array(np.bincount(row[known], minlength=rows)), pa.array(np.bincount(row, base, minlength=rows)),
                     pa.array(np.bincount(row, score, minlength=rows)),
-                    _lists(h, row, ~known, rows), _lists(_pair(_previous(h, row), h), row, look, rows)], schema=_SCORED)
+                    _lists(h, row, ~known, rows), _lists(pair, row, look, rows)], schema=_SCORED)
                 number += rows
     return run
 
@@ -308,7 +401,7 @@ def score(docs: DataFrame, fold: int = 1, folds: int = 5) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = rows.withColumn("held_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == fold)
     model = train(rows.where(~F.col("held_out")))
-    cast = docs.sparkSession.sparkContext.broadcast(model.cache)
+    cast = docs.sparkSession.sparkContext.broadcast((model.cache, model.bits))
     walked = materialize(map_arrow(
         rows, _scorer(cast), "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, "
         "score double, rest array<long>, pairs array<long>"), "walked")
