@@ -12,7 +12,21 @@ from pyspark.sql import functions as F
 
 from lexisieve.functions.text import distinct_tokens
 from lexisieve.operators.ordinal import dense_ordinal
-from lexisieve.session import broadcast_if_small
+from lexisieve.session import broadcast_if_small, materialize
+
+
+def tokenized(corpus: DataFrame) -> DataFrame:
+    """(path, seq, words): the distinct words of every readable row, written
+    once for the readers below, which take it in place of a corpus."""
+    return materialize(corpus.where(F.col("text").isNotNull())
+                       .select("path", "seq", distinct_tokens("text").alias("words")), "tokens")
+
+
+def _word_arrays(corpus: DataFrame) -> tuple[DataFrame, Column]:
+    """Rows of a corpus, or of ``tokenized``, and their array of words."""
+    if "words" in corpus.columns:
+        return corpus, F.col("words")
+    return corpus.where(F.col("text").isNotNull()), distinct_tokens("text")
 
 
 def first_sightings(corpus: DataFrame) -> DataFrame:
@@ -24,8 +38,8 @@ def first_sightings(corpus: DataFrame) -> DataFrame:
     every task before the shuffle, so a frequent word costs one row per task.
     Requires ``seq`` to be unique per corpus row (the add order).
     """
-    rows = corpus.where(F.col("text").isNotNull()) \
-        .select("seq", F.posexplode(distinct_tokens("text")).alias("pos", "word"))
+    rows, words = _word_arrays(corpus)
+    rows = rows.select("seq", F.posexplode(words).alias("pos", "word"))
     # A word occurs once per row of the deduplicated array and seq is unique
     # per row, so the position at the smallest seq is the first sighting.
     # Both buffers are fixed-width longs: a hash aggregate, not a sort.
@@ -48,6 +62,19 @@ def doc_table(corpus: DataFrame) -> DataFrame:
     return dense_ordinal(first, ["seq", "path"], "doc_id").select("doc_id", "path")
 
 
+def id_postings(corpus: DataFrame, words: DataFrame, docs: DataFrame, unique_paths: bool = False) -> DataFrame:
+    """(word_id, doc_id, word) postings of a corpus. Document ids meet the rows
+    before their words are exploded, so the wide rows of postings are moved
+    for the words only, and not at all where the word table is small. Pass
+    tables that are cheap to read twice (``materialize``)."""
+    rows, held = _word_arrays(corpus)
+    pairs = rows.select("path", held.alias("_words")).join(broadcast_if_small(docs), "path") \
+        .select("doc_id", F.explode("_words").alias("word"))
+    if not unique_paths:
+        pairs = pairs.distinct()
+    return pairs.join(broadcast_if_small(words), "word").select("word_id", "doc_id", "word")
+
+
 def _shift(id_col: str, start: int | Column) -> Column:
     if isinstance(start, int) and start == 1:
         return F.col(id_col)

@@ -15,8 +15,8 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexisieve.operators.dictionary import doc_table, word_table
-from lexisieve.operators.index import BUCKETS_KEY, DEFAULT_BUCKETS, bucket_of, doc_words, stored_buckets
+from lexisieve.operators.dictionary import doc_table, id_postings, tokenized, word_table
+from lexisieve.operators.index import BUCKETS_KEY, DEFAULT_BUCKETS, bucket_of, stored_buckets
 from lexisieve.operators.search import _normalise
 from lexisieve.session import broadcast_if_small, materialize
 
@@ -30,8 +30,9 @@ class IdIndex(NamedTuple):
 def write_id_index(corpus: DataFrame, location: str, buckets: int = DEFAULT_BUCKETS, unique_paths: bool = False) -> None:
     """Number the words and documents of a corpus in first-seen order (R17,
     R19) and store the id form. A posting belongs to its word's bucket."""
-    words, docs = materialize(word_table(corpus), "word-ids"), materialize(doc_table(corpus), "doc-ids")
-    pairs = doc_words(corpus, unique_paths).join(broadcast_if_small(docs), "path").join(words, "word") \
+    rows = tokenized(corpus)
+    words, docs = materialize(word_table(rows), "word-ids"), materialize(doc_table(rows), "doc-ids")
+    pairs = id_postings(rows, words, docs, unique_paths) \
         .select("word_id", "doc_id", bucket_of("word", buckets).alias("bucket"))
     pairs.hint("rebalance", "bucket").sortWithinPartitions("bucket", "word_id", "doc_id") \
         .write.partitionBy("bucket").parquet(f"{location}/postings")

@@ -60,11 +60,16 @@ def _files_now(table: DataFrame) -> int:
     return files.agg(F.sum(F.xxhash64("file_path", "file_size", "file_modification_time").cast("decimal(38,0)"))).first()[0] or 0
 
 
+def _state_of_documents(spark, sf) -> tuple:
+    """Application, folder and state of the documents' files."""
+    return spark.sparkContext.applicationId, sf, _files_now(read_table(spark, sf, "documents"))
+
+
 def _stored_index(spark, sf):
     """(postings, terms) of the documents, written in the stored, bucketed
     layout as searches read them; once per application, folder and state of
     the folder's files."""
-    key = (spark.sparkContext.applicationId, sf, _files_now(read_table(spark, sf, "documents")))
+    key = _state_of_documents(spark, sf)
     if key not in _stored:
         location = scratch_path(spark, "index")
         idx.write_index(_doc_postings(spark, sf), location)
@@ -401,10 +406,10 @@ _ids: dict[str, str] = {}
 
 
 def _id_index(spark, sf):
-    """The documents' index in id form, once per stored index."""
-    _stored_index(spark, sf)
-    held = _stored[spark.sparkContext.applicationId, sf, _files_now(read_table(spark, sf, "documents"))]
-    if held not in _ids:
+    """The documents' index in id form, stored as often as ``_stored_index``
+    is, but without it: it is written from the corpus."""
+    key = _state_of_documents(spark, sf)
+    if key not in _ids:
         location = scratch_path(spark, "id-index")
         idi.write_id_index(document_corpus(spark, sf), location, unique_paths=True)
         _ids[held] = location
