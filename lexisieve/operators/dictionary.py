@@ -107,8 +107,9 @@ def lookup_ids(probe: DataFrame, table: DataFrame, value_col: str = "word") -> D
 
 
 def lookup_values(probe: DataFrame, table: DataFrame, id_col: str = "word_id") -> DataFrame:
-    """id -> value for the probe ids that are known (inner join)."""
-    return probe.join(table, id_col, "inner")
+    """id -> value for the probe ids that are known (inner join); a table that
+    is small by measure is broadcast, so the probe is not moved."""
+    return probe.join(broadcast_if_small(table), id_col, "inner")
 
 
 def _membership(probe: DataFrame, table: DataFrame, key: str, flag: str) -> DataFrame:

@@ -219,9 +219,9 @@ def q_lookup_ids(spark, sf):
 
 
 def q_lookup_values(spark, sf):
-    corpus = document_corpus(spark, sf)
-    words, docs = dic.word_table(corpus), dic.doc_table(corpus)
-    id_form = _doc_postings(spark, sf).join(words, "word").join(docs, "path").select("doc_id", "word_id")
+    rows = dic.tokenized(document_corpus(spark, sf))
+    words, docs = materialize(dic.word_table(rows), "word-ids"), materialize(dic.doc_table(rows), "doc-ids")
+    id_form = dic.id_postings(rows, words, docs, unique_paths=True).select("doc_id", "word_id")
     return dic.lookup_values(dic.lookup_values(id_form, words, "word_id"), docs, "doc_id") \
         .select("doc_id", "word_id", "path", "word")
 
