@@ -139,6 +139,12 @@ def _life(log: DataFrame) -> DataFrame:
 
 def _live_postings(life: DataFrame) -> DataFrame:
     killed = F.coalesce(F.col("next_op") == REINDEX, F.lit(False))
+    if "prev_op" in life.columns:
+        # A path with one row in its life has the words of that row, a set
+        # already: only other paths' words meet in a shuffle.
+        alone = F.col("next_op").isNull() & (F.col("prev_op").isNull() | (F.col("prev_op") == REMOVE))
+        single = life.where(alone).select("path", F.explode("words").alias("word"))
+        return single.unionByName(_live_postings(life.where(~alone).drop("prev_op")))
     cand = life.select("path", "seq", killed.alias("killed"), F.explode("words").alias("word"))
     last = cand.groupBy("path", "word").agg(F.max_by("killed", "seq").alias("killed"))
     return last.where(~F.col("killed")).select("path", "word")

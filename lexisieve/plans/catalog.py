@@ -144,10 +144,11 @@ def q_folder_rescan(spark, sf):
     """The first snapshot added file by file, then the changes of the second:
     the live postings."""
     old, new = _two_snapshots(spark, sf)
-    adds = dense_ordinal(old.select("path", F.lit(ADD).alias("op"), F.col("content").cast("string").alias("text")), ["path"], "seq")
-    adds = materialize(adds.select("seq", "op", "path", "text"), "adds")
-    log = adds.unionByName(folder_changes(snapshot(old), new, start=adds.count() + 1))
-    return chg.apply_changes(materialize(log, "folder-log"))
+    # The ordinal is written as it is made: the texts are not written again.
+    adds = dense_ordinal(old.select("path", F.lit(ADD).alias("op"), F.col("content").cast("string").alias("text")), ["path"], "seq") \
+        .select("seq", "op", "path", "text")
+    changes = materialize(folder_changes(snapshot(old), new, start=old.count() + 1), "folder-changes")
+    return chg.apply_changes(adds.unionByName(changes))
 
 
 def q_parse_requests(spark, sf):

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lexisieve.operators.ordinal import dense_ordinal
 from lexisieve.schemas import ADD, REINDEX, REMOVE
-from lexisieve.session import materialize
+from lexisieve.session import broadcast_if_small, materialize
 
 
 def write_shards(files: DataFrame, location: str, shards: int) -> None:
@@ -75,8 +75,12 @@ def differences(before: DataFrame, after: DataFrame) -> DataFrame:
 def folder_changes(before: DataFrame, files: DataFrame, start: int = 1) -> DataFrame:
     """The change log (seq, op, path, text) that leads from a manifest to the
     files as they are, numbered from ``start`` in byte order of paths. Only
-    changed files' contents are joined. Bytes are decoded as UTF-8."""
+    changed files' contents are joined; they are not moved where the changes
+    are small by measure. Bytes are decoded as UTF-8."""
     changed = differences(before, snapshot(files))
     numbered = dense_ordinal(changed, ["path"], "seq", start)
+    # What is to be read is in ``files``; a removed or nameless file has no text.
+    absent = (F.col("op") == REMOVE) | F.col("path").isNull()
     contents = files.select("path", F.col("content").cast("string").alias("text"))
-    return numbered.join(contents, "path", "left").select("seq", "op", "path", "text")
+    read = contents.join(broadcast_if_small(numbered.where(~absent)), "path").select("seq", "op", "path", "text")
+    return read.unionByName(numbered.where(absent).select("seq", "op", "path", F.lit(None).cast("string").alias("text")))
