@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from lexisieve.functions.text import lower_ascii_py
 from lexisieve.operators.index import DEFAULT_BUCKETS, bucket_of, stored_buckets
-from lexisieve.session import BROADCAST_MAX_ROWS, broadcast_if_small, is_small, materialize
+from lexisieve.session import BROADCAST_MAX_ROWS, broadcast_if_small, deal, is_small, materialize
 
 # Size bounds (rows) for the two broadcast candidates of a batch search.
 REQUEST_WORDS_BROADCAST_ROWS = BROADCAST_MAX_ROWS
@@ -163,9 +163,11 @@ def batch_search(postings: DataFrame, queries: DataFrame, buckets: int = DEFAULT
         .where(F.col("_known") == F.col("_n"))
     probe = either.select("req_id", "word", F.lit(0).alias("_n")).unionByName(lead.select("req_id", "word", "_n"))
     probe = materialize(with_keys(probe), "probe")
-    candidates = materialize(_matches(postings.select(*keys, "path"), probe, known, keys)
-                             .select("req_id", "path", "_n", F.when(F.col("_n") > 0, F.col("word")).alias("lead")).distinct(),
-                             "candidates")
+    # A request's word meets each of its documents: so many rows, before they are made distinct.
+    met = probe.join(counted.select("word", "n_docs"), "word").agg(F.sum("n_docs")).first()[0] or 0
+    found = _matches(postings.select(*keys, "path"), probe, known, keys) \
+        .select("req_id", "path", "_n", F.when(F.col("_n") > 0, F.col("word")).alias("lead"))
+    candidates = materialize(deal(found, met, "req_id", "path").distinct(), "candidates")
     done = candidates.where(F.col("_n") < 2).select("req_id", "path")
 
     open_ = candidates.where(F.col("_n") > 1)

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 # row count and bytes are both within them.
 BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+# Rows of one task's hash tables, where the rows can be counted before.
+TASK_ROWS = 1 << 20
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -117,6 +119,16 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(want, *keys) if keys else df.repartition(want)
 
 
+def deal(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` hash-partitioned on ``keys`` before an aggregate on them or more
+    columns, into so many partitions that one holds about TASK_ROWS of its
+    (at most ``rows``) rows. The aggregate then needs no other exchange: its
+    hash tables hold one such partition, not all that a task makes of its
+    share of a scan."""
+    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+    return df.repartition(n, *keys)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing ``df`` once as Parquet to a fresh folder under
     the shared checkpoint directory and reading it back. One job (an eager
