@@ -14,8 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexisieve.functions.text import distinct_tokens, tokens
+from lexisieve.session import deal
 
 DEFAULT_BUCKETS = 64
+# Bytes of text to a distinct word of a row: few, so that rows are not underrated.
+WORD_BYTES = 8
 # Field-metadata key under which stored postings record their bucket count
 # (kept in the Parquet footer), so a reader never needs to be told B.
 BUCKETS_KEY = "lexisieve.buckets"
@@ -58,7 +61,10 @@ def doc_words(corpus: DataFrame, unique_paths: bool = False) -> DataFrame:
     """
     rows = corpus.where(F.col("text").isNotNull()) \
         .select("path", F.explode(distinct_tokens("text")).alias("word"))
-    return rows if unique_paths else rows.distinct()
+    if unique_paths:
+        return rows
+    size = corpus.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return deal(rows, size // WORD_BYTES, "path", "word").distinct()
 
 
 def forward_index(postings: DataFrame) -> DataFrame:

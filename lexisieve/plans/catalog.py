@@ -159,7 +159,8 @@ def q_parse_requests(spark, sf):
 
 def q_render_responses(spark, sf):
     parsed = rq.parse_requests(benchmark_requests(spark, sf))
-    return rq.render_responses(parsed, srch.batch_search(_page_postings(spark, sf), parsed))
+    postings = materialize(_page_postings(spark, sf), "page-postings")
+    return rq.render_responses(parsed, materialize(srch.batch_search(postings, parsed), "hits"))
 
 
 def q_run_requests(spark, sf):
