@@ -404,7 +404,7 @@ def q_postings_union(spark, sf):
     return srch.postings_union(_stored_postings(spark, sf), *PAIR_OR)
 
 
-_ids: dict[str, str] = {}
+_ids: dict[tuple, str] = {}
 
 
 def _id_index(spark, sf):
@@ -414,8 +414,8 @@ def _id_index(spark, sf):
     if key not in _ids:
         location = scratch_path(spark, "id-index")
         idi.write_id_index(document_corpus(spark, sf), location, unique_paths=True)
-        _ids[held] = location
-    return idi.read_id_index(spark, _ids[held])
+        _ids[key] = location
+    return idi.read_id_index(spark, _ids[key])
 
 
 def q_search_one_ids(spark, sf):
