@@ -137,22 +137,23 @@ def _life(log: DataFrame) -> DataFrame:
     return _current(log, with_words=True).where(_in_life() & (F.col("op") != REMOVE))
 
 
-def _live_postings(life: DataFrame) -> DataFrame:
+def _live_postings(life: DataFrame, lone: bool = False) -> DataFrame:
     killed = F.coalesce(F.col("next_op") == REINDEX, F.lit(False))
-    if "prev_op" in life.columns:
+    if lone:
         # A path with one row in its life has the words of that row, a set
         # already: only other paths' words meet in a shuffle.
         alone = F.col("next_op").isNull() & (F.col("prev_op").isNull() | (F.col("prev_op") == REMOVE))
         single = life.where(alone).select("path", F.explode("words").alias("word"))
-        return single.unionByName(_live_postings(life.where(~alone).drop("prev_op")))
+        return single.unionByName(_live_postings(life.where(~alone)))
     cand = life.select("path", "seq", killed.alias("killed"), F.explode("words").alias("word"))
     last = cand.groupBy("path", "word").agg(F.max_by("killed", "seq").alias("killed"))
     return last.where(~F.col("killed")).select("path", "word")
 
 
-def apply_changes(log: DataFrame) -> DataFrame:
-    """Live postings (path, word) after the whole log."""
-    return _live_postings(_life(log))
+def apply_changes(log: DataFrame, lone: bool = False) -> DataFrame:
+    """Live postings (path, word) after the whole log. ``lone`` is for logs
+    where most paths have one row: their words are not moved."""
+    return _live_postings(_life(log), lone)
 
 
 def live_documents(log: DataFrame) -> DataFrame:

@@ -148,7 +148,7 @@ def q_folder_rescan(spark, sf):
     adds = dense_ordinal(old.select("path", F.lit(ADD).alias("op"), F.col("content").cast("string").alias("text")), ["path"], "seq") \
         .select("seq", "op", "path", "text")
     changes = materialize(folder_changes(snapshot(old), new, start=old.count() + 1), "folder-changes")
-    return chg.apply_changes(adds.unionByName(changes))
+    return chg.apply_changes(adds.unionByName(changes), lone=True)
 
 
 def q_parse_requests(spark, sf):
