@@ -8,7 +8,9 @@ certain and the bytes after it; reading a byte extends the tokenisation of the
 pending bytes, and as soon as every way on shares a boundary, the tokens up to
 it are emitted. A boundary is pending only while some vocabulary token may
 still cover it, so lookahead is bounded by the longest token. States and arcs
-are made when first met and kept in a table that is emptied when full.
+are made when first met and kept in a table that is emptied when full and at
+a task's end. A run of texts goes through it by its distinct pieces; the ids of
+each text are gathered from theirs.
 
 Decoding joins token bytes and turns them into text with an incremental UTF-8
 state machine that holds back an unfinished character between feeds.
@@ -28,17 +30,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexisieve.llm.tasks import map_arrow
+from lexisieve.llm.words import text_bytes
 
-MAX_STATES = 800_000
-MAX_CHUNKS = 200_000
-LONG_CHUNK = 64
+MAX_STATES = 600_000
+TEXT_BYTES = 32 << 20
 OUT_BYTES = 4 << 20
 FEED_BYTES = 1 << 16
+DECODE_IDS = 1 << 18
+_SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: A space after white space and before more of it or the end: a pattern may take both in one piece.
+_ODD_SPACE = f"{_SPACE} (?:{_SPACE}|$)"
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -65,6 +72,19 @@ def merge_plainly(ranks: dict[bytes, int], piece: bytes) -> list[bytes]:
     return parts
 
 
+def last_merge(ranks: dict[bytes, int], token: bytes) -> tuple[int, bool] | None:
+    """(length of the left half, whether ranks never fell on the way) of the
+    last merge that makes ``token`` of its bytes; None if they make something else."""
+    ends, low, rising = list(range(1, len(token) + 1)), -1, True
+    while len(ends) > 1:
+        starts = [0, *ends[:-2]]
+        best, i = min((ranks.get(token[a:b], len(ranks) + 1), i) for i, (a, b) in enumerate(zip(starts, ends[1:])))
+        if best > len(ranks):
+            return None
+        rising, low, left = rising and best >= low, best, ends.pop(i)
+    return (left if len(token) > 1 else 0), rising
+
+
 def _packed(back: tuple, live: tuple) -> bytes | tuple:
     """A state's detail in a byte a number, where it is short enough."""
     return bytes(back + live) if len(back) <= 256 else back + live
@@ -84,10 +104,15 @@ class Transducer:
         self.ranks = ranks
         self.token_bytes = {v: k for k, v in ranks.items()}
         self.open = {t[:i] for t in ranks for i in range(len(t))}
-        self._alone: dict[bytes, bool] = {}
-        self._clear()
-
-    def _clear(self) -> None:
+        # Made before the tables that are emptied, so that emptying these gives whole blocks of memory back.
+        made = {v: last_merge(ranks, k) for k, v in ranks.items()}
+        self._alone = {v for v, x in made.items() if x}
+        self._rising = all(x is None or x[1] for x in made.values())
+        self._halves = {v: (ranks.get(k[:x[0]], -1), ranks.get(k[x[0]:], -1)) if x[0] else None
+                        for v, k in self.token_bytes.items() if (x := made[v])}
+        self.clear()
+
+    def clear(self) -> None:
         self._outs: dict[tuple, tuple] = {}
         self._pairs: dict[int, bool] = {}
         self._numbers: dict[tuple[int, bytes], int] = {(-1, b""): 0}
@@ -96,20 +121,32 @@ class Transducer:
         self._arcs: dict[int, int | tuple] = {}
         self._ends: dict[int, tuple] = {}
 
-    def _reachable(self, token: bytes) -> bool:
-        got = self._alone.get(token)
-        if got is None:
-            got = self._alone[token] = merge_plainly(self.ranks, token) == [token]
-        return got
-
     def _may_follow(self, s: int, t: int) -> bool:
         key = s << 32 | t
         got = self._pairs.get(key)
         if got is None:
             a, b = self.token_bytes[s], self.token_bytes[t]
-            got = self._pairs[key] = merge_plainly(self.ranks, a + b) == [a, b]
+            got = self._pairs[key] = self._apart(s, t) if self._rising else merge_plainly(self.ranks, a + b) == [a, b]
         return got
 
+    def _apart(self, s: int, t: int) -> bool:
+        """Whether no merge crosses the boundary of ``s + t``, where ranks
+        only rise while a token is made: its merges are undone, the later
+        first, and the two that then meet must not merge before (of equals the
+        left one merges first)."""
+        of, limit = self.token_bytes, len(self.ranks) + 1
+        while True:
+            crossing = self.ranks.get(of[s] + of[t])
+            if crossing is not None and crossing < limit:
+                return False
+            left, right = self._halves[s], self._halves[t]
+            if left and (s > t or not right):
+                s, limit = left[1], s
+            elif right:
+                t, limit = right[0], t + 1
+            else:
+                return True
+
     def _extend(self, last: int, pending: bytes, back: tuple, live: tuple) -> tuple[tuple, tuple]:
         """(back, live) after the last byte of ``pending`` is added. A prefix
         whose own chain does not pass the certain boundary is not live."""
@@ -118,7 +155,7 @@ class Transducer:
             t = pending[j:]
             if start < 0:
                 rank = self.ranks.get(t)
-                if rank is not None and self._reachable(t):
+                if rank is not None and rank in self._alone:
                     before = self.ranks[pending[back[j]:j]] if j else last
                     if before < 0 or self._may_follow(before, rank):
                         start = j
@@ -175,7 +212,7 @@ class Transducer:
         if whole is not None:
             return [whole]
         if len(self._names) > MAX_STATES:
-            self._clear()
+            self.clear()
         out: list[int] = []
         state, arcs = 0, self._arcs
         for byte in piece:
@@ -196,66 +233,87 @@ class Transducer:
         return out
 
 
+def _regroup(lists: pa.ListArray, ends: np.ndarray) -> pa.ListArray:
+    """Runs of lists, by their offsets, joined to one list each."""
+    return pa.ListArray.from_arrays(pa.array(lists.offsets.to_numpy()[ends].astype(np.int32)), lists.flatten())
+
+
+def _offsets(sizes: np.ndarray) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+
+
 class Codec:
     """Whole texts: splits into pieces, encodes each, and decodes ids."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.machine = Transducer(ranks)
         self.pattern = regex.compile(pattern)
-        self._new: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
-
-    def _known(self, text: str) -> bytes | None:
-        """A remembered chunk; what is used again outlives a full table."""
-        got = self._new.get(text)
-        if got is None:
-            got = self._old.get(text)
-            if got is not None:
-                self._keep(text, got)
-        return got
-
-    def _keep(self, text: str, ids: bytes) -> None:
-        if len(text) <= LONG_CHUNK:
-            if len(self._new) >= MAX_CHUNKS:
-                self._old, self._new = self._new, {}
-            self._new[text] = ids
-
-    def _encode(self, text: str) -> bytes:
-        pieces = self.pattern.findall(text)
-        if len(pieces) == 1:
-            return array("I", self.machine.encode_piece(text.encode("utf-8"))).tobytes()
-        out = []
-        for piece in pieces:
-            got = self._known(piece)
-            if got is None:
-                got = array("I", self.machine.encode_piece(piece.encode("utf-8"))).tobytes()
-                self._keep(piece, got)
-            out.append(got)
-        return b"".join(out)
+        # Token bytes end to end: token t is _bytes[_at[t]:_at[t] + _size[t]].
+        n = max(ranks.values(), default=-1) + 1
+        found = [self.machine.token_bytes.get(t, b"") for t in range(n)]
+        self._bytes = np.frombuffer(b"".join(found), np.uint8)
+        self._size = np.fromiter(map(len, found), np.int64, n)
+        self._at = np.cumsum(self._size) - self._size
+
+    def _table(self, chunks: list[str]) -> pa.ListArray:
+        """Ids of every chunk. Each distinct piece is encoded once, in the
+        order of the strings, so that equal prefixes meet the same states."""
+        found = list(map(self.pattern.findall, chunks))
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        coded = pa.array([x for row in found for x in row], pa.string()).dictionary_encode()
+        del found
+        pieces = coded.dictionary.to_pylist()
+        order = sorted(range(len(pieces)), key=pieces.__getitem__)
+        ids, sizes = array("I"), np.zeros(len(pieces), np.int64)
+        for k, i in enumerate(order):
+            got = self.machine.encode_piece(pieces[i].encode("utf-8"))
+            ids.extend(got)
+            sizes[k] = len(got)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        each = pa.ListArray.from_arrays(_offsets(sizes), pa.array(np.array(ids, np.uint32).view(np.int32)))
+        return _regroup(each.take(pa.array(place[coded.indices.to_numpy()])), np.concatenate([[0], np.cumsum(counts)]))
+
+    def encode_column(self, texts: pa.Array) -> pa.ListArray:
+        """Ids of each text of a string column without nulls. A text is cut
+        at each space, which begins the chunk after it; where a space stands
+        between other white space (or ends it) the pattern may cut otherwise,
+        so such texts are cut by the pattern itself. Each distinct chunk is
+        encoded once, and the ids are gathered."""
+        odd = pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False)
+        plain, other = np.flatnonzero(~odd), np.flatnonzero(odd)
+        cut = pc.split_pattern(texts.take(pa.array(plain)) if len(other) else texts, " ")
+        by_pattern = [self.pattern.findall(x) for x in texts.take(pa.array(other)).to_pylist()]
+        begins = cut.offsets.to_numpy()[:-1]
+        parts = [pc.list_flatten(cut), pc.list_flatten(cut).take(pa.array(begins)),
+                 pa.array([x for row in by_pattern for x in row], pa.string())]
+        names, at = [], 0
+        codes = []
+        for part, before in zip(parts, (" ", "", "")):
+            coded = part.dictionary_encode()
+            names += [before + x for x in coded.dictionary.to_pylist()]
+            codes.append(coded.indices.to_numpy() + np.int32(at))
+            at = len(names)
+        rest = codes[0].copy()
+        rest[begins] = codes[1]
+        index = np.concatenate([rest, codes[2]])
+        ends = np.concatenate([cut.offsets.to_numpy(), len(rest) + np.cumsum([len(x) for x in by_pattern], dtype=np.int64)])
+        out = _regroup(self._table(names).take(pa.array(index)), ends)
+        return out.take(pa.array(np.argsort(np.concatenate([plain, other])))) if len(other) else out
 
     def encode(self, text: str | None) -> np.ndarray:
-        """Ids of a text. A space followed by anything but a space always
-        begins a piece, so a text without double spaces is cut there and its
-        chunks are looked up; others are split as a whole."""
-        if not text:
-            return np.zeros(0, np.uint32)
-        if "  " in text:
-            return np.frombuffer(self._encode(text), np.uint32)
-        head, *rest = text.split(" ")
-        out = [self._encode(head)] if head else []
-        for x in rest:
-            x = " " + x
-            got = self._new.get(x)
-            if got is None:
-                got = self._known(x)
-                if got is None:
-                    got = self._encode(x)
-                    self._keep(x, got)
-            out.append(got)
-        return np.frombuffer(b"".join(out), np.uint32)
+        """Ids of a text."""
+        return self.encode_column(pa.array([text or ""], pa.string())).flatten().to_numpy().astype(np.uint32)
 
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.machine.token_bytes.__getitem__, ids.tolist()))
+        out = []
+        for i in range(0, len(ids), DECODE_IDS):
+            part = ids[i:i + DECODE_IDS].astype(np.int64)
+            if part.min() < 0 or part.max() >= len(self._size) or not (size := self._size[part]).all():
+                raise KeyError("an id without a token")
+            ends = np.cumsum(size)
+            out.append(self._bytes[np.arange(ends[-1]) + np.repeat(self._at[part] - ends + size, size)].tobytes())
+        return b"".join(out)
 
 
 class Utf8Stream:
@@ -308,26 +366,25 @@ def load_ranks(spark: SparkSession, path: str) -> bytes:
         return f.read()
 
 
-def _emit(ids: list, texts: list[np.ndarray], decoded: list[bytes]) -> pa.RecordBatch:
-    ends = np.cumsum([0] + [len(x) for x in texts]).astype(np.int32)
-    flat = np.concatenate(texts).astype(np.int32) if texts else np.zeros(0, np.int32)
-    return pa.RecordBatch.from_arrays([
-        pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-        pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"])
+def _runs(ends: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of rows up to ``most`` bytes or ids, by their offsets; a larger row is a run of its own."""
+    at, n = 0, len(ends) - 1
+    while at < n:
+        to = min(n, max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1))
+        yield at, to
+        at = to
 
 
 def _transcoded(codec: Codec, batch: pa.RecordBatch, decode: bool) -> Iterator[pa.RecordBatch]:
-    keys, ids, decoded, held = [], [], [], 0
-    for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-        found = codec.encode(text.as_py())
-        keys.append(key)
-        ids.append(found)
-        decoded.append(stream_text(codec.decode(found)).encode("utf-8") if decode else None)
-        held += 4 * len(found)
-        if held > OUT_BYTES:
-            yield _emit(keys, ids, decoded)
-            keys, ids, decoded, held = [], [], [], 0
-    yield _emit(keys, ids, decoded)
+    keys, texts = batch.column("doc_id"), batch.column("text").fill_null("")
+    for a, b in _runs(text_bytes(texts)[1], TEXT_BYTES):
+        ids = codec.encode_column(texts.slice(a, b - a))
+        ends, flat = ids.offsets.to_numpy(), ids.values.to_numpy()
+        for i, j in _runs(ends, OUT_BYTES // 4):
+            decoded = [stream_text(codec.decode(flat[ends[k]:ends[k + 1]])).encode("utf-8") if decode else None
+                       for k in range(i, j)]
+            yield pa.RecordBatch.from_arrays([keys.slice(a + i, j - i), ids.slice(i, j - i), pa.array(decoded, pa.binary())],
+                                             ["doc_id", "ids", "decoded"])
 
 
 def _transcoder(ranks_cast, pattern: str, decode: bool):
@@ -338,6 +395,7 @@ def _transcoder(ranks_cast, pattern: str, decode: bool):
             for batch in batches:
                 yield from _transcoded(codec, batch, decode)
         finally:
+            codec.machine.clear()
             gc.enable()
     return run
 
@@ -345,7 +403,8 @@ def _transcoder(ranks_cast, pattern: str, decode: bool):
 def encode(docs: DataFrame, ranks: bytes, pattern: str, decode: bool = False) -> DataFrame:
     """(doc_id, ids, decoded) of every document row; ``decoded`` are the bytes
     of the text that the incremental decoder makes of the ids (null unless asked
-    for). Python workers keep the tables for their next task."""
+    for). Python workers keep the vocabulary for their next task; the tables
+    made of the texts end with the task, so that later steps have the memory."""
     cast = docs.sparkSession.sparkContext.broadcast(ranks)
     return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _transcoder(cast, pattern, decode),
                      "doc_id long, ids array<int>, decoded binary")
