@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 from lexisieve.llm.tasks import map_arrow
 from lexisieve.llm.words import text_bytes
 
-MAX_STATES = 600_000
-TEXT_BYTES = 32 << 20
+MAX_STATES = 200_000
+TEXT_BYTES = 12 << 20
 OUT_BYTES = 4 << 20
 FEED_BYTES = 1 << 16
 DECODE_IDS = 1 << 18
