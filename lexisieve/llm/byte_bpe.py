@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from lexisieve.llm.tasks import map_arrow
 from lexisieve.llm.words import text_bytes
 
-MAX_STATES = 200_000
+MAX_STATES = 60_000
 TEXT_BYTES = 12 << 20
 OUT_BYTES = 4 << 20
 FEED_BYTES = 1 << 16
@@ -258,10 +258,13 @@ class Codec:
     def _table(self, chunks: list[str]) -> pa.ListArray:
         """Ids of every chunk. Each distinct piece is encoded once, in the
         order of the strings, so that equal prefixes meet the same states."""
-        found = list(map(self.pattern.findall, chunks))
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        coded = pa.array([x for row in found for x in row], pa.string()).dictionary_encode()
-        del found
+        counts, flat = np.zeros(len(chunks), np.int64), []
+        for k, x in enumerate(chunks):
+            found = self.pattern.findall(x)
+            counts[k] = len(found)
+            flat += found
+        coded = pa.array(flat, pa.string()).dictionary_encode()
+        del flat
         pieces = coded.dictionary.to_pylist()
         order = sorted(range(len(pieces)), key=pieces.__getitem__)
         ids, sizes = array("I"), np.zeros(len(pieces), np.int64)
@@ -280,6 +283,14 @@ class Codec:
         between other white space (or ends it) the pattern may cut otherwise,
         so such texts are cut by the pattern itself. Each distinct chunk is
         encoded once, and the ids are gathered."""
+        names, index, ends, order = self._chunks(texts)
+        pa.default_memory_pool().release_unused()  # what the cuts took, before the pieces are made
+        out = _regroup(self._table(names).take(pa.array(index)), ends)
+        return out if order is None else out.take(pa.array(order))
+
+    def _chunks(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray | None]:
+        """The distinct chunks, the chunks of all texts as indices of these,
+        where each text's begin and end, and the texts' places if they moved."""
         odd = pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False)
         plain, other = np.flatnonzero(~odd), np.flatnonzero(odd)
         cut = pc.split_pattern(texts.take(pa.array(plain)) if len(other) else texts, " ")
@@ -298,8 +309,7 @@ class Codec:
         rest[begins] = codes[1]
         index = np.concatenate([rest, codes[2]])
         ends = np.concatenate([cut.offsets.to_numpy(), len(rest) + np.cumsum([len(x) for x in by_pattern], dtype=np.int64)])
-        out = _regroup(self._table(names).take(pa.array(index)), ends)
-        return out.take(pa.array(np.argsort(np.concatenate([plain, other])))) if len(other) else out
+        return names, index, ends, np.argsort(np.concatenate([plain, other])) if len(other) else None
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a text."""

@@ -9,7 +9,7 @@ import shutil
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 import lexisieve
 
 _shipped: set[str] = set()
+ARROW_BYTES = 12 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -41,10 +43,31 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def released(fn: Callable) -> Callable:
+    """``fn``, which at the end of its task gives back what Arrow's memory pool
+    holds unused. A Python worker outlives its task, and the pool would keep
+    the most that any task has needed beside the JVM's work of later steps."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+    return run
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Batches of ``ARROW_BYTES`` at most (a longer row is one of its own): whole
+    texts otherwise make batches of 64 MB, held by JVM and worker alike. The
+    submitter's own setting stays."""
+    if not spark.sparkContext.getConf().contains(_BATCH_SETTING):
+        spark.conf.set(_BATCH_SETTING, str(ARROW_BYTES))
+
+
 def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with the package on the executors."""
+    """``mapInArrow`` with the package on the executors, in bounded batches."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    bound_batches(df.sparkSession)
+    return df.mapInArrow(released(fn), schema)
 
 
 def batch_rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
