@@ -9,7 +9,8 @@ pending bytes, and as soon as every way on shares a boundary, the tokens up to
 it are emitted. A boundary is pending only while some vocabulary token may
 still cover it, so lookahead is bounded by the longest token. States and arcs
 are made when first met and kept in a table that is emptied when full and at
-a task's end. A run of texts goes through it by its distinct pieces; the ids of
+a task's end. A run of texts goes through it by its distinct pieces, of which
+all that a task has not met before take a byte at a time together; the ids of
 each text are gathered from theirs.
 
 Decoding joins token bytes and turns them into text with an incremental UTF-8
@@ -26,7 +27,7 @@ from __future__ import annotations
 import base64
 import gc
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,12 @@ from lexisieve.llm.tasks import map_arrow
 from lexisieve.llm.words import text_bytes
 
 MAX_STATES = 60_000
+MAX_ARCS = 60_000
+MAX_PAIRS = 200_000
+#: Pieces that go through the transducer together, the longest of them, and the fewest worth it.
+BLOCK_PIECES, LOCKSTEP_BYTES, LOCKSTEP_PIECES = 1 << 14, 48, 64
+#: Pieces whose ids a task keeps for its next run of texts.
+MAX_PIECES = 1 << 19
 TEXT_BYTES = 12 << 20
 OUT_BYTES = 4 << 20
 FEED_BYTES = 1 << 16
@@ -85,41 +92,41 @@ def last_merge(ranks: dict[bytes, int], token: bytes) -> tuple[int, bool] | None
     return (left if len(token) > 1 else 0), rising
 
 
-def _packed(back: tuple, live: tuple) -> bytes | tuple:
-    """A state's detail in a byte a number, where it is short enough."""
-    return bytes(back + live) if len(back) <= 256 else back + live
-
-
 class Transducer:
     """Encodes one piece at a time; all tables are made lazily.
 
-    A state is named by (last certain token, pending bytes), which fix it; its
-    detail is the start of the last token of each pending prefix (``back``)
-    and the prefixes that a longer token may still start at (``live``). An arc
-    is stored under ``state << 8 | byte`` as the next state, or as (next state,
-    tokens emitted).
+    A state is (last certain token, pending bytes, detail); its detail is the
+    start of the last token of each pending prefix (``back``) and the prefixes
+    that a longer token may still start at (``live``). Only the chains of live
+    prefixes are kept in ``back``, and the last token only while a longer one
+    may still follow it, so that texts before that do not matter share states.
+    An arc is stored under ``state << 8 | byte`` as the next state, or as (next
+    state, tokens emitted); those of pieces encoded together in sorted arrays.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token_bytes = {v: k for k, v in ranks.items()}
-        self.open = {t[:i] for t in ranks for i in range(len(t))}
         # Made before the tables that are emptied, so that emptying these gives whole blocks of memory back.
         made = {v: last_merge(ranks, k) for k, v in ranks.items()}
         self._alone = {v for v, x in made.items() if x}
+        # Of each beginning of a token: its rank if its bytes merge to it (else -1), and whether a longer token goes on.
+        self._begins = {t[:i]: (-1, True) for t in ranks for i in range(len(t))}
+        self._begins |= {t: (v, t in self._begins) for t, v in ranks.items() if v in self._alone}
         self._rising = all(x is None or x[1] for x in made.values())
         self._halves = {v: (ranks.get(k[:x[0]], -1), ranks.get(k[x[0]:], -1)) if x[0] else None
                         for v, k in self.token_bytes.items() if (x := made[v])}
         self.clear()
 
     def clear(self) -> None:
-        self._outs: dict[tuple, tuple] = {}
+        self._outs: dict[tuple, int] = {}
         self._pairs: dict[int, bool] = {}
-        self._numbers: dict[tuple[int, bytes], int] = {(-1, b""): 0}
-        self._names: list[tuple[int, bytes]] = [(-1, b"")]
-        self._details: list[bytes | tuple] = [_packed((0,), (0,))]
+        self._names: list[tuple[int, bytes, bytes | tuple]] = [(-1, b"", bytes(2))]
+        self._numbers: dict[tuple, int] = {self._names[0]: 0}
         self._arcs: dict[int, int | tuple] = {}
         self._ends: dict[int, tuple] = {}
+        # Arcs of pieces encoded together: keys (the last one is none) and ``next state << 32 | number in _outs``.
+        self._keys, self._values = np.array([np.iinfo(np.int64).max]), np.zeros(1, np.int64)
 
     def _may_follow(self, s: int, t: int) -> bool:
         key = s << 32 | t
@@ -147,39 +154,32 @@ class Transducer:
             else:
                 return True
 
-    def _extend(self, last: int, pending: bytes, back: tuple, live: tuple) -> tuple[tuple, tuple]:
-        """(back, live) after the last byte of ``pending`` is added. A prefix
-        whose own chain does not pass the certain boundary is not live."""
-        start, still = -1, []
-        for j in live:
+    def _step(self, state: int, byte: int) -> tuple[int, tuple]:
+        """(next state, tokens emitted). A prefix whose own chain does not pass
+        the certain boundary is not live."""
+        last, pending, detail = self._names[state]
+        n = len(pending) + 1
+        back, pending = [*detail[:n], 0], pending + bytes((byte,))
+        begins, live = self._begins.get, []
+        start = -1
+        for j in detail[n:]:
             t = pending[j:]
-            if start < 0:
-                rank = self.ranks.get(t)
-                if rank is not None and rank in self._alone:
+            found = begins(t)
+            if found is not None:
+                rank, goes_on = found
+                if start < 0 <= rank:
                     before = self.ranks[pending[back[j]:j]] if j else last
                     if before < 0 or self._may_follow(before, rank):
-                        start = j
-            if t in self.open:
-                still.append(j)
+                        start = back[n] = j
+                if goes_on:
+                    live.append(j)
         if start >= 0:
-            still.append(len(pending))
-        return (*back, max(start, 0)), tuple(still)
-
-    def _detail(self, state: int) -> tuple:
-        """(last, pending, back, live) of a state."""
-        last, pending = self._names[state]
-        got, n = self._details[state], len(pending) + 1
-        return last, pending, tuple(got[:n]), tuple(got[n:])
-
-    def _step(self, state: int, byte: int) -> int | tuple:
-        last, pending, back, live = self._detail(state)
-        pending += bytes((byte,))
-        back, live = self._extend(last, pending, back, live)
+            live.append(n)
         if not live:
             raise ValueError(f"no token for byte {byte}")
         # The last boundary in the chains of all live prefixes.
         sure = live[0]
-        for j in live[1:]:
+        for j in live:
             while j != sure:
                 if j > sure:
                     j = back[j]
@@ -188,19 +188,25 @@ class Transducer:
         out: tuple[int, ...] = ()
         if sure:
             out = self._chain(pending, back, sure)
-            out = self._outs.setdefault(out, out)
             last, pending = out[-1], pending[sure:]
-            # Chains that do not pass the boundary are never looked at again.
-            back, live = tuple([max(0, j - sure) for j in back[sure:]]), tuple([j - sure for j in live])
-        name = (last, pending)
+        # Chains that pass no live prefix, or not the boundary, are never looked at again.
+        kept = [0] * (n + 1 - sure)
+        for j in live:
+            while j > sure and not kept[j - sure]:
+                to = back[j]
+                kept[j - sure] = to - sure
+                j = to
+        if live[0] > sure:
+            last = -1
+        kept += [j - sure for j in live] if sure else live
+        name = (last, pending, bytes(kept) if n < 256 else tuple(kept))
         number = self._numbers.get(name)
         if number is None:
             number = self._numbers[name] = len(self._names)
             self._names.append(name)
-            self._details.append(_packed(back, live))
-        return (number, out) if out else number
+        return number, out
 
-    def _chain(self, pending: bytes, back: tuple[int, ...], end: int) -> tuple[int, ...]:
+    def _chain(self, pending: bytes, back: Sequence[int], end: int) -> tuple[int, ...]:
         found = []
         while end:
             found.append(self.ranks[pending[back[end]:end]])
@@ -211,14 +217,14 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self._names) > MAX_STATES:
-            self.clear()
+        self._bound()
         out: list[int] = []
         state, arcs = 0, self._arcs
         for byte in piece:
             arc = arcs.get(state << 8 | byte)
             if arc is None:
-                arc = arcs[state << 8 | byte] = self._step(state, byte)
+                arc = self._step(state, byte)
+                arc = arcs[state << 8 | byte] = arc if arc[1] else arc[0]
             if arc.__class__ is int:
                 state = arc
             else:
@@ -226,20 +232,69 @@ class Transducer:
                 out += emitted
         rest = self._ends.get(state)
         if rest is None:
-            _, pending, back, _ = self._detail(state)
-            rest = self._chain(pending, back, len(pending))
-            rest = self._ends[state] = self._outs.setdefault(rest, rest)
+            rest = self._ends[state] = self._end(state)
         out += rest
         return out
 
+    def _end(self, state: int) -> tuple[int, ...]:
+        _, pending, detail = self._names[state]
+        return self._chain(pending, detail, len(pending))
+
+    def _bound(self) -> None:
+        """Empties what is full, between pieces."""
+        if len(self._names) > MAX_STATES:
+            self.clear()
+        if len(self._arcs) > MAX_ARCS:
+            self._arcs, self._ends = {}, {}
+        if len(self._pairs) > MAX_PAIRS:
+            self._pairs = {}
+
+    def _follow(self, keys: np.ndarray) -> np.ndarray:
+        """Values of arcs; each that is not known is made once."""
+        at = np.searchsorted(self._keys, keys)
+        values, missing = self._values[at], np.flatnonzero(self._keys[at] != keys)
+        if len(missing):
+            new, which = np.unique(keys[missing], return_inverse=True)
+            made, outs = np.empty(len(new), np.int64), self._outs
+            for k, key in enumerate(new.tolist()):
+                state, out = self._step(key >> 8, key & 255)
+                made[k] = state << 32 | (outs.setdefault(out, len(outs) + 1) if out else 0)
+            where = np.searchsorted(self._keys, new)
+            self._keys, self._values = np.insert(self._keys, where, new), np.insert(self._values, where, made)
+            values[missing] = made[which]
+        return values
+
+    def encode_together(self, pieces: list[bytes]) -> pa.ListArray:
+        """Ids of pieces that are no tokens. All take a byte at a time, so that
+        arcs are looked up and followed as arrays; sorted pieces meet fewer."""
+        self._bound()
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        data, at = np.frombuffer(b"".join(pieces), np.uint8), np.cumsum(size) - size
+        state, left, met = np.zeros(len(pieces), np.int64), np.arange(len(pieces)), []
+        for k in range(size.max(initial=0)):
+            left = left[size[left] > k]
+            keys = state[left] << 8 | data[at[left] + k]
+            first = np.diff(keys, prepend=-1) != 0  # neighbours with equal beginnings take the same arc
+            values = self._follow(keys[first])[np.cumsum(first) - 1]
+            state[left] = values >> 32
+            some = np.flatnonzero(values & 0xFFFFFFFF)
+            met.append((left[some], values[some] & 0xFFFFFFFF))
+        ends, which = np.unique(state, return_inverse=True)
+        rest = np.array([self._outs.setdefault(self._end(x), len(self._outs) + 1) for x in ends.tolist()], np.int64)
+        met.append((np.arange(len(pieces)), rest[which]))
+        piece, out = (np.concatenate(x) for x in zip(*met))
+        order = np.argsort(piece, kind="stable")
+        outs = pa.array(list(self._outs), pa.list_(pa.int32()))
+        return _regroup(outs.take(pa.array(out[order] - 1)), _offsets(np.bincount(piece, minlength=len(pieces))))
+
 
 def _regroup(lists: pa.ListArray, ends: np.ndarray) -> pa.ListArray:
     """Runs of lists, by their offsets, joined to one list each."""
     return pa.ListArray.from_arrays(pa.array(lists.offsets.to_numpy()[ends].astype(np.int32)), lists.flatten())
 
 
-def _offsets(sizes: np.ndarray) -> pa.Array:
-    return pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+def _offsets(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes)])
 
 
 class Codec:
@@ -254,28 +309,63 @@ class Codec:
         self._bytes = np.frombuffer(b"".join(found), np.uint8)
         self._size = np.fromiter(map(len, found), np.int64, n)
         self._at = np.cumsum(self._size) - self._size
+        self.clear()
+
+    def clear(self) -> None:
+        """Drops what was made of texts."""
+        self.machine.clear()
+        self._pieces, self._ids = pa.array([], pa.string()), pa.array([], pa.list_(pa.int32()))
 
-    def _table(self, chunks: list[str]) -> pa.ListArray:
+    def _table(self, chunks: pa.StringArray) -> pa.ListArray:
         """Ids of every chunk. Each distinct piece is encoded once, in the
         order of the strings, so that equal prefixes meet the same states."""
-        counts, flat = np.zeros(len(chunks), np.int64), []
-        for k, x in enumerate(chunks):
-            found = self.pattern.findall(x)
-            counts[k] = len(found)
-            flat += found
-        coded = pa.array(flat, pa.string()).dictionary_encode()
-        del flat
-        pieces = coded.dictionary.to_pylist()
-        order = sorted(range(len(pieces)), key=pieces.__getitem__)
-        ids, sizes = array("I"), np.zeros(len(pieces), np.int64)
-        for k, i in enumerate(order):
-            got = self.machine.encode_piece(pieces[i].encode("utf-8"))
-            ids.extend(got)
-            sizes[k] = len(got)
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        each = pa.ListArray.from_arrays(_offsets(sizes), pa.array(np.array(ids, np.uint32).view(np.int32)))
-        return _regroup(each.take(pa.array(place[coded.indices.to_numpy()])), np.concatenate([[0], np.cumsum(counts)]))
+        counts, parts = [], []
+        for i in range(0, len(chunks), BLOCK_PIECES):
+            flat: list[str] = []
+            for x in chunks[i:i + BLOCK_PIECES].to_pylist():
+                found = self.pattern.findall(x)
+                counts.append(len(found))
+                flat += found
+            parts.append(pa.array(flat, pa.string()))
+        coded = pa.concat_arrays([pa.array([], pa.string()), *parts]).dictionary_encode()
+        del parts
+        place = self._known(coded.dictionary)
+        return _regroup(self._ids.take(pa.array(place[coded.indices.to_numpy()])), _offsets(np.array(counts, np.int64)))
+
+    def _known(self, pieces: pa.StringArray) -> np.ndarray:
+        """Places of distinct pieces in ``_pieces``, where their ids are in
+        ``_ids``; those not met before are encoded and added."""
+        if len(self._pieces) > MAX_PIECES:
+            self._pieces, self._ids = self._pieces[:0], self._ids[:0]
+        found = pc.index_in(pieces, value_set=self._pieces)
+        place = found.fill_null(-1).to_numpy().astype(np.int64)
+        missing = np.flatnonzero(place < 0)
+        new = pieces.take(pa.array(missing))
+        order = pc.sort_indices(new).to_numpy()
+        new = new.take(pa.array(order))
+        place[missing[order]] = np.arange(len(new)) + len(self._pieces)
+        self._pieces, self._ids = pa.concat_arrays([self._pieces, new]), pa.concat_arrays([self._ids, *self._encoded(new)])
+        return place
+
+    def _encoded(self, pieces: pa.StringArray) -> Iterator[pa.ListArray]:
+        """Ids of distinct sorted pieces. Tokens, long pieces and few go one by one."""
+        machine = self.machine
+        for i in range(0, len(pieces), BLOCK_PIECES):
+            block = [x.encode("utf-8") for x in pieces[i:i + BLOCK_PIECES].to_pylist()]
+            many = [x for x in block if len(x) <= LOCKSTEP_BYTES and x not in machine.ranks]
+            if len(many) < LOCKSTEP_PIECES:
+                many = []
+            together = set(many)
+            alone = [k for k, x in enumerate(block) if x not in together]
+            one = pa.array([machine.encode_piece(block[k]) for k in alone], pa.list_(pa.int32()))
+            if not many:
+                yield one
+                continue
+            rest = np.ones(len(block), bool)
+            rest[alone] = False
+            place = np.empty(len(block), np.int64)
+            place[rest], place[alone] = np.arange(len(many)), np.arange(len(alone)) + len(many)
+            yield pa.concat_arrays([machine.encode_together(many), one]).take(pa.array(place))
 
     def encode_column(self, texts: pa.Array) -> pa.ListArray:
         """Ids of each text of a string column without nulls. A text is cut
@@ -288,7 +378,7 @@ class Codec:
         out = _regroup(self._table(names).take(pa.array(index)), ends)
         return out if order is None else out.take(pa.array(order))
 
-    def _chunks(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray | None]:
+    def _chunks(self, texts: pa.Array) -> tuple[pa.StringArray, np.ndarray, np.ndarray, np.ndarray | None]:
         """The distinct chunks, the chunks of all texts as indices of these,
         where each text's begin and end, and the texts' places if they moved."""
         odd = pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False)
@@ -298,18 +388,17 @@ class Codec:
         begins = cut.offsets.to_numpy()[:-1]
         parts = [pc.list_flatten(cut), pc.list_flatten(cut).take(pa.array(begins)),
                  pa.array([x for row in by_pattern for x in row], pa.string())]
-        names, at = [], 0
-        codes = []
+        names, codes, at = [], [], 0
         for part, before in zip(parts, (" ", "", "")):
             coded = part.dictionary_encode()
-            names += [before + x for x in coded.dictionary.to_pylist()]
+            names.append(pc.binary_join_element_wise(before, coded.dictionary, ""))
             codes.append(coded.indices.to_numpy() + np.int32(at))
-            at = len(names)
+            at += len(names[-1])
         rest = codes[0].copy()
         rest[begins] = codes[1]
         index = np.concatenate([rest, codes[2]])
         ends = np.concatenate([cut.offsets.to_numpy(), len(rest) + np.cumsum([len(x) for x in by_pattern], dtype=np.int64)])
-        return names, index, ends, np.argsort(np.concatenate([plain, other])) if len(other) else None
+        return pa.concat_arrays(names), index, ends, np.argsort(np.concatenate([plain, other])) if len(other) else None
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a text."""
@@ -405,7 +494,7 @@ def _transcoder(ranks_cast, pattern: str, decode: bool):
             for batch in batches:
                 yield from _transcoded(codec, batch, decode)
         finally:
-            codec.machine.clear()
+            codec.clear()
             gc.enable()
     return run
 

@@ -52,6 +52,50 @@ def test_each_piece_of_a_run_is_encoded_once(raw):
     assert len(met) == len(set(met)) and b" thing" in met
 
 
+def _made_up(seed: int, n: int) -> list[str]:
+    rng = random.Random(seed)
+    parts = ["th", "ing", "er", "ò", "ent", "sch", "a", "ou", "ble", "tion", "ß", "he", "qu", "中文"]
+    return [" " + "".join(rng.choice(parts) for _ in range(rng.randint(1, 7))) for _ in range(n)]
+
+
+def test_pieces_of_an_earlier_run_are_not_encoded_again(raw, reference):
+    codec = B.Codec(B.read_ranks(raw), public_tokenizers.PATTERN)
+    texts = ["".join(_made_up(k, 200)) for k in range(10)]
+    want = [reference.encode_ordinary(x) for x in texts]
+    met, together, alone = [], codec.machine.encode_together, codec.machine.encode_piece
+    codec.machine.encode_together = lambda pieces: met.extend(pieces) or together(pieces)
+    codec.machine.encode_piece = lambda piece: met.append(piece) or alone(piece)
+    assert codec.encode_column(pa.array(texts[:6])).to_pylist() == want[:6]
+    assert codec.encode_column(pa.array(texts[3:])).to_pylist() == want[3:]
+    assert len(met) == len(set(met)) > 500
+    codec.clear()
+    assert codec.encode_column(pa.array(texts[:6])).to_pylist() == want[:6]
+    assert len(met) > len(set(met))
+
+
+def test_pieces_together_have_the_ids_of_pieces_alone(raw, reference, monkeypatch):
+    words = [*_made_up(5, 3000), " " + "thing" * 40, " the", " " + "ò" * 30, "\n" * 70]
+    want = [reference.encode_ordinary(x) for x in words]
+    for bounds in ({}, {"MAX_STATES": 50, "BLOCK_PIECES": 100, "LOCKSTEP_PIECES": 2},
+                   {"MAX_PAIRS": 10, "LOCKSTEP_BYTES": 9}, {"MAX_PIECES": 100, "LOCKSTEP_BYTES": 10**6}, {"MAX_ARCS": 5, "LOCKSTEP_PIECES": 10**6}):
+        with monkeypatch.context() as m:
+            for name, size in bounds.items():
+                m.setattr(B, name, size)
+            codec = B.Codec(B.read_ranks(raw), public_tokenizers.PATTERN)
+            for _ in range(2):
+                assert codec.encode_column(pa.array(words)).to_pylist() == want
+
+
+def test_words_with_other_settled_beginnings_share_states(raw):
+    machine, arcs = B.Transducer(B.read_ranks(raw)), []
+    step = machine._step
+    machine._step = lambda *x: arcs.append(x) or step(*x)
+    words = sorted({x.encode() for x in _made_up(6, 4000)})
+    for word in words:
+        machine.encode_piece(word)
+    assert len(machine._names) <= 5000 and len(arcs) == len(set(arcs))
+
+
 def test_a_task_leaves_no_tables_and_small_bounds_change_nothing(raw, reference, monkeypatch):
     texts = [None, *_texts(2)]
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
