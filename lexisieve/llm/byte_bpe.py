@@ -46,6 +46,7 @@ MAX_PAIRS = 200_000
 BLOCK_PIECES, LOCKSTEP_BYTES, LOCKSTEP_PIECES = 1 << 14, 48, 64
 #: Pieces whose ids a task keeps for its next run of texts.
 MAX_PIECES = 1 << 19
+GATHER_LISTS = 1 << 17
 TEXT_BYTES = 12 << 20
 OUT_BYTES = 4 << 20
 FEED_BYTES = 1 << 16
@@ -293,6 +294,18 @@ def _regroup(lists: pa.ListArray, ends: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(lists.offsets.to_numpy()[ends].astype(np.int32)), lists.flatten())
 
 
+def _gathered(lists: pa.ListArray, index: np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    """Lists by their indices, runs of them joined to one list each. Taken in
+    slices into their place, as a take of all of them grows by doubling."""
+    at = np.zeros(len(index) + 1, np.int32)
+    np.cumsum(np.diff(lists.offsets.to_numpy())[index], out=at[1:])
+    flat = np.empty(at[-1], np.int32)
+    for i in range(0, len(index), GATHER_LISTS):
+        part = lists.take(pa.array(index[i:i + GATHER_LISTS])).flatten().to_numpy()
+        flat[at[i]:at[i] + len(part)] = part
+    return pa.ListArray.from_arrays(pa.array(at[ends]), pa.array(flat))
+
+
 def _offsets(sizes: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(sizes)])
 
@@ -375,7 +388,7 @@ class Codec:
         encoded once, and the ids are gathered."""
         names, index, ends, order = self._chunks(texts)
         pa.default_memory_pool().release_unused()  # what the cuts took, before the pieces are made
-        out = _regroup(self._table(names).take(pa.array(index)), ends)
+        out = _gathered(self._table(names), index, ends)
         return out if order is None else out.take(pa.array(order))
 
     def _chunks(self, texts: pa.Array) -> tuple[pa.StringArray, np.ndarray, np.ndarray, np.ndarray | None]:
@@ -484,6 +497,8 @@ def _transcoded(codec: Codec, batch: pa.RecordBatch, decode: bool) -> Iterator[p
                        for k in range(i, j)]
             yield pa.RecordBatch.from_arrays([keys.slice(a + i, j - i), ids.slice(i, j - i), pa.array(decoded, pa.binary())],
                                              ["doc_id", "ids", "decoded"])
+        del ids, ends, flat
+        pa.default_memory_pool().release_unused()  # before the next run is cut
 
 
 def _transcoder(ranks_cast, pattern: str, decode: bool):

@@ -77,7 +77,8 @@ def test_pieces_together_have_the_ids_of_pieces_alone(raw, reference, monkeypatc
     words = [*_made_up(5, 3000), " " + "thing" * 40, " the", " " + "ò" * 30, "\n" * 70]
     want = [reference.encode_ordinary(x) for x in words]
     for bounds in ({}, {"MAX_STATES": 50, "BLOCK_PIECES": 100, "LOCKSTEP_PIECES": 2},
-                   {"MAX_PAIRS": 10, "LOCKSTEP_BYTES": 9}, {"MAX_PIECES": 100, "LOCKSTEP_BYTES": 10**6}, {"MAX_ARCS": 5, "LOCKSTEP_PIECES": 10**6}):
+                   {"MAX_PAIRS": 10, "LOCKSTEP_BYTES": 9}, {"MAX_PIECES": 100, "LOCKSTEP_BYTES": 10**6}, {"MAX_ARCS": 5, "LOCKSTEP_PIECES": 10**6},
+                   {"GATHER_LISTS": 7}):
         with monkeypatch.context() as m:
             for name, size in bounds.items():
                 m.setattr(B, name, size)
